@@ -196,3 +196,181 @@ def outage_pivot(spark, base):
 @query("status_pivot")
 def status_pivot(spark, base):
     return out.status_pivot(_enriched(spark, base), prefix="s")
+
+
+# ---- column profile, frequencies, dedup -------------------------------------------------
+
+def _profile(spark, base, table):
+    from slotwise.operators.profile import column_profile
+    from slotwise.sources.tables import read_table
+    return column_profile(read_table(spark, table, base), db="testdata", table=table)
+
+
+@query("column_profile")
+def column_profile_customer(spark, base):
+    return _profile(spark, base, "customer")
+
+
+@query("column_profile_events")
+def column_profile_events(spark, base):
+    return _profile(spark, base, "events")
+
+
+@query("column_profile_documents")
+def column_profile_documents(spark, base):
+    return _profile(spark, base, "documents")
+
+
+@query("column_profile_lineitem")
+def column_profile_lineitem(spark, base):
+    return _profile(spark, base, "lineitem")
+
+
+@query("value_frequency")
+def value_frequency_event_type(spark, base):
+    from slotwise.operators.profile import value_frequency
+    from slotwise.sources.tables import read_table
+    return value_frequency(read_table(spark, "events", base), "event_type")
+
+
+@query("value_frequency_top")
+def value_frequency_user(spark, base):
+    from slotwise.operators.profile import value_frequency
+    from slotwise.sources.tables import read_table
+    return value_frequency(read_table(spark, "events", base), "user_id")
+
+
+@query("value_frequency_nulls")
+def value_frequency_nulls(spark, base):
+    from slotwise.operators.profile import value_frequency
+    return value_frequency(fixtures.readings_src(spark, base), "status")
+
+
+@query("value_frequency_nulls_counted")
+def value_frequency_nulls_counted(spark, base):
+    from slotwise.operators.profile import value_frequency
+    return value_frequency(fixtures.readings_src(spark, base), "status", count_nulls=True)
+
+
+@query("group_count")
+def group_count_status(spark, base):
+    from slotwise.operators.profile import group_count
+    return group_count(fixtures.readings_src(spark, base), "status")
+
+
+@query("dedup_first")
+def dedup_first(spark, base):
+    from slotwise.operators.dedup import first_per_key
+    from slotwise.sources.tables import read_table
+    return first_per_key(read_table(spark, "orders", base), "o_custkey", ["o_orderdate", "o_orderkey"])
+
+
+@query("dedup_first_window")
+def dedup_first_window(spark, base):
+    from slotwise.operators.dedup import first_per_key
+    from slotwise.sources.tables import read_table
+    return first_per_key(read_table(spark, "orders", base), "o_custkey", ["o_orderdate", "o_orderkey"],
+                         method="window")
+
+
+@query("dedup_last")
+def dedup_last(spark, base):
+    from slotwise.operators.dedup import first_per_key
+    from slotwise.sources.tables import read_table
+    return first_per_key(read_table(spark, "orders", base), "o_custkey", ["o_totalprice", "o_orderkey"],
+                         ascending=False)
+
+
+@query("dedup_any")
+def dedup_any(spark, base):
+    from slotwise.operators.dedup import first_per_key
+    from slotwise.sources.tables import read_table
+    return first_per_key(read_table(spark, "orders", base), "o_custkey").select("o_custkey")
+
+
+@query("column_match")
+def column_match(spark, base):
+    from slotwise.operators.dedup import match_or
+    from slotwise.sources.tables import read_table
+    li = read_table(spark, "lineitem", base)
+    od = read_table(spark, "orders", base)
+    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    return j.select("l_orderkey", "l_linenumber", match_or("o_orderstatus", "l_linestatus").alias("status_match"))
+
+
+# ---- tokens and streams ------------------------------------------------------------------
+
+def _number_lines(spark, base):
+    from slotwise.sources.tables import read_table
+    ev = read_table(spark, "events", base)
+    return ev.select(F.trim(F.regexp_replace("props", "[^0-9]+", " ")).alias("value"))
+
+
+@query("token_sort")
+def token_sort(spark, base):
+    from slotwise.operators.tokens import token_sort as sort_tokens
+    return sort_tokens(_number_lines(spark, base))
+
+
+@query("word_count")
+def word_count(spark, base):
+    from slotwise.operators.tokens import word_counts
+    from slotwise.sources.tables import read_table
+    return word_counts(read_table(spark, "documents", base), "text")
+
+
+def _stream_documents(spark, base):
+    from slotwise.plans.stream_job import run_files
+    from slotwise.sources.tables import read_table
+    schema = read_table(spark, "documents", base).schema
+    return run_files(spark, base, fmt="parquet", schema=schema, value_col="text", glob="documents.parquet")
+
+
+@query("stream_batch_words")
+def stream_batch_words(spark, base):
+    return _stream_documents(spark, base)[1]
+
+
+@query("stream_batch_total")
+def stream_batch_total(spark, base):
+    return _stream_documents(spark, base)[2]
+
+
+# ---- sinks, catalog, partitions ----------------------------------------------------------
+
+@query("json_round_trip")
+def json_round_trip(spark, base):
+    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+    from slotwise.session import scratch_path
+    from slotwise.sinks.files import read_records, write_records
+    daily = out.daily_sum(_enriched(spark, base), as_string=False)
+    path = scratch_path(spark, "records")
+    write_records(daily, path, dt=START, im=fixtures.INTERVAL)
+    schema = StructType([StructField(n, StringType()) for n in ("sa", "sp", "rd", "uom")]
+                        + [StructField("ds", DoubleType())]
+                        + [StructField(n, StringType()) for n in ("rec_type", "dt", "im")])
+    return read_records(spark, path, schema, rec_type="daily_sum").drop("dt")
+
+
+@query("report_round_trip")
+def report_round_trip(spark, base):
+    from slotwise.plans.profile_job import profile_table, read_profile_report
+    from slotwise.session import scratch_path
+    from slotwise.sources.tables import read_table
+    path = scratch_path(spark, "report")
+    profile_table(spark, "testdata", "customer", df=read_table(spark, "customer", base), report_path=path)
+    return read_profile_report(spark, path)
+
+
+@query("table_list")
+def table_list(spark, base):
+    from slotwise.sources.tables import list_tables, register_tables
+    register_tables(spark, base)
+    return list_tables(spark).select("tableName")
+
+
+@query("partition_rows")
+def partition_rows(spark, base):
+    from slotwise.operators.frames import partition_rows as rows_per_partition
+    from slotwise.sources.tables import read_table
+    return rows_per_partition(read_table(spark, "events", base))

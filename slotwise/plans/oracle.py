@@ -199,3 +199,82 @@ ORACLE["status_pivot"] = ENRICHED + f"""SELECT sa, sp, uom, rd, im,
   {_pivot_cols('qtr_intr', 'st', QUARTER_SLOTS, 's')},
   'status' AS rec_type
 FROM enriched GROUP BY sa, sp, uom, rd, im"""
+
+# ---- column profile, frequencies, dedup -------------------------------------------------
+
+# Column lists of the profiled driver tables (schemas in FIXTURES.md section B).
+PROFILED = {
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "events": ("event_id", "ts", "user_id", "event_type", "value", "props"),
+    "documents": ("doc_id", "text", "lang", "source", "n_chars"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
+}
+
+
+def _profile_sql(table: str, report: bool = False) -> str:
+    parts = []
+    for c in PROFILED[table]:
+        v = f"CAST({c} AS VARCHAR)"
+        distinct = f"(count(DISTINCT {v}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END))"
+        measures = {
+            "is_distinct": f"count(*) = {distinct}",
+            "has_blanks": f"coalesce(bool_or(regexp_full_match({v}, '\\s*')), false)",
+            "has_nulls": f"coalesce(bool_or({c} IS NULL), false)",
+        }
+        if report:
+            flags = ", ".join(f"CASE WHEN {e} THEN 'TRUE' ELSE 'FALSE' END AS {k}" for k, e in measures.items())
+        else:
+            flags = ", ".join(f"{e} AS {k}" for k, e in measures.items())
+        tail = "" if report else f", count(*) AS row_count, {distinct} AS distinct_count"
+        parts.append(
+            f"SELECT 'testdata' AS db, '{table}' AS table_name, '{c}' AS column_name, {flags},\n"
+            f"  CAST(max(length(coalesce({v}, 'None'))) AS INTEGER) AS max_length,\n"
+            f"  CAST(min(length(coalesce({v}, 'None'))) AS INTEGER) AS min_length{tail}\nFROM {table}")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE["column_profile"] = _profile_sql("customer")
+ORACLE["column_profile_events"] = _profile_sql("events")
+ORACLE["column_profile_documents"] = _profile_sql("documents")
+ORACLE["column_profile_lineitem"] = _profile_sql("lineitem")
+ORACLE["report_round_trip"] = _profile_sql("customer", report=True)
+
+ORACLE["value_frequency"] = """SELECT event_type, count(event_type) AS cnt FROM events GROUP BY event_type
+ORDER BY cnt DESC, event_type ASC NULLS FIRST LIMIT 10"""
+ORACLE["value_frequency_top"] = """SELECT user_id, count(user_id) AS cnt FROM events GROUP BY user_id
+ORDER BY cnt DESC, user_id ASC NULLS FIRST LIMIT 10"""
+ORACLE["value_frequency_nulls"] = _with(V_READINGS_SRC) + """SELECT status_raw AS status, count(status_raw) AS cnt
+FROM readings_src GROUP BY status_raw ORDER BY cnt DESC, status_raw ASC NULLS FIRST LIMIT 10"""
+ORACLE["value_frequency_nulls_counted"] = _with(V_READINGS_SRC) + """SELECT status_raw AS status, count(*) AS cnt
+FROM readings_src GROUP BY status_raw ORDER BY cnt DESC, status_raw ASC NULLS FIRST LIMIT 10"""
+ORACLE["group_count"] = _with(V_READINGS_SRC) + """SELECT n_groups, n_groups > 1 AS several FROM (
+  SELECT CAST(count(DISTINCT status_raw) + max(CASE WHEN status_raw IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_groups
+  FROM readings_src) g"""
+
+_ORDERS = ("o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+           "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS o_orderdate, o_orderpriority")
+ORACLE["dedup_first"] = f"""SELECT {_ORDERS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate ASC NULLS FIRST,
+    o_orderkey ASC NULLS FIRST) AS rn FROM orders) t WHERE rn = 1"""
+ORACLE["dedup_first_window"] = ORACLE["dedup_first"]
+ORACLE["dedup_last"] = f"""SELECT {_ORDERS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC NULLS LAST,
+    o_orderkey DESC NULLS LAST) AS rn FROM orders) t WHERE rn = 1"""
+ORACLE["dedup_any"] = "SELECT DISTINCT o_custkey FROM orders"
+ORACLE["column_match"] = """SELECT l_orderkey, l_linenumber,
+  CASE WHEN o_orderstatus = l_linestatus THEN l_linestatus ELSE 'no match' END AS status_match
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+# ---- tokens and streams ------------------------------------------------------------------
+
+ORACLE["token_sort"] = """SELECT CAST(t AS INTEGER) AS num, 1 AS unit_count FROM (
+  SELECT unnest(string_split(trim(regexp_replace(props, '[^0-9]+', ' ', 'g')), ' ')) AS t FROM events) s"""
+_WORDS = "SELECT unnest(string_split(text, ' ')) AS word FROM documents"
+ORACLE["word_count"] = f"SELECT word, count(*) AS cnt FROM ({_WORDS}) w GROUP BY word"
+ORACLE["stream_batch_words"] = f"SELECT word, count(*) AS cnt, 0 AS batch_id FROM ({_WORDS}) w GROUP BY word"
+ORACLE["stream_batch_total"] = f"SELECT count(*) AS total, 0 AS batch_id FROM ({_WORDS}) w"
+
+# ---- sinks -------------------------------------------------------------------------------
+
+ORACLE["json_round_trip"] = ORACLE["daily_sum"]
