@@ -22,27 +22,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.operators.joins import broadcast_if_small
+from slotwise.operators.joins import bounded_counts, row_cap
 from slotwise.operators.normalise import READING_FIELDS
 
 ENRICHED_FIELDS = READING_FIELDS + ("si", "cal_date", "pi")
 
 
-def account_frame(accounts: DataFrame, plans: DataFrame, assignments: DataFrame) -> DataFrame:
+def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
+def account_frame(accounts: DataFrame, plans: DataFrame, assignments: DataFrame,
+                  plans_small: bool = False) -> DataFrame:
     """J2 + the equality part of J3 on the dimension side: one row per
     (account, assignment) with the plan's use type; key as text like ``sa``."""
-    plans_b = broadcast_if_small(plans)
-    acct = accounts.join(plans_b, "plan_id").join(assignments, "account_id")
+    acct = accounts.join(_maybe_broadcast(plans, plans_small), "plan_id").join(assignments, "account_id")
     return acct.select(F.col("account_id").cast("string").alias("_acct"), "plan_id",
                        F.col("use_type").alias("_use_type"), "assign_start", "assign_end")
 
 
-def season_calendar(seasons: DataFrame, calendar: DataFrame) -> DataFrame:
+def season_calendar(seasons: DataFrame, calendar: DataFrame, calendar_small: bool = True) -> DataFrame:
     """J5 on the dimension side: every calendar day of the run window inside
-    each season (range-only join of two small frames; the calendar side is
-    broadcast behind a size check, so the nested loop never shuffles)."""
-    cal = broadcast_if_small(calendar)
-    return seasons.join(cal, (cal.cal_date >= seasons.season_start) & (cal.cal_date <= seasons.season_end))
+    each season. With the calendar proven small it is broadcast and the
+    range-only join is a nested loop that never shuffles. Otherwise the
+    days are matched per season through an equi join on the day: each season
+    is expanded to its days inside the calendar's range (bounded by the
+    season lengths, not by the product of the two tables)."""
+    if calendar_small:
+        cal = F.broadcast(calendar)
+        return seasons.join(cal, (cal.cal_date >= seasons.season_start) & (cal.cal_date <= seasons.season_end))
+    days = seasons.withColumn("cal_date", F.explode(F.sequence("season_start", "season_end")))
+    return days.join(calendar, "cal_date").select(*seasons.columns, "cal_date", "day_type")
 
 
 def enrich(readings: DataFrame, accounts: DataFrame, plans: DataFrame, assignments: DataFrame,
@@ -63,24 +73,33 @@ def enrich(readings: DataFrame, accounts: DataFrame, plans: DataFrame, assignmen
         raise ValueError("calendar_match must be 'range' or 'day'")
     r = readings.withColumn("_day", F.to_date("pfd"))
 
+    dp = dayparts.select(F.col("pi"), F.col("plan_id").alias("_dp_plan"), F.col("t0"), F.col("t1"),
+                         F.col("day_type").alias("_dp_day_type"), F.col("season").alias("_dp_season"))
+    if dayparts_unique:
+        dp = dp.dropDuplicates()
+
+    # Size proofs of the small dimensions, all in one job. The season x
+    # calendar frame is bounded by the product of the two counts.
+    frames = {"plans": plans, "seasons": seasons, "calendar": calendar, "dayparts": dp}
+    caps = {k: row_cap(v) for k, v in frames.items()}
+    n = bounded_counts(frames, caps)
+    small = {k: n[k] <= caps[k] for k in frames}
+    sc = season_calendar(seasons, calendar, small["calendar"])
+    sc_small = small["seasons"] and small["calendar"] and n["seasons"] * n["calendar"] <= row_cap(sc)
+
     # J1 + J3: fact x account frame (single shuffle join of the fact).
-    acct = account_frame(accounts, plans, assignments)
+    acct = account_frame(accounts, plans, assignments, small["plans"])
     j = r.join(acct, (r.sa == acct._acct) & (r._day >= acct.assign_start) & (r._day < acct.assign_end))
 
     # J4 + J5: fact x (season x calendar), broadcast, equi on use type.
-    sc = season_calendar(seasons, calendar)
-    sc_b = broadcast_if_small(sc)
+    sc_b = _maybe_broadcast(sc, sc_small)
     cond = (j._use_type == sc_b.use_type) & (j._day >= sc_b.season_start) & (j._day <= sc_b.season_end)
     if calendar_match == "day":
         cond = cond & (sc_b.cal_date == j._day)
     j = j.join(sc_b, cond)
 
     # Left join of day parts on plan, day type, season and time of day.
-    dp = dayparts.select(F.col("pi"), F.col("plan_id").alias("_dp_plan"), F.col("t0"), F.col("t1"),
-                         F.col("day_type").alias("_dp_day_type"), F.col("season").alias("_dp_season"))
-    if dayparts_unique:
-        dp = dp.dropDuplicates()
-    dp = broadcast_if_small(dp)
+    dp = _maybe_broadcast(dp, small["dayparts"])
     slot = F.substring(j.qtr_intr_10, 1, 8) if normalise_times else j.qtr_intr_10
     inside = (slot >= dp.t0) & (slot <= dp.t1)
     if wrap_midnight:

@@ -37,6 +37,22 @@ def row_width(df: DataFrame) -> int:
     return max(8, sum(type_width(f.dataType) for f in df.schema.fields))
 
 
+def row_cap(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> int:
+    """Largest row count of ``df`` that may be broadcast."""
+    return min(max_rows, max_bytes // row_width(df))
+
+
+def bounded_counts(frames: dict, caps: dict) -> dict:
+    """Row counts of several frames, each counted only up to ``cap + 1``, in
+    one job (a union of limited projections to a tag column)."""
+    parts = [df.limit(caps[k] + 1).select(F.lit(i).alias("_t")) for i, (k, df) in enumerate(frames.items())]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionAll(p)
+    got = {r["_t"]: r["n"] for r in u.groupBy("_t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {k: got.get(i, 0) for i, k in enumerate(frames)}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                        max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` is proven small, else ``df`` itself.

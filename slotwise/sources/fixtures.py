@@ -44,20 +44,20 @@ DAYPART_SRC_ROWS = ((" ON ", "KWHSNP ", "2017-01-01 08:00:00", "2017-01-01 11:59
                     ("MID", "OTHER", "2017-01-01 00:00:00", "2017-01-01 01:00:00", "WD", "W", "2023-01-01", "2024-12-31"))
 
 
+def _sql_literal(v, t: str) -> str:
+    if v is None:
+        return f"CAST(NULL AS {t})"
+    text = "'" + str(v).replace("'", "''") + "'"
+    return text if t == "string" else f"{t.upper()} {text}"
+
+
 def _rows_column(rows, names, types):
-    """Literal rows as an array of structs, to be exploded onto each input row."""
-    structs = []
-    for r in rows:
-        fields = []
-        for v, n, t in zip(r, names, types):
-            lit = F.lit(v).cast(t)
-            if t == "date" and v is not None:
-                lit = F.to_date(F.lit(v))
-            elif t == "timestamp" and v is not None:
-                lit = F.to_timestamp(F.lit(v))
-            fields.append(lit.alias(n))
-        structs.append(F.struct(*fields))
-    return F.explode(F.array(*structs))
+    """Literal rows as an array of structs, to be exploded onto each input
+    row (one SQL expression, parsed once)."""
+    structs = ", ".join(
+        "named_struct(" + ", ".join(f"'{n}', {_sql_literal(v, t)}" for v, n, t in zip(r, names, types)) + ")"
+        for r in rows)
+    return F.explode(F.expr(f"array({structs})"))
 
 
 def readings_src(spark: SparkSession, base: str) -> DataFrame:
