@@ -24,6 +24,13 @@ def total_count(counts: DataFrame) -> DataFrame:
 def token_sort(df: DataFrame, col: str = "value", sep: str = " ") -> DataFrame:
     """Integer tokens of each line, each with count 1, sorted by value
     (a distributed range-partitioned sort). A token that is not an integer
-    fails the cast, as the reference's ``int()`` does."""
+    fails the cast, as the reference's ``int()`` does.
+
+    The sort key carries a per-row tiebreaker (row id, stable for a given
+    input split), so the range partitioner can cut a value that holds a large
+    share of all rows across several partitions instead of sending all its
+    rows to one task."""
     t = df.select(F.explode(tokens(col, sep)).alias("t"))
-    return t.select(F.col("t").cast("int").alias("num"), F.lit(1).alias("unit_count")).orderBy("num")
+    nums = t.select(F.col("t").cast("int").alias("num"), F.lit(1).alias("unit_count"),
+                    F.monotonically_increasing_id().alias("_tb"))
+    return nums.orderBy("num", "_tb").drop("_tb")
