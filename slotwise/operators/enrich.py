@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.operators.joins import bounded_counts, row_cap
+from slotwise.operators.joins import ROWS_PER_SPLIT, bounded_counts, row_cap, salted_join
 from slotwise.operators.normalise import READING_FIELDS
 
 ENRICHED_FIELDS = READING_FIELDS + ("si", "cal_date", "pi")
@@ -58,7 +58,8 @@ def season_calendar(seasons: DataFrame, calendar: DataFrame, calendar_small: boo
 def enrich(readings: DataFrame, accounts: DataFrame, plans: DataFrame, assignments: DataFrame,
            seasons: DataFrame, calendar: DataFrame, dayparts: DataFrame,
            calendar_match: str = "range", dayparts_unique: bool = False,
-           wrap_midnight: bool = False, normalise_times: bool = False) -> DataFrame:
+           wrap_midnight: bool = False, normalise_times: bool = False, skew: str = "aqe",
+           rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """Join normalised readings with clean dimensions (see :mod:`dimensions`).
 
     ``calendar_match="range"`` reproduces the reference: every calendar day
@@ -68,6 +69,11 @@ def enrich(readings: DataFrame, accounts: DataFrame, plans: DataFrame, assignmen
     ``dayparts_unique`` drops duplicate day-part rows before the join (X3);
     ``wrap_midnight`` lets a part whose UTC bounds cross midnight match (X4);
     ``normalise_times`` compares 'HH:mm:ss' on both sides (X5).
+
+    ``skew="aqe"`` leaves hot accounts to AQE's skew-join split (both sides
+    are shuffled right under the join); ``skew="split"`` splits every account
+    with more than ``rows_per_split`` readings over several tasks itself
+    (:func:`salted_join`), independent of runtime statistics.
     """
     if calendar_match not in ("range", "day"):
         raise ValueError("calendar_match must be 'range' or 'day'")
@@ -89,7 +95,12 @@ def enrich(readings: DataFrame, accounts: DataFrame, plans: DataFrame, assignmen
 
     # J1 + J3: fact x account frame (single shuffle join of the fact).
     acct = account_frame(accounts, plans, assignments, small["plans"])
-    j = r.join(acct, (r.sa == acct._acct) & (r._day >= acct.assign_start) & (r._day < acct.assign_end))
+    if skew == "split":
+        j = salted_join(r, acct, "sa", "_acct",
+                        lambda b, s: (b._day >= s.assign_start) & (b._day < s.assign_end),
+                        rows_per_split=rows_per_split)
+    else:
+        j = r.join(acct, (r.sa == acct._acct) & (r._day >= acct.assign_start) & (r._day < acct.assign_end))
 
     # J4 + J5: fact x (season x calendar), broadcast, equi on use type.
     sc_b = _maybe_broadcast(sc, sc_small)

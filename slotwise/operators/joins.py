@@ -64,3 +64,50 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     cap = min(max_rows, max_bytes // row_width(df))
     n = df.limit(cap + 1).count()
     return F.broadcast(df) if n <= cap else df
+
+
+# Rows of one key that one join task should handle at most before the key is
+# split into several tasks.
+ROWS_PER_SPLIT = 2_000_000
+
+
+def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, condition=None,
+                how: str = "inner", rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """Equi join that splits hot keys of ``big`` over several tasks.
+
+    1. Exact row counts per key of ``big`` (the key column alone, partially
+       aggregated) give every key with more than ``rows_per_split`` rows a
+       bucket count ``ceil(rows / rows_per_split)``. There are at most
+       ``rows(big) / rows_per_split`` such keys; the list is broadcast only
+       behind a size check (else the split is skipped and AQE's skew join is
+       left to split the partitions at runtime).
+    2. Rows of a hot key get a salt ``pmod(xxhash64(row), buckets)`` (a pure
+       function of the row, so a retried task salts identically); other rows
+       get salt 0. Rows of ``small`` for a hot key are repeated once per
+       bucket, all other rows once.
+    3. The join runs on (key, salt) plus ``condition``: every row of
+       ``big`` still meets every matching row of ``small`` exactly once.
+
+    ``condition`` is a function ``(big_df, small_df) -> Column`` for residual
+    predicates. ``how`` is "inner" or "left" (``big`` on the left)."""
+    hot = (big.groupBy(F.col(big_key).alias("_hk")).agg(F.count(F.lit(1)).alias("_hn"))
+           .where(F.col("_hn") > rows_per_split)
+           .select("_hk", F.ceil(F.col("_hn") / F.lit(rows_per_split)).cast("int").alias("_hb")))
+    cap = row_cap(hot)
+    if bounded_counts({"hot": hot}, {"hot": cap})["hot"] > cap:
+        cond = big[big_key] == small[small_key]
+        if condition is not None:
+            cond = cond & condition(big, small)
+        return big.join(small, cond, how)
+    hot_b = F.broadcast(hot)
+    b = big.join(hot_b, big[big_key] == hot_b["_hk"], "left")
+    salt = F.when(F.col("_hb").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col("_hb")))
+    b = b.withColumn("_salt", salt.cast("int")).drop("_hk", "_hb")
+    s = small.join(hot_b, small[small_key] == hot_b["_hk"], "left")
+    s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_hb"), F.lit(1)) - 1))) \
+         .drop("_hk", "_hb").withColumnRenamed("_salt", "_salt_s")
+    cond = (b[big_key] == s[small_key]) & (b["_salt"] == s["_salt_s"])
+    if condition is not None:
+        cond = cond & condition(b, s)
+    return b.join(s, cond, how).drop("_salt", "_salt_s")

@@ -29,6 +29,11 @@ DEMAND_KEYS = ("sa", "sp", "rd", "pfd", "im", "demand_factor")
 INDICATOR_KEYS = ("sa", "sp", "rd", "im")
 STATUS_KEYS = ("sa", "sp", "uom", "rd", "im")
 
+# Closed value sets of the text pivots: statuses made by the normaliser, and
+# day-part codes kept by the day-part clean-up ('' from its coalesce).
+STATUS_CODES = ("ACTUAL", "ESTIMATED")
+PEAK_CODES = ("", "MID", "OFF", "ON", "SOF")
+
 # Record type tags (directory names of the JSON output).
 REC_TYPES = {"reading": "rdng_meas", "hourly": "hrly_sum", "daily": "daily_sum", "demand": "daily_max",
              "peak": "peak_ind", "outage": "outage_ind", "status": "status"}
@@ -57,17 +62,39 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 
 def slot_pivot(df: DataFrame, keys, slot_col: str, value: Column | str, slots,
-               agg=F.max, prefix: str = "", fill=0) -> DataFrame:
+               agg=F.max, prefix: str = "", fill=0, codes=None) -> DataFrame:
     """P15 + A2-style pivot: one row per key, one column per slot holding
     ``agg(value)`` of that slot's rows (NULL when none).
 
+    Built on ``groupBy().pivot(slot, slots)`` with the fixed slot list, so no
+    discovery job runs and the schema does not depend on the data. For
+    numeric values Catalyst plans it in two aggregation phases (per key and
+    slot, then one hash lookup per row to place the value), both with
+    map-side partial aggregation; text values fall back to one sort-based
+    aggregation with a conditional per slot.
+
+    ``codes``: the closed set of values a text column can hold. The pivot
+    then aggregates each value's rank in text order (same max / min) and
+    decodes it afterwards, so the text pivot also gets the numeric plan. A
+    value outside ``codes`` fails the job instead of being dropped.
+
     ``fill`` replaces NULL in numeric slot columns like the reference's
     ``na.fill(0)``; text columns stay NULL (quirk X8). ``fill=None`` keeps
     every NULL."""
     v = F.col(value) if isinstance(value, str) else value
-    s = F.col(slot_col)
     names = [f"{prefix}{x}" for x in slots]
-    out = df.groupBy(*keys).agg(*[agg(F.when(s == F.lit(x), v)).alias(n) for x, n in zip(slots, names)])
+    if codes is not None:
+        ordered = sorted(set(codes))
+        dictionary = F.array(*[F.lit(c) for c in ordered])
+        pos = F.array_position(dictionary, v).cast("int")
+        v = F.when(pos == 0, F.raise_error(F.concat(F.lit(f"value outside {ordered}: "), v.cast("string")))) \
+             .otherwise(pos)
+    narrow = df.select(*keys, F.col(slot_col).alias("_slot"), v.alias("_v"))
+    wide = narrow.groupBy(*keys).pivot("_slot", list(slots)).agg(agg("_v"))
+    if codes is not None:
+        # rank -> code (0-based lookup; an empty cell stays NULL)
+        return wide.select(*keys, *[F.get(dictionary, F.col(f"`{x}`") - 1).alias(n) for x, n in zip(slots, names)])
+    out = wide.select(*keys, *[F.col(f"`{x}`").alias(n) for x, n in zip(slots, names)])
     if fill is not None:
         out = out.na.fill(fill, subset=names)
     return out
@@ -105,14 +132,16 @@ def _round_sum(v: Column, as_string: bool) -> Column:
 
 
 def hourly_pivot(enriched: DataFrame, hours=HOURS, as_string: bool = True, prefix: str = "") -> DataFrame:
-    """A5 in one aggregation: the hourly sums of A3 pivoted by hour. The
-    reference aggregates twice (and computes A3 twice); summing each hour's
-    rows directly gives the same cells with one shuffle."""
-    hr = F.col("hr_intr")
-    cols = [_round_sum(F.when(hr == F.lit(h), F.col("rm")), as_string).alias(f"{prefix}{h}") for h in hours]
-    out = enriched.groupBy(*HOURLY_KEYS).agg(*cols)
-    out = out.na.fill(0, subset=[f"{prefix}{h}" for h in hours])
-    return _tag(out, "hourly")
+    """A5: the hourly sums of A3 pivoted by hour, as one pivot over the
+    readings (Catalyst's two-phase pivot: round(sum) per key and hour, then
+    placed per key). The reference computes A3, then pivots it with ``max``
+    over one value per cell, which is the same table."""
+    s = F.round(F.sum("rm"), 4)
+    s = s.cast("string") if as_string else s.cast("double")
+    wide = enriched.groupBy(*HOURLY_KEYS).pivot("hr_intr", list(hours)).agg(s)
+    names = [f"{prefix}{h}" for h in hours]
+    out = wide.select(*HOURLY_KEYS, *[F.col(f"`{h}`").alias(n) for h, n in zip(hours, names)])
+    return _tag(out.na.fill(0, subset=names), "hourly")
 
 
 def daily_sum(enriched: DataFrame, as_string: bool = True) -> DataFrame:
@@ -130,9 +159,12 @@ def daily_demand(enriched: DataFrame, as_string: bool = True, unit: str = "kd")
     return _tag(out, "demand").withColumn("mstkd", start).withColumn("metkd", end)
 
 
-def peak_pivot(enriched: DataFrame, slots=QUARTER_SLOTS, prefix: str = "") -> DataFrame:
-    """Day-part code per slot; max by text order (SOF > ON > OFF > MID)."""
-    return _tag(slot_pivot(enriched, INDICATOR_KEYS, "qtr_intr", "pi", slots, prefix=prefix), "peak")
+def peak_pivot(enriched: DataFrame, slots=QUARTER_SLOTS, prefix: str = "", codes=PEAK_CODES) -> DataFrame:
+    """Day-part code per slot; max by text order (SOF > ON > OFF > MID).
+    ``codes``: the day-part codes the enriched rows can carry (those kept by
+    the day-part clean-up, plus '' from its ``coalesce``); ``None`` for any
+    text."""
+    return _tag(slot_pivot(enriched, INDICATOR_KEYS, "qtr_intr", "pi", slots, prefix=prefix, codes=codes), "peak")
 
 
 def outage_pivot(enriched: DataFrame, slots=QUARTER_SLOTS, prefix: str = "") -> DataFrame:
@@ -140,9 +172,10 @@ def outage_pivot(enriched: DataFrame, slots=QUARTER_SLOTS, prefix: str = "") ->
     return _tag(slot_pivot(enriched, INDICATOR_KEYS, "qtr_intr", "oi", slots, prefix=prefix), "outage")
 
 
-def status_pivot(enriched: DataFrame, slots=QUARTER_SLOTS, prefix: str = "") -> DataFrame:
-    """A10: reading status per slot; ESTIMATED wins over ACTUAL."""
-    return _tag(slot_pivot(enriched, STATUS_KEYS, "qtr_intr", "st", slots, prefix=prefix), "status")
+def status_pivot(enriched: DataFrame, slots=QUARTER_SLOTS, prefix: str = "", codes=STATUS_CODES) -> DataFrame:
+    """A10: reading status per slot; ESTIMATED wins over ACTUAL (the only two
+    statuses the normaliser produces; ``codes=None`` for any text)."""
+    return _tag(slot_pivot(enriched, STATUS_KEYS, "qtr_intr", "st", slots, prefix=prefix, codes=codes), "status")
 
 
 def all_outputs(enriched: DataFrame, slots=QUARTER_SLOTS, hours=HOURS, as_string: bool = True,

@@ -76,7 +76,7 @@ def enriched_readings(inp: IntervalInputs, p: IntervalParams) -> DataFrame:
         dims.clean_calendar(inp.calendar, p.start, p.end),
         dayparts,
         calendar_match=p.calendar_match, dayparts_unique=p.dayparts_unique,
-        wrap_midnight=p.wrap_midnight, normalise_times=p.normalise_times)
+        wrap_midnight=p.wrap_midnight, normalise_times=p.normalise_times, **p.extra)
 
 
 def outputs(enriched: DataFrame, p: IntervalParams) -> dict[str, DataFrame]:

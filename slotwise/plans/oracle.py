@@ -154,6 +154,7 @@ ORACLE["daypart_asof_late"] = _daypart_sql("2024-01-15")
 
 _ENRICHED_COLS = READING_COLS + ", si, CAST(cal_date AS VARCHAR) AS cal_date, pi"
 ORACLE["enrich_range_calendar"] = ENRICHED + f"SELECT {_ENRICHED_COLS} FROM enriched"
+ORACLE["enrich_split_hot_accounts"] = ENRICHED + f"SELECT {_ENRICHED_COLS} FROM enriched"
 ORACLE["enrich_day_calendar"] = ENRICHED_DAY + f"SELECT {_ENRICHED_COLS} FROM enriched"
 ORACLE["slot_list"] = ENRICHED + "SELECT DISTINCT qtr_intr FROM enriched WHERE qtr_intr IS NOT NULL"
 ORACLE["hour_list"] = ENRICHED + "SELECT DISTINCT hr_intr FROM enriched WHERE hr_intr IS NOT NULL"

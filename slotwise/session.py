@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",
+    # Pivots carry 96 slot columns next to their keys; let such operators
+    # stay in whole-stage code generation (default cap: 100 fields).
+    "spark.sql.codegen.maxFields": "400",
 }
 
 

@@ -4,7 +4,7 @@ aggregation per pivot, no cartesian products."""
 import os
 
 from slotwise.operators.normalise import normalise_readings
-from slotwise.operators.outputs import reading_pivot
+from slotwise.operators.outputs import peak_pivot, reading_pivot
 from slotwise.plans.catalog import _enriched
 from tests.conftest import SF_SMALL
 from tests.test_normalise_dimensions import raw_rows, row
@@ -40,10 +40,16 @@ def test_enrich_plan(spark):
     assert p.count("BroadcastExchange") >= 3
 
 
-def test_pivot_is_one_aggregation(spark):
-    pv = reading_pivot(_enriched(spark, SF_SMALL), prefix="s")
+def test_pivot_plans(spark):
+    e = _enriched(spark, SF_SMALL)
+    pv = reading_pivot(e, prefix="s")
     pv.collect()
     p = plan_text(pv)
-    # one shuffle for the pivot itself (partial + final aggregate around it)
-    assert "SortMergeJoin" not in p
-    assert p.count("HashAggregate(keys=[sa") == 2
+    # numeric values: two-phase pivot (per key and slot, then PivotFirst per key)
+    assert "pivotfirst" in p.lower()
+    assert "SortMergeJoin" not in p and "CartesianProduct" not in p
+    # text values with a closed code set take the same plan
+    pk = peak_pivot(e, prefix="s")
+    pk.collect()
+    assert "pivotfirst" in plan_text(pk).lower()
+    assert "SortAggregate" not in plan_text(pk)
