@@ -2,9 +2,10 @@
 
 The reference runs six actions per column over Python RDDs. Here every
 column is profiled in one aggregation: rows are unpivoted to
-(column index, value text) cells, grouped by cell value (partial aggregation
-collapses repeated values, so a hot value costs one row per map task), then
-rolled up per column. Exact distinct counts need the distinct values to be
+(column index, native value) cells, grouped by cell value (partial
+aggregation collapses repeated values, so a hot value costs one row per map
+task), then only the distinct values are turned into text and rolled up per
+column. Exact distinct counts need the distinct values to be
 shuffled once, which is the floor for an exact answer; ``approx=True``
 replaces them with HyperLogLog++ sketches (no value shuffle).
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slotwise.functions.text import any_length, is_blank
 
@@ -20,7 +22,51 @@ PROFILE_FIELDS = ("db", "table_name", "column_name", "is_distinct", "has_blanks"
                   "max_length", "min_length", "row_count", "distinct_count")
 
 
+_UNGROUPABLE = tuple(x for x in (T.MapType, getattr(T, "VariantType", None)) if x is not None)
+
+
+def _groupable(t: T.DataType) -> bool:
+    """Whether Spark can group by values of this type."""
+    if isinstance(t, _UNGROUPABLE):
+        return False
+    if isinstance(t, T.ArrayType):
+        return _groupable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_groupable(f.dataType) for f in t.fields)
+    return True
+
+
+def _typed_groups(df: DataFrame, cols) -> dict:
+    """Column indexes grouped by the type their values are compared in
+    (native type; text for types Spark cannot group by)."""
+    groups: dict = {}
+    for i, c in enumerate(cols):
+        t = df.schema[c].dataType
+        key = t.simpleString() if _groupable(t) else "string"
+        groups.setdefault(key, []).append((i, c))
+    return groups
+
+
+def _value_counts(df: DataFrame, cols) -> DataFrame:
+    """(column index, value text, rows) for every distinct value of every
+    column. One narrow unpivot + aggregation per value type, each grouping
+    native values (map-side partial aggregation first); only the distinct
+    values are turned into text."""
+    parts = []
+    for key, members in _typed_groups(df, cols).items():
+        cells = F.array(*[F.struct(F.lit(i).alias("ci"),
+                                   (F.col(c) if key != "string" else F.col(c).cast("string")).alias("v"))
+                          for i, c in members])
+        counted = df.select(F.inline(cells)).groupBy("ci", "v").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counted.select("ci", F.col("v").cast("string").alias("v"), "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _cells(df: DataFrame, cols) -> DataFrame:
+    """(column index, value text) per cell, for the approximate profile."""
     cells = F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("string").alias("v"))
                       for i, c in enumerate(cols)])
     return df.select(F.inline(cells))
@@ -37,16 +83,16 @@ def column_profile(df: DataFrame, db: str = "", table: str = "", columns=None,
     (quirk X16)."""
     cols = list(columns or df.columns)
     spark = df.sparkSession
-    cells = _cells(df, cols)
     length = any_length(F.col("v"), null_length)
     if approx:
+        cells = _cells(df, cols)
         per_col = cells.groupBy("ci").agg(
             F.count(F.lit(1)).alias("row_count"),
             (F.approx_count_distinct("v") + F.max(F.col("v").isNull().cast("int"))).alias("distinct_count"),
             F.max(is_blank("v")).alias("has_blanks"), F.max(F.col("v").isNull()).alias("has_nulls"),
             F.max(length).alias("max_length"), F.min(length).alias("min_length"))
     else:
-        per_value = cells.groupBy("ci", "v").agg(F.count(F.lit(1)).alias("n"))
+        per_value = _value_counts(df, cols)
         per_col = per_value.groupBy("ci").agg(
             F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("distinct_count"),
             F.max(is_blank("v")).alias("has_blanks"), F.max(F.col("v").isNull()).alias("has_nulls"),
