@@ -36,3 +36,14 @@ def reused(df: DataFrame, how: str = "persist", level: StorageLevel = StorageLev
 def partition_rows(df: DataFrame) -> DataFrame:
     """Rows per partition (partition count = rows of the result; shows skew)."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition an input that arrives in fewer splits than the
+    cluster's default parallelism (a small or unsplittable file), ahead of
+    row-multiplying work such as tokenising. Inputs with at least that many
+    splits, as at any real scale, are returned unchanged: no shuffle."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
