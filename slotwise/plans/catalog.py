@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from slotwise.operators import dimensions as dims
+from slotwise.session import apply_runtime_conf
 from slotwise.operators import outputs as out
 from slotwise.plans.interval_job import IntervalParams, enriched_readings, fixture_inputs
 from slotwise.sources import fixtures
@@ -31,6 +32,7 @@ def query(name: str):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # Date / time keys are computed on the UTC wall clock.
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            apply_runtime_conf(spark)
             return portable(fn(spark, sf_dir))
         QUERIES[name] = run
         return run

@@ -17,6 +17,7 @@ from slotwise.operators.enrich import enrich
 from slotwise.operators.frames import reused
 from slotwise.operators.normalise import normalise_readings
 from slotwise.operators.outputs import HOURS, all_outputs, observed_values, slots_for
+from slotwise.session import apply_runtime_conf
 from slotwise.sinks.files import write_records
 from slotwise.sources import fixtures
 
@@ -101,6 +102,7 @@ def run(inp: IntervalInputs, p: IntervalParams, path: str, max_files: dict | Non
     reused (``reuse="persist"`` keeps it in executor memory / disk and is
     recomputed from lineage for lost blocks; ``"checkpoint"`` writes it to
     the shared checkpoint folder first)."""
+    apply_runtime_conf(inp.readings.sparkSession)
     enriched = enriched_readings(inp, p)
     written = []
     with reused(enriched, reuse) as base:

@@ -18,6 +18,15 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",
+}
+
+# Runtime SQL settings the plans rely on; applied to any session (also one
+# handed in by a caller) where they are not set explicitly.
+RUNTIME_CONF = {
+    # A hot join key is split by AQE even when the join's partitioning also
+    # served the aggregation above it; the extra shuffle (with partial
+    # aggregation) is added only when runtime statistics show skew.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Pivots carry 96 slot columns next to their keys; let such operators
     # stay in whole-stage code generation (default cap: 100 fields).
     "spark.sql.codegen.maxFields": "400",
@@ -35,7 +44,15 @@ def get_session(app_name: str = "slotwise", master: str | None = None,
         builder = builder.config(k, v)
     if hive:
         builder = builder.enableHiveSupport()
-    return builder.getOrCreate()
+    return apply_runtime_conf(builder.getOrCreate())
+
+
+def apply_runtime_conf(spark: SparkSession) -> SparkSession:
+    """Set :data:`RUNTIME_CONF` entries that the session does not set itself."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -72,4 +89,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["DEFAULT_CONF", "get_session", "shared_dir", "scratch_path", "local_path"]
+__all__ = ["DEFAULT_CONF", "RUNTIME_CONF", "apply_runtime_conf", "get_session", "shared_dir", "scratch_path",
+           "local_path"]
