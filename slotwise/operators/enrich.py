@@ -88,7 +88,7 @@ def enrich(readings: DataFrame, accounts: DataFrame, plans: DataFrame, assignmen
     # calendar frame is bounded by the product of the two counts.
     frames = {"plans": plans, "seasons": seasons, "calendar": calendar, "dayparts": dp}
     caps = {k: row_cap(v) for k, v in frames.items()}
-    n = bounded_counts(frames, caps)
+    n = bounded_counts(frames)
     small = {k: n[k] <= caps[k] for k in frames}
     sc = season_calendar(seasons, calendar, small["calendar"])
     sc_small = small["seasons"] and small["calendar"] and n["seasons"] * n["calendar"] <= row_cap(sc)

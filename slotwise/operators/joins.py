@@ -42,10 +42,11 @@ def row_cap(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int =
     return min(max_rows, max_bytes // row_width(df))
 
 
-def bounded_counts(frames: dict, caps: dict) -> dict:
-    """Row counts of several frames, each counted only up to ``cap + 1``, in
-    one job (a union of limited projections to a tag column)."""
-    parts = [df.limit(caps[k] + 1).select(F.lit(i).alias("_t")) for i, (k, df) in enumerate(frames.items())]
+def bounded_counts(frames: dict) -> dict:
+    """Exact row counts of several frames in one job: a union of projections
+    to a tag column, counted with partial aggregation (each task counts its
+    own rows; unlike a global limit, no rows are gathered into one task)."""
+    parts = [df.select(F.lit(i).alias("_t")) for i, df in enumerate(frames.values())]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionAll(p)
@@ -57,13 +58,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                        max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Return ``broadcast(df)`` when ``df`` is proven small, else ``df`` itself.
 
-    The proof is a bounded count (``limit(n + 1).count()``, which stops after
-    n + 1 rows) against a row cap derived from both limits, so a dimension
-    that grows with the data falls back to a shuffle join instead of
-    exhausting executor memory."""
-    cap = min(max_rows, max_bytes // row_width(df))
-    n = df.limit(cap + 1).count()
-    return F.broadcast(df) if n <= cap else df
+    The proof is a distributed count against a row cap derived from both
+    limits, so a dimension that grows with the data falls back to a shuffle
+    join instead of exhausting executor memory."""
+    n = bounded_counts({"df": df})["df"]
+    return F.broadcast(df) if n <= row_cap(df, max_rows, max_bytes) else df
 
 
 # Rows of one key that one join task should handle at most before the key is
@@ -78,9 +77,10 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     1. Exact row counts per key of ``big`` (the key column alone, partially
        aggregated) give every key with more than ``rows_per_split`` rows a
        bucket count ``ceil(rows / rows_per_split)``. There are at most
-       ``rows(big) / rows_per_split`` such keys; the list is broadcast only
-       behind a size check (else the split is skipped and AQE's skew join is
-       left to split the partitions at runtime).
+       ``rows(big) / rows_per_split`` such keys. The list is computed once
+       and saved with ``checkpoint()`` in the shared checkpoint folder, then
+       broadcast only behind a size check (beyond it the split is skipped
+       and AQE's skew join splits partitions at runtime).
     2. Rows of a hot key get a salt ``pmod(xxhash64(row), buckets)`` (a pure
        function of the row, so a retried task salts identically); other rows
        get salt 0. Rows of ``small`` for a hot key are repeated once per
@@ -90,11 +90,13 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
 
     ``condition`` is a function ``(big_df, small_df) -> Column`` for residual
     predicates. ``how`` is "inner" or "left" (``big`` on the left)."""
+    from slotwise.session import shared_dir
+    shared_dir(big.sparkSession)
     hot = (big.groupBy(F.col(big_key).alias("_hk")).agg(F.count(F.lit(1)).alias("_hn"))
            .where(F.col("_hn") > rows_per_split)
-           .select("_hk", F.ceil(F.col("_hn") / F.lit(rows_per_split)).cast("int").alias("_hb")))
-    cap = row_cap(hot)
-    if bounded_counts({"hot": hot}, {"hot": cap})["hot"] > cap:
+           .select("_hk", F.ceil(F.col("_hn") / F.lit(rows_per_split)).cast("int").alias("_hb"))
+           .checkpoint(eager=True))
+    if bounded_counts({"hot": hot})["hot"] > row_cap(hot):
         cond = big[big_key] == small[small_key]
         if condition is not None:
             cond = cond & condition(big, small)
