@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slotwise.functions.readings import day_bounds
 
@@ -62,7 +63,7 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 
 
 def slot_pivot(df: DataFrame, keys, slot_col: str, value: Column | str, slots,
-               agg=F.max, prefix: str = "", fill=0, codes=None) -> DataFrame:
+               agg=F.max, prefix: str = "", fill=0, codes=None, tag: str | None = None) -> DataFrame:
     """P15 + A2-style pivot: one row per key, one column per slot holding
     ``agg(value)`` of that slot's rows (NULL when none).
 
@@ -80,7 +81,7 @@ def slot_pivot(df: DataFrame, keys, slot_col: str, value: Column | str, slots,
 
     ``fill`` replaces NULL in numeric slot columns like the reference's
     ``na.fill(0)``; text columns stay NULL (quirk X8). ``fill=None`` keeps
-    every NULL."""
+    every NULL. ``tag`` adds a constant ``rec_type`` column."""
     v = F.col(value) if isinstance(value, str) else value
     names = [f"{prefix}{x}" for x in slots]
     if codes is not None:
@@ -91,13 +92,20 @@ def slot_pivot(df: DataFrame, keys, slot_col: str, value: Column | str, slots,
              .otherwise(pos)
     narrow = df.select(*keys, F.col(slot_col).alias("_slot"), v.alias("_v"))
     wide = narrow.groupBy(*keys).pivot("_slot", list(slots)).agg(agg("_v"))
+    # One projection for renaming, decoding / filling and the tag (a single
+    # analysis of the wide plan instead of one per step).
+    exprs = [f"`{k}`" for k in keys]
     if codes is not None:
         # rank -> code (0-based lookup; an empty cell stays NULL)
-        return wide.select(*keys, *[F.get(dictionary, F.col(f"`{x}`") - 1).alias(n) for x, n in zip(slots, names)])
-    out = wide.select(*keys, *[F.col(f"`{x}`").alias(n) for x, n in zip(slots, names)])
-    if fill is not None:
-        out = out.na.fill(fill, subset=names)
-    return out
+        dictionary_sql = "array(" + ", ".join("'" + c.replace("'", "''") + "'" for c in ordered) + ")"
+        exprs += [f"get({dictionary_sql}, `{x}` - 1) AS `{n}`" for x, n in zip(slots, names)]
+    else:
+        numeric = fill is not None and isinstance(wide.schema[str(slots[0])].dataType, T.NumericType)
+        exprs += [(f"coalesce(`{x}`, {fill}) AS `{n}`" if numeric else f"`{x}` AS `{n}`")
+                  for x, n in zip(slots, names)]
+    if tag is not None:
+        exprs.append(f"'{tag}' AS rec_type")
+    return wide.selectExpr(*exprs)
 
 
 def _tag(df: DataFrame, kind: str) -> DataFrame:
@@ -117,7 +125,7 @@ def reading_pivot(enriched: DataFrame, slots=QUARTER_SLOTS, compare: str = "nati
     v = F.col("rm")
     if compare == "numeric" and _is_text(enriched, "rm"):
         v = v.cast("double")
-    return _tag(slot_pivot(enriched, READING_KEYS, "qtr_intr", v, slots, prefix=prefix), "reading")
+    return slot_pivot(enriched, READING_KEYS, "qtr_intr", v, slots, prefix=prefix, tag=REC_TYPES["reading"])
 
 
 def hourly_sum(enriched: DataFrame, as_string: bool = True) -> DataFrame:
@@ -139,9 +147,9 @@ def hourly_pivot(enriched: DataFrame, hours=HOURS, as_string: bool = True, prefi
     s = F.round(F.sum("rm"), 4)
     s = s.cast("string") if as_string else s.cast("double")
     wide = enriched.groupBy(*HOURLY_KEYS).pivot("hr_intr", list(hours)).agg(s)
-    names = [f"{prefix}{h}" for h in hours]
-    out = wide.select(*HOURLY_KEYS, *[F.col(f"`{h}`").alias(n) for h, n in zip(hours, names)])
-    return _tag(out.na.fill(0, subset=names), "hourly")
+    cell = "`{h}`" if as_string else "coalesce(`{h}`, 0)"   # na.fill(0) fills numbers only
+    exprs = [f"`{k}`" for k in HOURLY_KEYS] + [f"{cell.format(h=h)} AS `{prefix}{h}`" for h in hours]
+    return wide.selectExpr(*exprs, f"'{REC_TYPES['hourly']}' AS rec_type")
 
 
 def daily_sum(enriched: DataFrame, as_string: bool = True) -> DataFrame:
@@ -164,18 +172,20 @@ def peak_pivot(enriched: DataFrame, slots=QUARTER_SLOTS, prefix: str = "", codes
     ``codes``: the day-part codes the enriched rows can carry (those kept by
     the day-part clean-up, plus '' from its ``coalesce``); ``None`` for any
     text."""
-    return _tag(slot_pivot(enriched, INDICATOR_KEYS, "qtr_intr", "pi", slots, prefix=prefix, codes=codes), "peak")
+    return slot_pivot(enriched, INDICATOR_KEYS, "qtr_intr", "pi", slots, prefix=prefix, codes=codes,
+                      tag=REC_TYPES["peak"])
 
 
 def outage_pivot(enriched: DataFrame, slots=QUARTER_SLOTS, prefix: str = "") -> DataFrame:
     """Outage flag per slot, max per cell, numeric NULL -> 0."""
-    return _tag(slot_pivot(enriched, INDICATOR_KEYS, "qtr_intr", "oi", slots, prefix=prefix), "outage")
+    return slot_pivot(enriched, INDICATOR_KEYS, "qtr_intr", "oi", slots, prefix=prefix, tag=REC_TYPES["outage"])
 
 
 def status_pivot(enriched: DataFrame, slots=QUARTER_SLOTS, prefix: str = "", codes=STATUS_CODES) -> DataFrame:
     """A10: reading status per slot; ESTIMATED wins over ACTUAL (the only two
     statuses the normaliser produces; ``codes=None`` for any text)."""
-    return _tag(slot_pivot(enriched, STATUS_KEYS, "qtr_intr", "st", slots, prefix=prefix, codes=codes), "status")
+    return slot_pivot(enriched, STATUS_KEYS, "qtr_intr", "st", slots, prefix=prefix, codes=codes,
+                      tag=REC_TYPES["status"])
 
 
 def all_outputs(enriched: DataFrame, slots=QUARTER_SLOTS, hours=HOURS, as_string: bool = True,

@@ -42,7 +42,11 @@ def query(name: str):
 def portable(df: DataFrame) -> DataFrame:
     """Render date / timestamp columns as ISO text (the form the records take
     in JSON) and decimals as doubles, so results compare across engines."""
-    cols = []
+    cols, changed = [], False
+    for f in df.schema.fields:
+        changed = changed or isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType, DecimalType))
+    if not changed:
+        return df
     for f in df.schema.fields:
         if isinstance(f.dataType, DateType):
             cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
@@ -396,3 +400,18 @@ def partition_rows(spark, base):
     from slotwise.operators.frames import partition_rows as rows_per_partition
     from slotwise.sources.tables import read_table
     return rows_per_partition(read_table(spark, "events", base))
+
+
+@query("interval_job_status_records")
+def interval_job_status_records(spark, base):
+    """The whole interval job (seven record types over one reused enriched
+    frame, written as partitioned JSON), then the status records read back."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    from slotwise.plans.interval_job import run
+    from slotwise.session import scratch_path
+    from slotwise.sinks.files import read_records
+    path = scratch_path(spark, "interval-job")
+    run(_inputs(spark, base), _params(), path)
+    names = ["sa", "sp", "uom", "rd"] + [f"s{x}" for x in out.QUARTER_SLOTS] + ["rec_type", "dt", "im"]
+    schema = StructType([StructField(n, StringType()) for n in names])
+    return read_records(spark, path, schema, rec_type="status").drop("dt")

@@ -279,3 +279,4 @@ ORACLE["stream_batch_total"] = f"SELECT count(*) AS total, 0 AS batch_id FROM ({
 # ---- sinks -------------------------------------------------------------------------------
 
 ORACLE["json_round_trip"] = ORACLE["daily_sum"]
+ORACLE["interval_job_status_records"] = ORACLE["status_pivot"]
