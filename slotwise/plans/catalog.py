@@ -415,3 +415,37 @@ def interval_job_status_records(spark, base):
     names = ["sa", "sp", "uom", "rd"] + [f"s{x}" for x in out.QUARTER_SLOTS] + ["rec_type", "dt", "im"]
     schema = StructType([StructField(n, StringType()) for n in names])
     return read_records(spark, path, schema, rec_type="status").drop("dt")
+
+
+# ---- whole event range (day-matched calendar), interval 60 -------------------------------
+
+ALL_DAYS = ("2024-01-01", "2024-12-31")
+
+
+def _all_days(spark, base, interval=fixtures.INTERVAL):
+    return _enriched(spark, base, start=ALL_DAYS[0], end=ALL_DAYS[1], interval=interval, calendar_match="day")
+
+
+@query("enrich_all_days")
+def enrich_all_days(spark, base):
+    return _all_days(spark, base)
+
+
+@query("daily_sum_all_days")
+def daily_sum_all_days(spark, base):
+    return out.daily_sum(_all_days(spark, base), as_string=False)
+
+
+@query("hourly_pivot_all_days")
+def hourly_pivot_all_days(spark, base):
+    return out.hourly_pivot(_all_days(spark, base), as_string=False, prefix="h")
+
+
+@query("reading_pivot_interval60")
+def reading_pivot_interval60(spark, base):
+    return out.reading_pivot(_all_days(spark, base, interval=60), slots=out.HOUR_SLOTS, prefix="s")
+
+
+@query("status_pivot_interval60")
+def status_pivot_interval60(spark, base):
+    return out.status_pivot(_all_days(spark, base, interval=60), slots=out.HOUR_SLOTS, prefix="s")

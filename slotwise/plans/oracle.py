@@ -5,7 +5,7 @@ Spark results."""
 
 from __future__ import annotations
 
-from slotwise.operators.outputs import HOURS, QUARTER_SLOTS
+from slotwise.operators.outputs import HOUR_SLOTS, HOURS, QUARTER_SLOTS
 
 ORACLE: dict[str, str] = {}
 
@@ -26,7 +26,9 @@ V_READINGS_SRC = """readings_src AS (
   FROM events)"""
 
 
-def _readings_view(value_sql: str = "CAST(reading AS DECIMAL(18,4))", factor_sql: str = "CASE WHEN interval_min = 15 THEN 4 ELSE 1 END") -> str:
+def _readings_view(value_sql: str = "CAST(reading AS DECIMAL(18,4))",
+                   factor_sql: str = "CASE WHEN interval_min = 15 THEN 4 ELSE 1 END",
+                   window=("2024-01-19", "2024-01-22"), interval: int = 15) -> str:
     return f"""readings AS (
   SELECT CAST(point_id AS VARCHAR) AS sp, CAST(account_id AS VARCHAR) AS sa,
     CASE WHEN period_count % 23 = 0 OR period_count % 24 = 0 OR period_count % 25 = 0
@@ -44,7 +46,7 @@ def _readings_view(value_sql: str = "CAST(reading AS DECIMAL(18,4))", factor_sql
     CASE WHEN status_raw = 'Estimated' THEN 'ESTIMATED' ELSE 'ACTUAL' END AS st, outage AS oi,
     {factor_sql} AS demand_factor
   FROM readings_src
-  WHERE read_date BETWEEN '2024-01-19' AND '2024-01-22' AND interval_min = 15
+  WHERE read_date BETWEEN '{window[0]}' AND '{window[1]}' AND interval_min = {interval}
     AND channel IN (1101, 1102, 1103, 9104))"""
 
 
@@ -83,7 +85,7 @@ READING_COLS = ("sp, sa, rsc, im, CAST(rm AS DOUBLE) AS rm, chnl, rd, pfd, rdng_
                 "oi, demand_factor")
 
 
-def _enriched_view(day_match: bool = False) -> str:
+def _enriched_view(day_match: bool = False, window=("2024-01-19", "2024-01-22")) -> str:
     extra = " AND c.cal_date = CAST(r.pfd AS DATE)" if day_match else ""
     return f"""enriched AS (
   SELECT r.*, s.season AS si, c.cal_date, d.part AS pi
@@ -94,7 +96,7 @@ def _enriched_view(day_match: bool = False) -> str:
     AND CAST(r.pfd AS DATE) >= pa.assign_start AND CAST(r.pfd AS DATE) < pa.assign_end
   JOIN seasons s ON s.use_type = trim(p.use_type)
     AND CAST(r.pfd AS DATE) >= s.start_date AND CAST(r.pfd AS DATE) <= s.end_date
-  JOIN (SELECT * FROM calendar WHERE cal_date BETWEEN DATE '2024-01-19' AND DATE '2024-01-22') c
+  JOIN (SELECT * FROM calendar WHERE cal_date BETWEEN DATE '{window[0]}' AND DATE '{window[1]}') c
     ON c.cal_date >= s.start_date AND c.cal_date <= s.end_date{extra}
   LEFT JOIN dayparts d ON d.plan_id = p.plan_id AND r.qtr_intr_10 >= d.t0 AND r.qtr_intr_10 <= d.t1
     AND c.day_type = d.day_type AND s.season = d.season)"""
@@ -280,3 +282,26 @@ ORACLE["stream_batch_total"] = f"SELECT count(*) AS total, 0 AS batch_id FROM ({
 
 ORACLE["json_round_trip"] = ORACLE["daily_sum"]
 ORACLE["interval_job_status_records"] = ORACLE["status_pivot"]
+
+# ---- whole event range, day-matched calendar; interval 60 --------------------------------
+
+ALL_DAYS = ("2024-01-01", "2024-12-31")
+ENRICHED_ALL = _with(V_READINGS_SRC, _readings_view(window=ALL_DAYS), V_DIMS,
+                     _enriched_view(day_match=True, window=ALL_DAYS))
+ENRICHED_ALL_60 = _with(V_READINGS_SRC, _readings_view(window=ALL_DAYS, interval=60), V_DIMS,
+                        _enriched_view(day_match=True, window=ALL_DAYS))
+ORACLE["enrich_all_days"] = ENRICHED_ALL + f"SELECT {_ENRICHED_COLS} FROM enriched"
+ORACLE["daily_sum_all_days"] = ENRICHED_ALL + """SELECT sa, sp, rd, im, uom, CAST(round(sum(rm), 4) AS DOUBLE) AS ds,
+  'daily_sum' AS rec_type FROM enriched GROUP BY sa, sp, rd, im, uom"""
+ORACLE["hourly_pivot_all_days"] = ENRICHED_ALL + f"""SELECT sa, sp, uom, rd, im,
+  {_hcols},
+  'hrly_sum' AS rec_type
+FROM enriched GROUP BY sa, sp, uom, rd, im"""
+ORACLE["reading_pivot_interval60"] = ENRICHED_ALL_60 + f"""SELECT {_RK},
+  {_pivot_cols('qtr_intr', 'rm', HOUR_SLOTS, 's', '0', True)},
+  'rdng_meas' AS rec_type
+FROM enriched GROUP BY {_RK}"""
+ORACLE["status_pivot_interval60"] = ENRICHED_ALL_60 + f"""SELECT sa, sp, uom, rd, im,
+  {_pivot_cols('qtr_intr', 'st', HOUR_SLOTS, 's')},
+  'status' AS rec_type
+FROM enriched GROUP BY sa, sp, uom, rd, im"""
