@@ -53,3 +53,25 @@ def test_pivot_plans(spark):
     pk.collect()
     assert "pivotfirst" in plan_text(pk).lower()
     assert "SortAggregate" not in plan_text(pk)
+
+
+def test_interval_job_shuffles_the_fact_once(spark):
+    """With shuffle joins (as at scale) the enriched base is hash-partitioned
+    by account; all seven outputs aggregate inside those partitions."""
+    from slotwise.plans.catalog import _params
+    from slotwise.plans.interval_job import outputs
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        e = _enriched(spark, SF_SMALL).persist()
+        e.count()
+        for name, df in outputs(e, _params()).items():
+            df.write.format("noop").mode("overwrite").save()
+            above_cache = plan_text(df).split("InMemoryRelation")[0]
+            assert "Exchange" not in above_cache, name
+        e.unpersist()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
