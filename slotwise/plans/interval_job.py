@@ -8,6 +8,7 @@ slot discovery when ``slots="observed"``).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,22 +94,37 @@ def outputs(enriched: DataFrame, p: IntervalParams) -> dict[str, DataFrame]:
                        prefix=p.prefix, hour_prefix=p.hour_prefix)
 
 
+def write_concurrently(frames: dict, write, threads: int = 4) -> list[str]:
+    """Run one write action per frame, up to ``threads`` at a time (Spark
+    schedules concurrent jobs from driver threads; each retries on its own).
+    Errors are raised after all submitted writes finish."""
+    if threads <= 1:
+        for name, df in frames.items():
+            write(name, df)
+        return list(frames)
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        futures = {name: pool.submit(write, name, df) for name, df in frames.items()}
+        for f in futures.values():
+            f.result()
+    return list(futures)
+
+
 def run(inp: IntervalInputs, p: IntervalParams, path: str, max_files: dict | None = None,
-        partition_by_reading_date: bool = False, reuse: str = "persist") -> list[str]:
+        partition_by_reading_date: bool = False, reuse: str = "persist", threads: int = 4) -> list[str]:
     """Run the whole job and write every record type under ``path`` as
     ``rec_type=<t>/dt=<d>/im=<n>/`` JSON, replacing only those partitions.
 
     The enriched frame feeds seven aggregations, so it is computed once and
     reused (``reuse="persist"`` keeps it in executor memory / disk and is
     recomputed from lineage for lost blocks; ``"checkpoint"`` writes it to
-    the shared checkpoint folder first)."""
+    the shared checkpoint folder first). The seven writes are independent
+    jobs over that frame and run ``threads`` at a time."""
     apply_runtime_conf(inp.readings.sparkSession)
     enriched = enriched_readings(inp, p)
-    written = []
+    dt = None if partition_by_reading_date else p.start
+
+    def write(rec_type, df):
+        write_records(df, path, rec_type, dt=dt, im=p.interval, max_files=(max_files or {}).get(rec_type))
+
     with reused(enriched, reuse) as base:
-        for rec_type, df in outputs(base, p).items():
-            n = (max_files or {}).get(rec_type)
-            write_records(df, path, rec_type, dt=None if partition_by_reading_date else p.start,
-                          im=p.interval, max_files=n)
-            written.append(rec_type)
-    return written
+        return write_concurrently(outputs(base, p), write, threads)
