@@ -92,3 +92,11 @@ def test_token_sort_spreads_a_hot_value(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(r["count"] for r in parts) == 4000
     assert len(parts) > 1
+
+
+def test_profile_nan_null_and_signed_zero(spark):
+    df = spark.createDataFrame([(float("nan"),), (float("nan"),), (1.5,), (None,), (0.0,), (-0.0,)], "d double")
+    r = column_profile(df).collect()[0]
+    # NaN is one value, NULL is one value, and -0.0 equals 0.0 (as in Python)
+    assert (r.row_count, r.distinct_count, r.is_distinct, r.has_nulls) == (6, 4, False, True)
+    assert (r.max_length, r.min_length) == (4, 3)
