@@ -266,6 +266,13 @@ def value_frequency_user(spark, base):
     return value_frequency(read_table(spark, "events", base), "user_id")
 
 
+@query("value_frequency_all_columns")
+def value_frequency_all_columns(spark, base):
+    from slotwise.operators.profile import value_frequencies
+    from slotwise.sources.tables import read_table
+    return value_frequencies(read_table(spark, "customer", base))
+
+
 @query("value_frequency_nulls")
 def value_frequency_nulls(spark, base):
     from slotwise.operators.profile import value_frequency

@@ -8,6 +8,7 @@ slot discovery when ``slots="observed"``).
 
 from __future__ import annotations
 
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -66,6 +67,10 @@ def fixture_inputs(spark: SparkSession, base: str) -> IntervalInputs:
 
 def enriched_readings(inp: IntervalInputs, p: IntervalParams) -> DataFrame:
     """Normalise, clean the dimensions and join them (steps 1-2 of the job)."""
+    if p.calendar_match == "range" and p.start != p.end:
+        warnings.warn(f"calendar_match='range' over {p.start}..{p.end}: each reading is repeated once per "
+                      "calendar day of its season in the window (quirk X2); use calendar_match='day' "
+                      "for multi-day loads", stacklevel=2)
     readings = normalise_readings(inp.readings, p.start, p.end, p.interval, typed=p.typed)
     dayparts = inp.dayparts if inp.dayparts_clean else dims.clean_dayparts(
         inp.dayparts, as_of=p.as_of, normalise_times=p.normalise_times)

@@ -305,3 +305,15 @@ ORACLE["status_pivot_interval60"] = ENRICHED_ALL_60 + f"""SELECT sa, sp, uom, rd
   {_pivot_cols('qtr_intr', 'st', HOUR_SLOTS, 's')},
   'status' AS rec_type
 FROM enriched GROUP BY sa, sp, uom, rd, im"""
+
+
+def _frequencies_sql(table: str, n: int = 10) -> str:
+    per_col = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count({c}) AS cnt FROM {table} GROUP BY {c}"
+        for c in PROFILED[table])
+    return f"""SELECT column_name, value, cnt, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY cnt DESC, value ASC NULLS FIRST) AS rank
+  FROM ({per_col}) c) r WHERE rank <= {n}"""
+
+
+ORACLE["value_frequency_all_columns"] = _frequencies_sql("customer")

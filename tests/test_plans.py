@@ -75,3 +75,12 @@ def test_interval_job_shuffles_the_fact_once(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_top_values_limit_before_shuffle(spark):
+    from slotwise.operators.profile import value_frequencies
+    df = spark.range(5000).selectExpr("id", "id % 7 AS k")
+    top = value_frequencies(df, n=3)
+    top.collect()
+    p = plan_text(top)
+    assert p.count("WindowGroupLimit") >= 2      # partial (map side) and final

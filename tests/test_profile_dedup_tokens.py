@@ -100,3 +100,11 @@ def test_profile_nan_null_and_signed_zero(spark):
     # NaN is one value, NULL is one value, and -0.0 equals 0.0 (as in Python)
     assert (r.row_count, r.distinct_count, r.is_distinct, r.has_nulls) == (6, 4, False, True)
     assert (r.max_length, r.min_length) == (4, 3)
+
+
+def test_value_frequencies_all_columns(spark):
+    from slotwise.operators.profile import value_frequencies
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (None, "b")], "x int, s string")
+    got = {(r.column_name, r.value, r.cnt, r.rank) for r in value_frequencies(df, n=2).collect()}
+    # NULL's count(col) is 0, so it ranks after '2' (count 1) and drops out of the top 2
+    assert got == {("x", "1", 2, 1), ("x", "2", 1, 2), ("s", "b", 3, 1), ("s", "a", 1, 2)}
