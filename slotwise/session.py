@@ -69,6 +69,8 @@ def shared_dir(spark: SparkSession) -> str:
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
+        if d:
+            sc.setCheckpointDir(d)   # named in the conf; make checkpoint() use it
     if not d:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
