@@ -79,7 +79,7 @@ def readings_src(spark: SparkSession, base: str) -> DataFrame:
         F.when(F.col("event_id") % 10 == 9, 60).otherwise(15).alias("interval_measure"),
         F.col("value").alias("rdng_meas"),
         chan.otherwise(FOREIGN_CHANNEL).alias("rdng_chnl_num"),
-        day.alias("pcfc_day_per_dt"),
+        F.to_date("ts").alias("pcfc_day_per_dt"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("rdng_dttm"),
         F.concat(day, F.lit(" "), hh, F.lit(":"), mm, F.lit(":00")).alias("pcfc_qtr_hr_per_strt_dttm"),
         F.concat(day, F.lit(" "), hh, F.lit(":00:00")).alias("pcfc_hr_per_strt_dttm"),
