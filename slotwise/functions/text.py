@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,5 +35,4 @@ def is_blank(value) -> Column:
 def tokens(text, sep: str = " ") -> Column:
     """Split on one separator character, keeping empty tokens
     (leading, repeated and trailing separators)."""
-    import re
     return F.split(_c(text), re.escape(sep), -1)

@@ -117,4 +117,4 @@ def enrich(readings: DataFrame, accounts: DataFrame, plans: DataFrame, assignmen
         inside = F.when(dp.t0 <= dp.t1, inside).otherwise((slot >= dp.t0) | (slot <= dp.t1))
     j = j.join(dp, (dp._dp_plan == j.plan_id) & (dp._dp_day_type == j.day_type)
                & (dp._dp_season == j.si) & inside, "left")
-    return j.select(*READING_FIELDS, "si", "cal_date", "pi")
+    return j.select(*ENRICHED_FIELDS)

@@ -86,10 +86,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + f"{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only bookkeeping (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["DEFAULT_CONF", "RUNTIME_CONF", "apply_runtime_conf", "get_session", "shared_dir", "scratch_path",
-           "local_path"]
+__all__ = ["DEFAULT_CONF", "RUNTIME_CONF", "apply_runtime_conf", "get_session", "shared_dir", "scratch_path"]
