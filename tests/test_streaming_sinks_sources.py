@@ -74,3 +74,15 @@ def test_sql_scan_listing_lines(spark, tmp_dir):
     assert columns_of(df) == ["id", "d"]
     _write(tmp_dir, "lines.txt", "3 1\n2\n")
     assert [r.value for r in read_lines(spark, os.path.join(tmp_dir, "lines.txt")).collect()] == ["3 1", "2"]
+
+
+def test_console_and_batch_printout(spark, tmp_dir, capsys):
+    from slotwise.sinks.files import console
+    from slotwise.streaming.words import process_batch
+    df = spark.createDataFrame([("a b a",)], "value string")
+    console(df, 5, False)
+    process_batch(df, 7, os.path.join(tmp_dir, "out"), show=True)
+    printed = capsys.readouterr().out
+    assert "a b a" in printed and "========= batch 7 =========" in printed and "total" in printed
+    back = spark.read.parquet(os.path.join(tmp_dir, "out", "totals"))
+    assert [(r.batch_id, r.total) for r in back.collect()] == [(7, 3)]
