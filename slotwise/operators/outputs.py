@@ -71,8 +71,10 @@ def slot_pivot(df: DataFrame, keys, slot_col: str, value: Column | str, slots,
     discovery job runs and the schema does not depend on the data. For
     numeric values Catalyst plans it in two aggregation phases (per key and
     slot, then one hash lookup per row to place the value), both with
-    map-side partial aggregation; text values fall back to one sort-based
-    aggregation with a conditional per slot.
+    map-side partial aggregation. Text values are aggregated per (key, slot)
+    cell and the at most ``len(slots)`` cells of a key are gathered into a
+    map, read out per slot (Catalyst's own text pivot keeps one text buffer
+    per slot in a sort-based aggregation).
 
     ``codes``: the closed set of values a text column can hold. The pivot
     then aggregates each value's rank in text order (same max / min) and
@@ -91,10 +93,21 @@ def slot_pivot(df: DataFrame, keys, slot_col: str, value: Column | str, slots,
         v = F.when(pos == 0, F.raise_error(F.concat(F.lit(f"value outside {ordered}: "), v.cast("string")))) \
              .otherwise(pos)
     narrow = df.select(*keys, F.col(slot_col).alias("_slot"), v.alias("_v"))
+    exprs = [f"`{k}`" for k in keys]
+    if codes is None and isinstance(narrow.schema["_v"].dataType, T.StringType):
+        # Text values: one aggregate per (key, slot) cell, then the cells of a
+        # key gathered into a map (at most one entry per slot, so bounded)
+        # and read out per slot. Each row updates one buffer instead of one
+        # per slot.
+        cells = narrow.where(F.col("_slot").isin(list(slots))).groupBy(*keys, "_slot").agg(agg("_v").alias("_v"))
+        wide = cells.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_slot", "_v"))).alias("_m"))
+        exprs += [f"_m['{x}'] AS `{n}`" for x, n in zip(slots, names)]
+        if tag is not None:
+            exprs.append(f"'{tag}' AS rec_type")
+        return wide.selectExpr(*exprs)
     wide = narrow.groupBy(*keys).pivot("_slot", list(slots)).agg(agg("_v"))
     # One projection for renaming, decoding / filling and the tag (a single
     # analysis of the wide plan instead of one per step).
-    exprs = [f"`{k}`" for k in keys]
     if codes is not None:
         # rank -> code (0-based lookup; an empty cell stays NULL)
         dictionary_sql = "array(" + ", ".join("'" + c.replace("'", "''") + "'" for c in ordered) + ")"

@@ -145,3 +145,11 @@ def test_invariants_on_fixture(spark):
     assert non_null == cells
     day = _enriched(spark, SF_SMALL, calendar_match="day").count()
     assert day <= e.count()
+
+
+def test_text_pivot_edges(spark):
+    df = spark.createDataFrame([("k", "0000", "9.5"), ("k", "0000", "10.25"), ("k", None, "7"), ("k", "9999", "8"),
+                                ("j", "0015", None)], "k string, s string, v string")
+    rows = {r.k: r for r in O.slot_pivot(df, ["k"], "s", "v", ["0000", "0015"], tag="t").collect()}
+    assert (rows["k"]["0000"], rows["k"]["0015"], rows["k"].rec_type) == ("9.5", None, "t")
+    assert (rows["j"]["0000"], rows["j"]["0015"]) == (None, None)
