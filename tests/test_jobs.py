@@ -56,3 +56,20 @@ def test_partition_rows_and_spread(spark):
     wide = spread(df, 4)
     assert wide.rdd.getNumPartitions() == 4 and wide.count() == 1000
     assert spread(spark.range(1000).repartition(8), 4).rdd.getNumPartitions() == 8
+
+
+def test_interval_job_default_text_mode(spark, tmp_dir):
+    """The job with the reference's defaults (text values, observed slots,
+    output under dt=<start>): all seven record types are written."""
+    from slotwise.plans.interval_job import IntervalParams, fixture_inputs, run
+    from tests.conftest import SF_SMALL
+    out = os.path.join(tmp_dir, "records")
+    written = run(fixture_inputs(spark, SF_SMALL),
+                  IntervalParams(start="2024-01-19", end="2024-01-19", excluded_plan="MACHINERY", slots="observed"),
+                  out)
+    assert written == ["rdng_meas", "hrly_sum", "daily_sum", "daily_max", "peak_ind", "outage_ind", "status"]
+    for t in written:
+        assert os.listdir(os.path.join(out, f"rec_type={t}")) == ["dt=2024-01-19"]
+        assert os.listdir(os.path.join(out, f"rec_type={t}", "dt=2024-01-19")) == ["im=15"]
+    daily = spark.read.json(os.path.join(out, "rec_type=daily_sum"))
+    assert daily.count() > 0 and dict(daily.dtypes)["ds"] == "string"
