@@ -65,3 +65,27 @@ def op5_token_counts(spark, sf_dir):
     import public_tokenizers
     from slotwise.llm.token_counts import count_tokens
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@query
+def op8_decontamination(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from slotwise.llm.decontaminate import contamination
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.sort_array("items")), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op7_sentencepiece(spark, sf_dir):
+    import public_tokenizers
+    from pyspark.sql import functions as F
+    from slotwise.llm.pieces import decode, encode
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode(table(spark, sf_dir, "documents"), model)
+    return decode(encoded, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
