@@ -98,7 +98,7 @@ def choose_prefixes(ix: Index, counts: dict[int, np.ndarray], shingle: int) -> N
         place, key = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.uint64)
         for p in range(ix.words.shape[1] - s + 1):
             fits = ix.length[rows] >= p + s
-            h = bw.gram_hash(flat, rows[fits] * window + p, s)
+            h = bw.gram_hash(flat, rows[fits] * ix.words.shape[1] + p, s)
             n = counts[s][np.searchsorted(table, h)]
             better = n < best[fits]
             at = np.flatnonzero(fits)[better]
