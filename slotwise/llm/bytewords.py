@@ -190,3 +190,21 @@ def covered(at: np.ndarray, length: int, size: int) -> np.ndarray:
 def salted(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Keys that differ between texts."""
     return mix(keys + (doc.astype(np.uint64) + np.uint64(1)) * _STEP)
+
+
+_FILTER_BITS = 22
+
+
+def lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions in ``keys``, index in the sorted ``table``) of the keys that
+    the table holds; a bit map of the low bits spares most searches."""
+    if not len(table) or not len(keys):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    mask = np.uint64((1 << _FILTER_BITS) - 1)
+    seen = np.zeros(1 << _FILTER_BITS, bool)
+    seen[table & mask] = True
+    at = np.flatnonzero(seen[keys & mask])
+    k = keys[at]
+    i = np.minimum(np.searchsorted(table, k), len(table) - 1)
+    ok = table[i] == k
+    return at[ok], i[ok]

@@ -34,7 +34,6 @@ from slotwise.llm import bytewords as bw
 WINDOW = 10
 SHINGLE = 3
 BLOCK_BYTES = 16 << 20      # benchmark text per broadcast index
-_FILTER_BITS = 22
 
 
 @dataclass
@@ -49,20 +48,6 @@ class Index:
     prefix: dict[int, tuple[np.ndarray, ...]]           # length -> (hashes, list starts, window, place)
 
 
-def _lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(positions in keys, index in table) of the keys that the table holds."""
-    if not len(table) or not len(keys):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    mask = np.uint64((1 << _FILTER_BITS) - 1)
-    seen = np.zeros(1 << _FILTER_BITS, bool)
-    seen[table & mask] = True
-    at = np.flatnonzero(seen[keys & mask])
-    k = keys[at]
-    i = np.minimum(np.searchsorted(table, k), len(table) - 1)
-    ok = table[i] == k
-    return at[ok], i[ok]
-
-
 def build_index(items: list[tuple[str, str]], window: int, shingle: int) -> Index:
     """The windows of (id, text) pairs, without prefixes."""
     found: dict[tuple, set[str]] = {}
@@ -113,7 +98,7 @@ def find_hits(c: bw.Chunk, ix: Index) -> tuple[np.ndarray, np.ndarray]:
     doc, starts, windows = c.doc, [], []
     for s, (keys, lists, window, place) in ix.prefix.items():
         h, at = c.ngrams(s)
-        i, k = _lookup(keys, h)
+        i, k = bw.lookup(keys, h)
         n = lists[k + 1] - lists[k]
         entry = np.repeat(lists[k] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
         start, w = np.repeat(at[i], n) - place[entry], window[entry]
@@ -152,7 +137,7 @@ def _count_shingles(texts: DataFrame, shingles) -> dict[int, np.ndarray]:
         for b in batches:
             for _, _, c in bw.chunks(b.column(0), bw.ALNUM, lower=True):
                 for s, t in shingles.value.items():
-                    _, k = _lookup(t, c.ngrams(s)[0])
+                    _, k = bw.lookup(t, c.ngrams(s)[0])
                     counts[s] += np.bincount(k, minlength=len(t))
         for s, n in counts.items():
             k = np.flatnonzero(n)

@@ -89,3 +89,9 @@ def op7_sentencepiece(spark, sf_dir):
         "doc_id", F.size("ids").cast("long").alias("n_pieces"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@query
+def op1_ngram_jaccard_join(spark, sf_dir):
+    from slotwise.llm.ngram_join import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"))
