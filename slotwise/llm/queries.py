@@ -95,3 +95,13 @@ def op7_sentencepiece(spark, sf_dir):
 def op1_ngram_jaccard_join(spark, sf_dir):
     from slotwise.llm.ngram_join import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_suffix_dedup(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from slotwise.llm.suffix_dedup import remove_repeats
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        (F.size("ranges") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
