@@ -105,3 +105,14 @@ def op3_suffix_dedup(spark, sf_dir):
     return cut.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
         (F.size("ranges") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op9_pii(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from slotwise.llm.pii import PATTERNS, find_pii, span_text
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{kind}")
+              for k, kind in enumerate(PATTERNS)]
+    return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+                        span_text(F.col("spans")).alias("spans"))
