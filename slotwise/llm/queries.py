@@ -116,3 +116,9 @@ def op9_pii(spark, sf_dir):
               for k, kind in enumerate(PATTERNS)]
     return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
                         span_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op4_lm_scoring(spark, sf_dir):
+    from slotwise.llm.lm import score
+    return score(table(spark, sf_dir, "documents"))
