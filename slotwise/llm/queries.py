@@ -122,3 +122,11 @@ def op9_pii(spark, sf_dir):
 def op4_lm_scoring(spark, sf_dir):
     from slotwise.llm.lm import score
     return score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_quote_linking(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from slotwise.llm.quotes import format_chat, link_quotes
+    chat = format_chat(link_quotes(table(spark, sf_dir, "conversations")))
+    return chat.withColumn("reply_path", F.array_join(F.col("reply_path").cast("array<string>"), "/"))
