@@ -50,7 +50,7 @@ PERCENT = 85
 OCCURRENCES = 3             # l: occurrences on short lists that a pair must reach
 FREQUENT = 1 << 17          # grams in the broadcast table of list lengths
 TASK_GRAMS = 1 << 22        # grams that a task counts at once
-SHORT_LIST = 32             # members up to which a list's pairs become rows
+SHORT_LIST = 256            # members up to which a list's pairs become rows
 BLOCK_GRAMS = 1 << 19       # grams of a block; a task holds two blocks
 BROADCAST_IDS = 1 << 19     # documents to probe up to which their ids are broadcast
 
