@@ -1,9 +1,17 @@
-"""Corpus pipeline: stages over ``documents``, each calling one operator of
-:mod:`slotwise.llm`, written as Parquet and reread as the next one's input."""
+"""Corpus pipeline: five stages over ``documents``, each calling one operator of
+:mod:`slotwise.llm` on all that its predecessor kept. Each stage's result is
+written as Parquet to the shared folder and read again, so a lost executor
+repeats one stage's tasks at most.
+
+Stages but the last return the columns they were given. Null, empty and repeated
+rows are treated as the operators' docstrings say; an empty table passes all
+stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from slotwise.session import scratch_path
 
@@ -14,11 +22,51 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_good(docs)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group of near duplicates (word 5-grams,
+    similarity 0.8 or more) the document with the smallest id stays. Of rows with
+    one doc_id, one stays; rows with a null doc_id all stay."""
+    from slotwise.llm.ngram_join import one_per_group
+    return one_per_group(docs, percent=80, n=5)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that hold a benchmark window go."""
+    from slotwise.llm.decontaminate import keep_clean
+    return keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced in the texts; ``n_chars`` follows."""
+    from slotwise.llm.pii import sanitise
+    clean = sanitise(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    n = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return clean.withColumn("n_chars", n).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece encoding: doc_id, ``n_pieces``, ``ids``, and ``text`` as
+    decoded from them."""
+    import public_tokenizers
+    from slotwise.llm.pieces import decode, encode
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode(docs, model)
+    return decode(encoded, model, out_col="text").select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "text")
+
+
 STAGES = [
     ("quality rules", quality_stage),
+    ("n-gram jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("pii", pii_stage),
+    ("sentencepiece", pieces_stage),
 ]
 
-ORACLE_SQL = None       # the stages use rolling hashes and shortest paths; tested against brute force
+# Rolling hashes, link components and shortest paths are beyond SQL on whole
+# tables; tests/llm/test_pipeline.py holds the rows against a brute-force version.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,10 +160,7 @@ def _probe(percent: int):
 
 def sets_of(ids: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """(id, grams) of the wanted documents (column ``need``)."""
-    ids = cut(ids)
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return texts.join(ids, texts.id == F.col("need"), "left_semi").mapInArrow(_sets(n), "id long, grams binary")
+    return texts.join(_sized(cut(ids)), texts.id == F.col("need"), "left_semi").mapInArrow(_sets(n), "id long, grams binary")
 
 
 def probe(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -316,3 +313,21 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, n: int = GRAM, i
     out = rep.join(comp, F.col("rep") == F.col("node"), "left")
     return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"),
                       F.coalesce("component", "rep", "id").alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, percent: int = PERCENT, n: int = GRAM, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """The rows of each component's smallest id, with all columns. Of rows that
+    repeat an id one stays; rows with a null id all stay."""
+    found = jaccard_components(docs, percent, n, id_col, text_col)
+    ids = (found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+           .agg(F.count(F.lit(1)).alias("_rows"), F.min("component_id").alias("_component")))
+    ids = cut(ids.where("_rows > 1 or _component <> _id"))
+    rest = docs.join(_sized(ids.select("_id")), F.col(f"`{id_col}`") == F.col("_id"), "left_anti")
+    repeated = ids.where("_rows > 1 and _component = _id").select("_id")
+    return rest.unionByName(docs.join(_sized(repeated), F.col(f"`{id_col}`") == F.col("_id"), "left_semi").dropDuplicates([id_col]))
+
+
+def _sized(ids: DataFrame) -> DataFrame:
+    """A table of ids, marked for broadcast if its count is within the bound."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
