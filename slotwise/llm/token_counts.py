@@ -4,7 +4,7 @@ Texts are cut into pre-tokens; byte-pair merges never cross a pre-token, so a
 text's token count is the sum over its pre-tokens. Tier one is a compact table
 (pre-token -> number of tokens) of the corpus' frequent pre-tokens, broadcast;
 tier two is each worker's cache, filled by encoding what the table misses with
-the tokenizer library. Pre-tokens are never shuffled: one pass counts them in
+the tokenizer library, one call for a group of texts. Pre-tokens are never shuffled: one pass counts them in
 the tasks, and each task sends its most frequent ones only (a bounded summary),
 from which the table is made. The table affects speed, never the result.
 
@@ -27,11 +27,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TABLE_SIZE = 1 << 16        # pre-tokens in the broadcast table
-TASK_SUMMARY = 1 << 12      # pre-tokens that one task reports
+TABLE_SIZE = 1 << 17        # pre-tokens in the broadcast table
+TASK_SUMMARY = 1 << 14      # pre-tokens that one task reports
 COUNTER_SIZE = 1 << 18      # entries at which a task's counter drops its rare half
-CACHE_SIZE = 1 << 19        # entries of a worker's cache
+CACHE_SIZE = 1 << 20        # entries of a worker's cache
 TABLE_BYTES = 64            # longest pre-token in the table
+GROUP = 256                 # texts whose misses are encoded in one call
 _SAFE = regex.compile(r"[ɐ-\U0010ffff]")
 _WORKER: dict[str, "Encoder"] = {}
 
@@ -61,15 +62,30 @@ class Encoder:
             return self.cut(text)
         return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
 
-    def misses(self, words: list[str]) -> dict[str, int]:
-        """Token counts of pre-tokens outside the table, through the cache."""
-        if len(self.cache) + len(words) > CACHE_SIZE:
-            self.cache.clear()
-        new = [w for w in words if w not in self.cache]
+    def lengths(self, words: list[str]) -> list[int]:
+        return [len(e.ids) for e in self.tok.encode_batch(words, add_special_tokens=False)]
+
+    def counts(self, texts: list[str], table: dict[str, int]) -> list[int]:
+        """Tokens per text: the table and the cache in one dictionary, what both
+        miss encoded once for all the texts."""
+        known, out, todo = self.cache, [], []
+        if len(known) < len(table) or len(known) > len(table) + CACHE_SIZE:
+            known = self.cache = dict(table)
+        for k, text in enumerate(texts):
+            if not text or self.special(text):
+                out.append(self.whole(text) if text else 0)
+                continue
+            words = self.pretokens(text)
+            found = list(map(known.get, words))
+            out.append(sum(filter(None, found)))
+            if None in found:
+                todo.append((k, [w for w, n in zip(words, found) if n is None]))
+        new = list({w: None for _, missing in todo for w in missing})
         if new:
-            got = self.tok.encode_batch(new, add_special_tokens=False)
-            self.cache.update(zip(new, (len(e.ids) for e in got)))
-        return self.cache
+            known.update(zip(new, self.lengths(new)))
+        for k, missing in todo:
+            out[k] += sum(map(known.get, missing))
+        return out
 
 
 def encoder(path: str, pattern: str) -> Encoder:
@@ -78,21 +94,6 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _WORKER[path]
 
 
-def count_text(enc: Encoder, table: dict[str, int], text: str) -> int:
-    if not text:
-        return 0
-    if enc.special(text):
-        return enc.whole(text)
-    words = enc.pretokens(text)
-    lengths = list(map(table.get, words))
-    try:
-        return sum(lengths)
-    except TypeError:       # a miss is None
-        missing = [w for w, n in zip(words, lengths) if n is None]
-        cache = enc.misses(list(dict.fromkeys(missing)))
-        return sum(n for n in lengths if n is not None) + sum(cache[w] for w in missing)
-
-
 def frequent_pretokens(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
                        size: int = TABLE_SIZE) -> dict[str, int]:
     """The broadcast table. Every task counts all of its pre-tokens (in bounded
@@ -108,10 +109,10 @@ def frequent_pretokens(docs: DataFrame, path: str, pattern: str, text_col: str =
                     if len(counts) > COUNTER_SIZE:
                         counts = Counter(dict(counts.most_common(COUNTER_SIZE // 2)))
         top = [(w, n) for w, n in counts.most_common(TASK_SUMMARY) if n > 1 and len(w) <= TABLE_BYTES]
-        cache = enc.misses([w for w, _ in top])
+        lengths = enc.lengths([w for w, _ in top])
         yield pa.RecordBatch.from_arrays(
             [pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64()),
-             pa.array([cache[w] for w, _ in top], pa.int32())], names=["pretoken", "n", "tokens"])
+             pa.array(lengths, pa.int32())], names=["pretoken", "n", "tokens"])
 
     top = (docs.select(docs[text_col]).mapInArrow(run, "pretoken string, n long, tokens int")
            .groupBy("pretoken").agg(F.sum("n").alias("n"), F.max("tokens").alias("tokens"))
@@ -131,9 +132,10 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_
         enc, known = encoder(path, pattern), table.value
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
-            n = pa.array([count_text(enc, known, t) for t in texts], pa.int64())
+            n = [x for k in range(0, len(texts), GROUP) for x in enc.counts(texts[k:k + GROUP], known)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), n], names=[id_col, "n_bytes", "n_tokens"])
+                [b.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()),
+                 pa.array(n, pa.int64())], names=[id_col, "n_bytes", "n_tokens"])
 
     return (src.mapInArrow(run, f"`{id_col}` {id_type}, n_bytes long, n_tokens long")
             .withColumn("over_limit", F.col("n_tokens") > limit))
