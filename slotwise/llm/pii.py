@@ -21,7 +21,8 @@ and generalised (``<NAME>``) below.
 
 Contexts are bounded, so a mention gives a bounded number of rows; statistics are
 partial aggregations; terms are looked up by joins on the term, or on the text's
-digest. Nothing is collected but the number of candidate terms.
+digest, as broadcasts where the table's measured size allows. Nothing is collected
+but sizes.
 
 Null texts count as empty: no spans; in sanitised output they stay null. Repeated
 rows are scanned one by one. Other columns pass by untouched.
@@ -35,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm.graph import cut
+from slotwise.operators.joins import measured, small_enough
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # Each pattern is the given one, with the start tied to the run it begins in and
@@ -49,6 +51,7 @@ OCTET = "^0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])$"
 WORD = r"^\p{L}[\p{L}\p{M}'’-]*$"
 CONTEXT_WORDS = 6
 CONTEXT_CHARS = 240
+BROADCAST_BYTES = 16 << 20      # measured size up to which a table of terms is broadcast
 
 
 @dataclass(frozen=True)
@@ -145,17 +148,21 @@ def disclosing_terms(found: DataFrame, text_col: str, spans: str, rule: Disclosu
     if likely.isEmpty():
         return None
     entities = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    wanted = likely.select(F.col("term").alias("t")).distinct()
+    wanted = _sized(cut(likely.select(F.col("term").alias("t")).distinct()))
     n_t = (found.select(F.explode(F.array_distinct(_words(F.col(f"`{text_col}`")))).alias("word"))
            .join(wanted, F.col("word") == F.col("t"), "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_t")))
-    total = found.agg(F.count(F.lit(1)).alias("total"))        # one row
-    scored = (likely.join(entities, "entity").join(n_t, F.col("term") == F.col("word")).join(F.broadcast(total))
+    scored = (likely.join(entities, "entity").join(n_t, F.col("term") == F.col("word"))
               .withColumn("share", F.least(F.lit(1.0), F.col("joint") / F.col("n_t")))
-              .withColumn("bits", F.log2(F.col("share") * F.col("total") / F.col("n_e"))))
+              .withColumn("bits", F.log2(F.col("share") * found.count() / F.col("n_e"))))
     return cut(scored.where((F.col("share") >= rule.min_share) & (F.col("bits") >= rule.min_bits))
                .groupBy("term").agg(F.max("share").alias("share")))
 
 
+def _sized(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if its measured size is within the bound."""
+    return F.broadcast(df) if small_enough(measured({"df": df})["df"], max_bytes=BROADCAST_BYTES) else df
+
+
 def find_pii(docs: DataFrame, rule: Disclosure = Disclosure(), text_col: str = "text") -> DataFrame:
     """``docs`` with ``base`` (base spans) and ``spans`` (with the terms'),
     arrays of (start, rank in ``KINDS``, end, value); a term's value is
@@ -166,10 +173,10 @@ def find_pii(docs: DataFrame, rule: Disclosure = Disclosure(), text_col: str = "
         return found.withColumn("spans", F.col("base"))
     text = F.col(f"`{text_col}`")
     keyed = found.withColumn("_key", F.md5(F.coalesce(text, F.lit(""))))
-    texts = keyed.select("_key", text.alias("_t"), F.explode(F.array_distinct(_words(text))).alias("word")).drop("_t")
-    held = (texts.join(terms, F.col("word") == F.col("term")).groupBy(F.col("_key").alias("_held"))
-            .agg(F.collect_set(F.struct("term", "share")).alias("_terms")))
-    both = keyed.join(held, F.col("_key") == F.col("_held"), "left")
+    words = docs.select(F.md5(F.coalesce(text, F.lit(""))).alias("_key"), F.explode(F.array_distinct(_words(text))).alias("word"))
+    held = cut(words.join(_sized(terms), F.col("word") == F.col("term")).groupBy(F.col("_key").alias("_held"))
+               .agg(F.collect_set(F.struct("term", "share")).alias("_terms")))
+    both = keyed.join(_sized(held), F.col("_key") == F.col("_held"), "left")
 
     def occurrences(t):
         edge = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{M}'’-])\Q"), t["term"], F.lit(r"\E(?![\p{L}\p{M}'’-])"))
