@@ -103,9 +103,3 @@ def day_bounds(day) -> tuple[Column, Column]:
     end = F.concat(F.date_add(F.to_date(d.cast("string")), 1).cast("string"), F.lit(" 00:00:00"))
     return start, end
 
-
-def round_sum(value, as_string: bool = True) -> Column:
-    """P18 over A3/A6: round(sum(v), 4), as text like the reference, or as a
-    double (``as_string=False``; exact when ``v`` is decimal)."""
-    s = F.round(F.sum(_c(value)), 4)
-    return s.cast("string") if as_string else s.cast("double")

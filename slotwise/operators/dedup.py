@@ -19,11 +19,13 @@ def first_per_key(df: DataFrame, keys, order_by=None, ascending: bool = True,
     by that order wins (NULL first when ascending, last when descending,
     like ``row_number``).
 
-    ``method="aggregate"`` (default) is a ``min_by``/``max_by`` aggregation:
-    partial aggregation keeps one row per key per map task, so a key holding
-    a third of the table costs no more than any other. ``method="window"``
-    is the reference's ``row_number() = 1`` (Catalyst adds a partial
-    ``WindowGroupLimit`` before the shuffle)."""
+    ``method="aggregate"`` (default) is a ``min_by``/``max_by`` aggregation. Its
+    buffers hold whole rows, so Spark sorts each task's rows by key, keeps one
+    row per key and task before the shuffle, and sorts once more after it.
+    ``method="window"`` is the reference's ``row_number() = 1``; Catalyst sorts
+    each task's rows by key and order and puts a ``WindowGroupLimit`` before the
+    shuffle. Either way a key that holds a third of the table sends one row per
+    task."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not order_by:
         return df.dropDuplicates(keys)

@@ -15,16 +15,21 @@ def reused(df: DataFrame, how: str = "persist", level: StorageLevel = StorageLev
     """Use ``df`` several times inside the block, computing it once.
 
     ``"persist"``: cached blocks; a lost executor's blocks are recomputed
-    from lineage. ``"checkpoint"``: written to the shared checkpoint folder
-    (``spark.checkpoint.dir``), cutting the lineage. ``"none"``: recompute.
-    The cache is always released, also on error."""
+    from lineage. ``"checkpoint"``: written as Parquet under the shared
+    checkpoint folder (``spark.checkpoint.dir``), cutting the lineage.
+    ``"none"``: recompute. Cache and files are released in the end, also on
+    error."""
     if how == "none":
         yield df
         return
     if how == "checkpoint":
-        from slotwise.session import shared_dir
-        shared_dir(df.sparkSession)
-        yield df.checkpoint(eager=True)
+        from slotwise.session import remove_path, scratch_path
+        path = scratch_path(df.sparkSession, "reused")
+        try:
+            df.write.parquet(path)
+            yield df.sparkSession.read.parquet(path)
+        finally:
+            remove_path(df.sparkSession, path)
         return
     df.persist(level)
     try:
@@ -39,10 +44,11 @@ def partition_rows(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition an input that arrives in fewer splits than the
+    """Round-robin repartition a scan that arrives in fewer splits than the
     cluster's default parallelism (a small or unsplittable file), ahead of
-    row-multiplying work such as tokenising. Inputs with at least that many
-    splits, as at any real scale, are returned unchanged: no shuffle."""
+    row-multiplying work such as tokenising. Scans with at least that many
+    splits, as at any real scale, are returned unchanged: no shuffle. For scans
+    only: counting the splits of a frame with a shuffle would run it."""
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df

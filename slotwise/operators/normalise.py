@@ -37,7 +37,7 @@ class ReadingColumns:
 
 def normalise_readings(src: DataFrame, start: str, end: str, interval: int = 15,
                        channels=CHANNELS, typed: bool = False, lenient: bool = False,
-                       cols: ReadingColumns = ReadingColumns()) -> DataFrame:
+                       cols: ReadingColumns = ReadingColumns(), keep_keys: bool = False) -> DataFrame:
     """Filter the raw readings to the run window, interval and channels, and
     project them to the reading frame.
 
@@ -47,7 +47,9 @@ def normalise_readings(src: DataFrame, start: str, end: str, interval: int = 15,
     (value, demand factor as strings); ``typed=True`` keeps the value as
     ``decimal(18,4)`` (exact sums) and the demand factor as int.
     ``lenient=True`` turns malformed values into NULL instead of failing
-    (quirk X15). An interval other than 15 or 60 would give NULL slot
+    (quirk X15); text values stay as they are, and the outputs' own
+    ``lenient`` reads them. ``keep_keys`` adds the account id and the reading
+    day in their own types (``JOIN_KEYS``), for the joins. An interval other than 15 or 60 would give NULL slot
     keys, so it is rejected up front (quirk X7).
     """
     if interval not in INTERVALS:
@@ -61,6 +63,7 @@ def normalise_readings(src: DataFrame, start: str, end: str, interval: int = 15,
         value = (v.try_cast("decimal(18,4)") if lenient else v.cast("decimal(18,4)"))
     else:
         value = F.col(c.value).cast("string")
+    keys = [F.col(c.account).alias("_account"), F.to_date(F.col(c.day)).alias("_day")] if keep_keys else []
     return kept.select(
         F.col(c.point).cast("string").alias("sp"),
         F.col(c.account).cast("string").alias("sa"),
@@ -79,8 +82,12 @@ def normalise_readings(src: DataFrame, start: str, end: str, interval: int = 15,
         status_code(c.status).alias("st"),
         F.col(c.outage).alias("oi"),
         demand_factor(c.interval, typed=typed).alias("demand_factor"),
+        *keys,
     )
 
 
+JOIN_KEYS = ("_account", "_day")
+
+
 READING_FIELDS = ("sp", "sa", "rsc", "im", "rm", "chnl", "rd", "pfd", "rdng_dttm", "qtr_intr", "hr_intr",
                   "qtr_intr_10", "pc", "uom", "st", "oi", "demand_factor")

@@ -1,13 +1,14 @@
-"""Column profiling (A11-A18, F10, F11, P21): one job for a whole table.
-
-The reference runs six actions per column over Python RDDs. Here every
-column is profiled in one aggregation: rows are unpivoted to
-(column index, native value) cells, grouped by cell value (partial
-aggregation collapses repeated values, so a hot value costs one row per map
-task), then only the distinct values are turned into text and rolled up per
-column. Exact distinct counts need the distinct values to be
-shuffled once, which is the floor for an exact answer; ``approx=True``
-replaces them with HyperLogLog++ sketches (no value shuffle).
+"""Column profiling (A11-A18, F10, F11, P21): two scans for a whole table.
+
+The reference runs six actions per column over Python RDDs. Here one scan
+aggregates rows, blanks, NULLs and lengths of all columns in the tasks, with
+nothing but one row per task to merge. A second scan counts distinct values
+exactly: every cell becomes (column index, text or digest of the text) and is
+grouped with partial aggregation, so a hot value costs one row per map task and a
+long text 32 bytes. ``approx=True`` replaces the second scan with HyperLogLog++
+sketches inside the first.
+
+Values compare by their text form in both modes (-0.0 as 0.0 in the exact one).
 """
 
 from __future__ import annotations
@@ -49,9 +50,10 @@ def _typed_groups(df: DataFrame, cols) -> dict:
 
 def _value_counts(df: DataFrame, cols) -> DataFrame:
     """(column index, value text, rows) for every distinct value of every
-    column. One narrow unpivot + aggregation per value type, each grouping
-    native values (map-side partial aggregation first); only the distinct
-    values are turned into text."""
+    column. One scan, narrow unpivot and aggregation per value type, each
+    grouping native values (map-side partial aggregation first); only the
+    distinct values are turned into text. The values themselves are the grouping
+    keys, since ties between counts are ordered by value."""
     parts = []
     for key, members in _typed_groups(df, cols).items():
         cells = F.array(*[F.struct(F.lit(i).alias("ci"),
@@ -65,11 +67,24 @@ def _value_counts(df: DataFrame, cols) -> DataFrame:
     return out
 
 
-def _cells(df: DataFrame, cols) -> DataFrame:
-    """(column index, value text) per cell, for the approximate profile."""
-    cells = F.array(*[F.struct(F.lit(i).alias("ci"), F.col(c).cast("string").alias("v"))
-                      for i, c in enumerate(cols)])
-    return df.select(F.inline(cells))
+#: Types whose text can be long; their cells are grouped by digest.
+_LONG = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+
+
+def _identity(df: DataFrame, c: str):
+    """What a cell's text is told apart by: the text, or its SHA-256 where it
+    can be long."""
+    col = F.col(f"`{c}`")
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(col == 0, F.lit("0.0")).otherwise(col.cast("string"))     # -0.0 equals 0.0
+    return F.sha2(col.cast("string"), 256) if isinstance(df.schema[c].dataType, _LONG) else col.cast("string")
+
+
+def _distinct_counts(df: DataFrame, cols) -> DataFrame:
+    """(ci, distinct_count): exact, NULL as one value, from one scan."""
+    cells = F.array(*[F.struct(F.lit(i).alias("ci"), _identity(df, c).alias("v")) for i, c in enumerate(cols)])
+    return (df.select(F.inline(cells)).groupBy("ci", "v").agg(F.lit(1).alias("one"))
+            .groupBy("ci").agg(F.count(F.lit(1)).alias("distinct_count")))
 
 
 def column_profile(df: DataFrame, db: str = "", table: str = "", columns=None,
@@ -79,35 +94,33 @@ def column_profile(df: DataFrame, db: str = "", table: str = "", columns=None,
     shortest printed length (NULL prints as 'None', length 4, unless
     ``null_length`` says otherwise). Values are compared by their text form.
 
-    An empty table still yields one row per column, with NULL lengths
-    (quirk X16)."""
+    ``approx=True`` estimates the distinct count; uniqueness is NULL then, as an
+    estimate cannot decide it. An empty table still yields one row per column,
+    with NULL lengths (quirk X16)."""
     cols = list(columns or df.columns)
-    spark = df.sparkSession
-    length = any_length(F.col("v"), null_length)
-    if approx:
-        cells = _cells(df, cols)
-        per_col = cells.groupBy("ci").agg(
-            F.count(F.lit(1)).alias("row_count"),
-            (F.approx_count_distinct("v") + F.max(F.col("v").isNull().cast("int"))).alias("distinct_count"),
-            F.max(is_blank("v")).alias("has_blanks"), F.max(F.col("v").isNull()).alias("has_nulls"),
-            F.max(length).alias("max_length"), F.min(length).alias("min_length"))
-    else:
-        per_value = _value_counts(df, cols)
-        per_col = per_value.groupBy("ci").agg(
-            F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("distinct_count"),
-            F.max(is_blank("v")).alias("has_blanks"), F.max(F.col("v").isNull()).alias("has_nulls"),
-            F.max(length).alias("max_length"), F.min(length).alias("min_length"))
-    names = spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "ci int, column_name string")
-    rows = F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint")
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(cols):
+        v = F.col(f"`{c}`").cast("string")
+        length = any_length(v, null_length)
+        aggs.append(F.struct(
+            F.max(is_blank(v)).alias("has_blanks"), F.max(v.isNull()).alias("has_nulls"),
+            F.max(length).cast("int").alias("max_length"), F.min(length).cast("int").alias("min_length"),
+            *([(F.approx_count_distinct(v) + F.max(v.isNull().cast("int"))).alias("distinct_count")] if approx else []),
+        ).alias(f"_{i}"))
+    one = df.agg(*aggs)
+    fields = F.array(*[F.struct(F.lit(i).alias("ci"), F.lit(c).alias("column_name"), F.col("rows").alias("row_count"),
+                                F.col(f"_{i}").alias("m")) for i, c in enumerate(cols)])
+    per_col = one.select(F.inline(fields)).select("ci", "column_name", "row_count", "m.*")
+    if not approx:
+        exact = _distinct_counts(df, cols).withColumnRenamed("ci", "_ci")       # a row per column
+        per_col = per_col.join(F.broadcast(exact), F.col("ci") == F.col("_ci"), "left")
     distinct = F.coalesce(F.col("distinct_count"), F.lit(0)).cast("bigint")
-    return (F.broadcast(names).join(per_col, "ci", "left").select(
-        F.lit(db).alias("db"), F.lit(table).alias("table_name"), "column_name",
-        (rows == distinct).alias("is_distinct"),
+    unique = F.lit(None).cast("boolean") if approx else F.col("row_count") == distinct
+    return per_col.select(
+        F.lit(db).alias("db"), F.lit(table).alias("table_name"), "column_name", unique.alias("is_distinct"),
         F.coalesce("has_blanks", F.lit(False)).alias("has_blanks"),
         F.coalesce("has_nulls", F.lit(False)).alias("has_nulls"),
-        F.col("max_length").cast("int").alias("max_length"),
-        F.col("min_length").cast("int").alias("min_length"),
-        rows.alias("row_count"), distinct.alias("distinct_count")))
+        "max_length", "min_length", "row_count", distinct.alias("distinct_count"))
 
 
 def profile_report(profile: DataFrame) -> DataFrame:
@@ -133,12 +146,12 @@ def value_frequency(df: DataFrame, col: str, n: int | None = 10, count_nulls: bo
 def group_count(df: DataFrame, col: str) -> DataFrame:
     """Number of value groups of ``col`` (NULL is a group) and whether
     there is more than one."""
-    g = F.count_distinct(F.col(col)) + F.max(F.col(col).isNull().cast("int"))
+    g = F.count_distinct(F.col(col)) + F.coalesce(F.max(F.col(col).isNull().cast("int")), F.lit(0))
     return df.agg(g.cast("bigint").alias("n_groups")).withColumn("several", F.col("n_groups") > 1)
 
 
 def value_frequencies(df: DataFrame, n: int = 10, columns=None, count_nulls: bool = False) -> DataFrame:
-    """A11 + O3 for every column in one job: the ``n`` most frequent values of
+    """A11 + O3 for every column: the ``n`` most frequent values of
     each column (as text), ties by value, NULL first; ``cnt`` is
     ``count(col)`` (0 for the NULL group) unless ``count_nulls``.
 

@@ -5,7 +5,6 @@ frames Spark derives from them) in full."""
 from __future__ import annotations
 
 import functools
-import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,25 +60,13 @@ def portable(df: DataFrame) -> DataFrame:
 
 def _params(**kw) -> IntervalParams:
     base = dict(start=START, end=END, interval=fixtures.INTERVAL, excluded_plan=fixtures.EXCLUDED_PLAN,
-                typed=True, prefix="s", hour_prefix="h")
+                typed=True, slots="fixed", prefix="s", hour_prefix="h")
     base.update(kw)
     return IntervalParams(**base)
 
 
-_INPUTS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def _inputs(spark, base):
-    """Raw fixture frames, built once per session and folder (lazy plans over
-    the driver tables; each query still reads the tables in full)."""
-    per_session = _INPUTS.setdefault(spark, {})
-    if base not in per_session:
-        per_session[base] = fixture_inputs(spark, base)
-    return per_session[base]
-
-
 def _enriched(spark, base, **kw) -> DataFrame:
-    return enriched_readings(_inputs(spark, base), _params(**kw))
+    return enriched_readings(fixture_inputs(spark, base), _params(**kw))
 
 
 # ---- interval job: normaliser and dimensions --------------------------------------------
@@ -169,19 +156,19 @@ def hour_list(spark, base):
 
 @query("reading_pivot")
 def reading_pivot(spark, base):
-    return out.reading_pivot(_enriched(spark, base), prefix="s")
+    return out.reading_pivot(_enriched(spark, base), out.QUARTER_SLOTS, prefix="s")
 
 
 @query("reading_pivot_text")
 def reading_pivot_text(spark, base):
     e = _enriched(spark, base).withColumn("rm", F.col("rm").cast("string"))
-    return out.reading_pivot(e, prefix="s")
+    return out.reading_pivot(e, out.QUARTER_SLOTS, prefix="s")
 
 
 @query("reading_pivot_text_numeric")
 def reading_pivot_text_numeric(spark, base):
     e = _enriched(spark, base).withColumn("rm", F.col("rm").cast("string"))
-    return out.reading_pivot(e, compare="numeric", prefix="s")
+    return out.reading_pivot(e, out.QUARTER_SLOTS, compare="numeric", prefix="s")
 
 
 @query("hourly_sum")
@@ -191,7 +178,7 @@ def hourly_sum(spark, base):
 
 @query("hourly_pivot")
 def hourly_pivot(spark, base):
-    return out.hourly_pivot(_enriched(spark, base), as_string=False, prefix="h")
+    return out.hourly_pivot(_enriched(spark, base), out.HOURS, as_string=False, prefix="h")
 
 
 @query("daily_sum")
@@ -211,17 +198,17 @@ def daily_demand(spark, base):
 
 @query("peak_pivot")
 def peak_pivot(spark, base):
-    return out.peak_pivot(_enriched(spark, base), prefix="s")
+    return out.peak_pivot(_enriched(spark, base), out.QUARTER_SLOTS, prefix="s")
 
 
 @query("outage_pivot")
 def outage_pivot(spark, base):
-    return out.outage_pivot(_enriched(spark, base), prefix="s")
+    return out.outage_pivot(_enriched(spark, base), out.QUARTER_SLOTS, prefix="s")
 
 
 @query("status_pivot")
 def status_pivot(spark, base):
-    return out.status_pivot(_enriched(spark, base), prefix="s")
+    return out.status_pivot(_enriched(spark, base), out.QUARTER_SLOTS, prefix="s")
 
 
 # ---- column profile, frequencies, dedup -------------------------------------------------
@@ -334,8 +321,9 @@ def column_match(spark, base):
 # ---- tokens and streams ------------------------------------------------------------------
 
 def _number_lines(spark, base):
+    from slotwise.operators.frames import spread
     from slotwise.sources.tables import read_table
-    ev = read_table(spark, "events", base)
+    ev = spread(read_table(spark, "events", base).select("props"))
     return ev.select(F.trim(F.regexp_replace("props", "[^0-9]+", " ")).alias("value"))
 
 
@@ -347,9 +335,10 @@ def token_sort(spark, base):
 
 @query("word_count")
 def word_count(spark, base):
+    from slotwise.operators.frames import spread
     from slotwise.operators.tokens import word_counts
     from slotwise.sources.tables import read_table
-    return word_counts(read_table(spark, "documents", base), "text")
+    return word_counts(spread(read_table(spark, "documents", base).select("text")), "text")
 
 
 def _stream_documents(spark, base):
@@ -395,18 +384,12 @@ def report_round_trip(spark, base):
     return read_profile_report(spark, path)
 
 
-@query("table_list")
-def table_list(spark, base):
-    from slotwise.sources.tables import list_tables, register_tables
-    register_tables(spark, base)
-    return list_tables(spark).select("tableName")
-
-
 @query("partition_rows")
 def partition_rows(spark, base):
     from slotwise.operators.frames import partition_rows as rows_per_partition
     from slotwise.sources.tables import read_table
-    return rows_per_partition(read_table(spark, "events", base))
+    per_partition = rows_per_partition(read_table(spark, "events", base))
+    return per_partition.agg(F.sum("rows").alias("rows"))
 
 
 @query("interval_job_status_records")
@@ -418,7 +401,7 @@ def interval_job_status_records(spark, base):
     from slotwise.session import scratch_path
     from slotwise.sinks.files import read_records
     path = scratch_path(spark, "interval-job")
-    run(_inputs(spark, base), _params(), path)
+    run(fixture_inputs(spark, base), _params(), path)
     names = ["sa", "sp", "uom", "rd"] + [f"s{x}" for x in out.QUARTER_SLOTS] + ["rec_type", "dt", "im"]
     schema = StructType([StructField(n, StringType()) for n in names])
     return read_records(spark, path, schema, rec_type="status").drop("dt")
@@ -445,7 +428,7 @@ def daily_sum_all_days(spark, base):
 
 @query("hourly_pivot_all_days")
 def hourly_pivot_all_days(spark, base):
-    return out.hourly_pivot(_all_days(spark, base), as_string=False, prefix="h")
+    return out.hourly_pivot(_all_days(spark, base), out.HOURS, as_string=False, prefix="h")
 
 
 @query("reading_pivot_interval60")
@@ -456,3 +439,155 @@ def reading_pivot_interval60(spark, base):
 @query("status_pivot_interval60")
 def status_pivot_interval60(spark, base):
     return out.status_pivot(_all_days(spark, base, interval=60), slots=out.HOUR_SLOTS, prefix="s")
+
+
+# ---- observed slots, text mode, malformed values, raw day parts, reruns --------------------
+
+ONE_DAY = (START, START)
+
+
+def _offgrid_inputs(spark, base):
+    """Fixture inputs whose readings also have off-grid slots and no slots."""
+    inp = fixture_inputs(spark, base)
+    inp.readings = fixtures.readings_src(spark, base, offgrid=True)
+    return inp
+
+
+def _long(wide: DataFrame, keys, prefix: str, cell_type: str) -> DataFrame:
+    """The pivot's cells as rows (slot, cell): its columns are data."""
+    slots = [c for c in wide.columns if c not in keys and c != "rec_type"]
+    cells = F.array(*[F.struct(F.lit(c[len(prefix):]).alias("slot"), F.col(c).cast(cell_type).alias("cell")) for c in slots])
+    return wide.select(*keys, F.inline(cells))
+
+
+@query("reading_pivot_offgrid")
+def reading_pivot_offgrid(spark, base):
+    e = enriched_readings(_offgrid_inputs(spark, base), _params(start=ONE_DAY[0], end=ONE_DAY[1]))
+    return _long(out.reading_pivot(e, prefix="s"), out.READING_KEYS, "s", "double")
+
+
+@query("reading_pivot_offgrid_text")
+def reading_pivot_offgrid_text(spark, base):
+    e = enriched_readings(_offgrid_inputs(spark, base), _params(start=ONE_DAY[0], end=ONE_DAY[1], typed=False))
+    return _long(out.reading_pivot(e, prefix="s"), out.READING_KEYS, "s", "string")
+
+
+@query("status_pivot_offgrid")
+def status_pivot_offgrid(spark, base):
+    e = enriched_readings(_offgrid_inputs(spark, base), _params(start=ONE_DAY[0], end=ONE_DAY[1]))
+    return _long(out.status_pivot(e, prefix="s"), out.STATUS_KEYS, "s", "string")
+
+
+@query("peak_pivot_filled")
+def peak_pivot_filled(spark, base):
+    return out.peak_pivot(_enriched(spark, base), out.QUARTER_SLOTS, prefix="s", fill_strings="-")
+
+
+# Keys of the record types, in the order of their text form below.
+RECORD_KEYS = {"rdng_meas": out.READING_KEYS, "hrly_sum": out.HOURLY_KEYS, "daily_sum": out.DAILY_KEYS,
+               "daily_max": out.DEMAND_KEYS, "peak_ind": out.INDICATOR_KEYS, "outage_ind": out.INDICATOR_KEYS,
+               "status": out.STATUS_KEYS}
+
+
+@query("interval_job_all_records")
+def interval_job_all_records(spark, base):
+    """The whole job in its defaults (text values, observed slots) over one day
+    with off-grid and missing slots; all seven record types read back, one row
+    per stored field: numbers in ``num``, other texts in ``txt``."""
+    from slotwise.plans.interval_job import run
+    from slotwise.session import scratch_path
+    path = scratch_path(spark, "interval-job-text")
+    p = IntervalParams(start=ONE_DAY[0], end=ONE_DAY[1], excluded_plan=fixtures.EXCLUDED_PLAN)
+    run(_offgrid_inputs(spark, base), p, path, keep_fields=True,
+        sort_by={t: ["sa", "sp"] for t in RECORD_KEYS})
+    parts = []
+    for rec_type, keys in RECORD_KEYS.items():
+        df = spark.read.option("primitivesAsString", "true").json(f"{path}/rec_type={rec_type}/dt={ONE_DAY[0]}/im={p.interval}")
+        key = F.concat_ws("|", *[F.col(k) for k in keys])
+        fields = [c for c in df.columns if c not in keys and c != "rec_type"]
+        cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("cell")) for c in fields])
+        parts.append(df.select("rec_type", key.alias("key"), F.inline(cells)).where("cell is not null"))
+    rows = functools.reduce(DataFrame.unionByName, parts)
+    text = F.col("rec_type").isin("peak_ind", "status") | F.col("name").isin("mstkd", "metkd")
+    return rows.select("rec_type", "key", "name", F.when(~text, F.col("cell").try_cast("double")).alias("num"),
+                       F.when(text, F.col("cell")).alias("txt"))
+
+
+@query("hourly_sum_lenient")
+def hourly_sum_lenient(spark, base):
+    inp = fixture_inputs(spark, base)
+    inp.readings = fixtures.readings_src(spark, base, malformed=True)
+    e = enriched_readings(inp, _params(typed=False, lenient=True))
+    return out.hourly_sum(e, as_string=False, lenient=True)
+
+
+@query("daily_sum_lenient_typed")
+def daily_sum_lenient_typed(spark, base):
+    inp = fixture_inputs(spark, base)
+    inp.readings = fixtures.readings_src(spark, base, malformed=True)
+    return out.daily_sum(enriched_readings(inp, _params(lenient=True)), as_string=False)
+
+
+def _raw_dayparts(spark, base, **kw):
+    """Raw day parts through clean-up and joins, over all event days."""
+    inp = fixture_inputs(spark, base)
+    inp.dayparts, inp.dayparts_clean = fixtures.dayparts_src(spark, base, fixtures.DAYPART_RAW_ROWS), False
+    p = _params(start=ALL_DAYS[0], end=ALL_DAYS[1], calendar_match="day", as_of=AS_OF_EARLY, **kw)
+    e = enriched_readings(inp, p)
+    return e.groupBy("rd", "qtr_intr", "si", "pi").agg(F.count(F.lit(1)).alias("readings"))
+
+
+@query("raw_dayparts")
+def raw_dayparts(spark, base):
+    return _raw_dayparts(spark, base)
+
+
+@query("raw_dayparts_unique")
+def raw_dayparts_unique(spark, base):
+    return _raw_dayparts(spark, base, dayparts_unique=True, normalise_times=True)
+
+
+@query("raw_dayparts_wrap")
+def raw_dayparts_wrap(spark, base):
+    return _raw_dayparts(spark, base, wrap_midnight=True, normalise_times=True)
+
+
+@query("json_rerun_empties")
+def json_rerun_empties(spark, base):
+    """Two days written, the first one again without rows: the second is left."""
+    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+    from slotwise.session import scratch_path
+    from slotwise.sinks.files import read_records, write_records
+    daily = out.daily_sum(_enriched(spark, base), as_string=False)
+    path = scratch_path(spark, "rerun")
+    for dt, rows in ((START, daily), (END, daily), (START, daily.limit(0))):
+        write_records(rows, path, rec_type="daily_sum", dt=dt, im=fixtures.INTERVAL)
+    schema = StructType([StructField(n, StringType()) for n in ("sa", "sp", "rd", "uom")]
+                        + [StructField("ds", DoubleType())]
+                        + [StructField(n, StringType()) for n in ("rec_type", "dt", "im")])
+    return read_records(spark, path, schema)
+
+
+STREAM_PARTS = 3
+
+
+@query("stream_part_words")
+def stream_part_words(spark, base):
+    """The documents arrive in parts, one batch each, then an empty file. Each
+    part's own counts (batches are told apart by the part's marker word), and
+    the number of batches."""
+    from slotwise.plans.stream_job import run_files
+    from slotwise.session import scratch_path
+    from slotwise.sources.tables import read_table
+    docs = read_table(spark, "documents", base)
+    folder, counts_at = scratch_path(spark, "stream-parts"), scratch_path(spark, "stream-part-counts")
+    part = F.pmod("doc_id", F.lit(STREAM_PARTS))
+    marked = docs.select(part.alias("p"), F.concat(F.lit("<part"), part.cast("string"), F.lit("> "), F.col("text")).alias("text"))
+    counts = totals = None
+    for k in range(STREAM_PARTS + 1):
+        marked.where(F.col("p") == k).select("text").write.mode("append").parquet(folder)
+        _, counts, totals = run_files(spark, folder, fmt="parquet", schema="text string", value_col="text", out=counts_at)
+    marker = counts.where(F.col("word").rlike("^<part[0-9]+>$")).select("batch_id", F.regexp_extract("word", "[0-9]+", 0).cast("int").alias("part"))
+    rows = counts.join(F.broadcast(marker), "batch_id").where(~F.col("word").rlike("^<part[0-9]+>$"))
+    batches = totals.select(F.lit(-1).alias("part"), F.lit("batches").alias("word"), F.lit(1).alias("cnt"))
+    return rows.select("part", "word", "cnt").unionByName(batches.groupBy("part", "word").agg(F.sum("cnt").alias("cnt")))

@@ -1,9 +1,9 @@
 """The interval job (section 3.1 of the survey): raw readings + six raw
 dimensions -> enriched readings -> seven record types -> partitioned JSON.
 
-Each step is a ``DataFrame -> DataFrame`` function; the only actions are the
-seven writes (plus the bounded size checks of broadcast dimensions, and the
-slot discovery when ``slots="observed"``).
+Each step is a ``DataFrame -> DataFrame`` function. Jobs run in :func:`run`: one
+that measures the four small dimensions, the slot discovery (unless slots are
+listed) and the seven writes.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.operators import dimensions as dims
-from slotwise.operators.enrich import enrich
+from slotwise.operators.enrich import enrich, small_dimensions
 from slotwise.operators.frames import reused
 from slotwise.operators.normalise import normalise_readings
-from slotwise.operators.outputs import HOURS, all_outputs, observed_values, slots_for
+from slotwise.operators.outputs import HOURS, PEAK_CODES, all_outputs, slots_for
 from slotwise.session import apply_runtime_conf
 from slotwise.sinks.files import write_records
 from slotwise.sources import fixtures
@@ -45,12 +45,15 @@ class IntervalParams:
     excluded_plan: str = dims.EXCLUDED_PLAN
     as_of: str | None = None
     typed: bool = False
+    lenient: bool = False            # malformed values: NULL instead of a failure (X15)
     calendar_match: str = "range"
     dayparts_unique: bool = False
     wrap_midnight: bool = False
     normalise_times: bool = False
     compare: str = "native"
-    slots: object = "fixed"          # "fixed", "observed" or an explicit list
+    slots: object = "observed"       # "observed", "fixed" (the aligned ones) or an explicit list
+    peak_codes: tuple | None = None  # closed list of clean day-part codes; None for any text
+    fill_strings: str | None = None  # filler of empty text cells (X8); None leaves them NULL
     prefix: str = ""
     hour_prefix: str = ""
     extra: dict = field(default_factory=dict)
@@ -65,38 +68,43 @@ def fixture_inputs(spark: SparkSession, base: str) -> IntervalInputs:
         dayparts=fixtures.dayparts_clean(spark, base), dayparts_clean=True)
 
 
-def enriched_readings(inp: IntervalInputs, p: IntervalParams) -> DataFrame:
-    """Normalise, clean the dimensions and join them (steps 1-2 of the job)."""
+def clean_dimensions(inp: IntervalInputs, p: IntervalParams) -> dict[str, DataFrame]:
+    """The six dimensions as the enrichment takes them."""
+    return {
+        "accounts": dims.clean_accounts(inp.accounts, p.excluded_plan),
+        "plans": dims.clean_plans(inp.plans),
+        "assignments": dims.clean_assignments(inp.assignments),
+        "seasons": dims.clean_seasons(inp.seasons),
+        "calendar": dims.clean_calendar(inp.calendar, p.start, p.end),
+        "dayparts": inp.dayparts if inp.dayparts_clean else dims.clean_dayparts(
+            inp.dayparts, as_of=p.as_of, normalise_times=p.normalise_times),
+    }
+
+
+def enriched_readings(inp: IntervalInputs, p: IntervalParams, small: frozenset[str] = frozenset(),
+                      keep_account: bool = False) -> DataFrame:
+    """Normalise, clean the dimensions and join them (steps 1-2 of the job).
+    Runs no job; ``small`` names the dimensions measured as small."""
     if p.calendar_match == "range" and p.start != p.end:
         warnings.warn(f"calendar_match='range' over {p.start}..{p.end}: each reading is repeated once per "
                       "calendar day of its season in the window (quirk X2); use calendar_match='day' "
                       "for multi-day loads", stacklevel=2)
-    readings = normalise_readings(inp.readings, p.start, p.end, p.interval, typed=p.typed)
-    dayparts = inp.dayparts if inp.dayparts_clean else dims.clean_dayparts(
-        inp.dayparts, as_of=p.as_of, normalise_times=p.normalise_times)
+    readings = normalise_readings(inp.readings, p.start, p.end, p.interval, typed=p.typed, lenient=p.lenient, keep_keys=True)
     return enrich(
-        readings,
-        dims.clean_accounts(inp.accounts, p.excluded_plan),
-        dims.clean_plans(inp.plans),
-        dims.clean_assignments(inp.assignments),
-        dims.clean_seasons(inp.seasons),
-        dims.clean_calendar(inp.calendar, p.start, p.end),
-        dayparts,
+        readings, **clean_dimensions(inp, p),
         calendar_match=p.calendar_match, dayparts_unique=p.dayparts_unique,
-        wrap_midnight=p.wrap_midnight, normalise_times=p.normalise_times, **p.extra)
+        wrap_midnight=p.wrap_midnight, normalise_times=p.normalise_times,
+        **{"small": small, "window": (p.start, p.end), "keep_account": keep_account, **p.extra})
 
 
-def outputs(enriched: DataFrame, p: IntervalParams) -> dict[str, DataFrame]:
-    """The seven record frames over one enriched frame."""
-    if p.slots == "fixed":
-        slots = slots_for(p.interval)
-    elif p.slots == "observed":
-        slots = observed_values(enriched, "qtr_intr")
-    else:
-        slots = tuple(p.slots)
-    hours = HOURS if p.slots != "observed" else observed_values(enriched, "hr_intr", 24)
-    return all_outputs(enriched, slots, hours, as_string=not p.typed, compare=p.compare,
-                       prefix=p.prefix, hour_prefix=p.hour_prefix)
+def outputs(enriched: DataFrame, p: IntervalParams, peak_codes: tuple | None = None) -> dict[str, DataFrame]:
+    """The seven record frames over one enriched frame. Observed slots and
+    hours are found here, by two bounded jobs."""
+    observed = p.slots == "observed"
+    slots = None if observed else slots_for(p.interval) if p.slots == "fixed" else tuple(p.slots)
+    return all_outputs(enriched, slots, None if observed else HOURS, as_string=not p.typed, compare=p.compare,
+                       prefix=p.prefix, hour_prefix=p.hour_prefix, peak_codes=peak_codes,
+                       fill_strings=p.fill_strings, lenient=p.lenient)
 
 
 def write_concurrently(frames: dict, write, threads: int = 4) -> list[str]:
@@ -115,21 +123,32 @@ def write_concurrently(frames: dict, write, threads: int = 4) -> list[str]:
 
 
 def run(inp: IntervalInputs, p: IntervalParams, path: str, max_files: dict | None = None,
-        partition_by_reading_date: bool = False, reuse: str = "persist", threads: int = 4) -> list[str]:
+        partition_by_reading_date: bool = False, reuse: str = "persist", threads: int = 4,
+        sort_by: dict | None = None, keep_fields: bool = False) -> list[str]:
     """Run the whole job and write every record type under ``path`` as
     ``rec_type=<t>/dt=<d>/im=<n>/`` JSON, replacing only those partitions.
 
     The enriched frame feeds seven aggregations, so it is computed once and
     reused (``reuse="persist"`` keeps it in executor memory / disk and is
     recomputed from lineage for lost blocks; ``"checkpoint"`` writes it to
-    the shared checkpoint folder first). The seven writes are independent
-    jobs over that frame and run ``threads`` at a time."""
+    the shared folder first and removes it in the end). The first write fills
+    the cache; the other six are independent jobs over it and run ``threads``
+    at a time. ``sort_by`` orders the rows inside the files, by record type
+    (O2); ``keep_fields`` also stores the partition columns in the records."""
     apply_runtime_conf(inp.readings.sparkSession)
-    enriched = enriched_readings(inp, p)
+    d = clean_dimensions(inp, p)
+    small = small_dimensions({k: d[k] for k in ("plans", "seasons", "calendar", "dayparts")})
+    enriched = enriched_readings(inp, p, small, keep_account=True)
+    # parts cleaned here have known codes only
+    peak_codes = p.peak_codes if inp.dayparts_clean else PEAK_CODES
     dt = None if partition_by_reading_date else p.start
 
     def write(rec_type, df):
-        write_records(df, path, rec_type, dt=dt, im=p.interval, max_files=(max_files or {}).get(rec_type))
+        write_records(df, path, rec_type, dt=dt, im=p.interval, max_files=(max_files or {}).get(rec_type),
+                      sort_by=(sort_by or {}).get(rec_type), keep_fields=keep_fields)
 
     with reused(enriched, reuse) as base:
-        return write_concurrently(outputs(base, p), write, threads)
+        frames = outputs(base, p, peak_codes)
+        first = next(iter(frames))
+        write(first, frames.pop(first))
+        return [first, *write_concurrently(frames, write, threads)]

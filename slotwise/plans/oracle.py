@@ -271,7 +271,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 # ---- tokens and streams ------------------------------------------------------------------
 
-ORACLE["token_sort"] = """SELECT CAST(t AS INTEGER) AS num, 1 AS unit_count FROM (
+ORACLE["token_sort"] = """SELECT CAST(t AS BIGINT) AS num, 1 AS unit_count FROM (
   SELECT unnest(string_split(trim(regexp_replace(props, '[^0-9]+', ' ', 'g')), ' ')) AS t FROM events) s"""
 _WORDS = "SELECT unnest(string_split(text, ' ')) AS word FROM documents"
 ORACLE["word_count"] = f"SELECT word, count(*) AS cnt FROM ({_WORDS}) w GROUP BY word"
@@ -317,3 +317,106 @@ def _frequencies_sql(table: str, n: int = 10) -> str:
 
 
 ORACLE["value_frequency_all_columns"] = _frequencies_sql("customer")
+
+
+# ---- observed slots, text mode, malformed values, raw day parts, reruns --------------------
+
+_QUARTER = "CAST(floor(extract(minute FROM ts) / 15) * 15 AS INTEGER)"
+V_READINGS_OFFGRID = V_READINGS_SRC.replace(
+    _QUARTER, f"CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 13 = 0 THEN extract(minute FROM ts) ELSE {_QUARTER} END")
+assert V_READINGS_OFFGRID != V_READINGS_SRC
+ONE_DAY = ("2024-01-19", "2024-01-19")
+_TEXT_READINGS = _readings_view("CAST(reading AS VARCHAR)", "CASE WHEN interval_min = 15 THEN '4' ELSE '1' END", ONE_DAY)
+OFFGRID = _with(V_READINGS_OFFGRID, _readings_view(window=ONE_DAY), V_DIMS, _enriched_view(window=ONE_DAY))
+OFFGRID_TEXT = _with(V_READINGS_OFFGRID, _TEXT_READINGS, V_DIMS, _enriched_view(window=ONE_DAY))
+_SLOTS = "(SELECT DISTINCT qtr_intr AS slot FROM enriched WHERE qtr_intr IS NOT NULL) s"
+_SK = "sa, sp, uom, rd, im"
+ORACLE["reading_pivot_offgrid"] = OFFGRID + f"""SELECT {_RK}, slot,
+  coalesce(CAST(max(CASE WHEN qtr_intr = slot THEN rm END) AS DOUBLE), 0) AS cell
+FROM enriched CROSS JOIN {_SLOTS} GROUP BY {_RK}, slot"""
+ORACLE["reading_pivot_offgrid_text"] = OFFGRID_TEXT + f"""SELECT {_RK}, slot, max(CASE WHEN qtr_intr = slot THEN rm END) AS cell
+FROM enriched CROSS JOIN {_SLOTS} GROUP BY {_RK}, slot"""
+ORACLE["status_pivot_offgrid"] = OFFGRID + f"""SELECT {_SK}, slot, max(CASE WHEN qtr_intr = slot THEN st END) AS cell
+FROM enriched CROSS JOIN {_SLOTS} GROUP BY {_SK}, slot"""
+ORACLE["peak_pivot_filled"] = ENRICHED + f"""SELECT sa, sp, rd, im,
+  {_pivot_cols('qtr_intr', 'pi', QUARTER_SLOTS, 's', "'-'")},
+  'peak_ind' AS rec_type
+FROM enriched GROUP BY sa, sp, rd, im"""
+
+
+def _cells_sql(rec_type: str, keys: str, value: str, names: str, name: str, text: bool, fill: str | None = None) -> str:
+    """One row per key and name: the pivoted record's fields that are stored."""
+    cell = f"max(CASE WHEN {names} = name THEN {value} END)" if names else value
+    cell = cell if fill is None else f"coalesce({cell}, {fill})"
+    cross = f" CROSS JOIN (SELECT DISTINCT {names} AS name FROM enriched WHERE {names} IS NOT NULL) n" if names else f" CROSS JOIN (SELECT '{name}' AS name) n"
+    num, txt = ("CAST(NULL AS DOUBLE)", cell) if text else (f"CAST({cell} AS DOUBLE)", "CAST(NULL AS VARCHAR)")
+    where = " WHERE uom = 'kd'" if rec_type == "daily_max" else ""
+    return f"""SELECT * FROM (SELECT '{rec_type}' AS rec_type, concat_ws('|', {keys}) AS key, name, {num} AS num, {txt} AS txt
+FROM enriched{cross}{where} GROUP BY {keys}, name) t WHERE num IS NOT NULL OR txt IS NOT NULL"""
+
+
+_DK = "sa, sp, rd, pfd, im, demand_factor"
+_IK = "sa, sp, rd, im"
+ORACLE["interval_job_all_records"] = OFFGRID_TEXT + "\nUNION ALL\n".join([
+    _cells_sql("rdng_meas", _RK, "rm", "qtr_intr", "", False),
+    f"""SELECT 'hrly_sum' AS rec_type, concat_ws('|', {_SK}) AS key, hr_intr AS name, round(sum(CAST(rm AS DOUBLE)), 4) AS num,
+  CAST(NULL AS VARCHAR) AS txt FROM enriched WHERE hr_intr IS NOT NULL GROUP BY {_SK}, hr_intr HAVING sum(CAST(rm AS DOUBLE)) IS NOT NULL""",
+    _cells_sql("daily_sum", "sa, sp, rd, im, uom", "round(sum(CAST(rm AS DOUBLE)), 4)", "", "ds", False),
+    _cells_sql("daily_max", _DK, "max(CAST(rm AS DOUBLE)) * CAST(demand_factor AS INTEGER)", "", "dmkd", False),
+    _cells_sql("daily_max", _DK, "max(pfd) || ' 00:00:00'", "", "mstkd", True),
+    _cells_sql("daily_max", _DK, "CAST(CAST(max(pfd) AS DATE) + INTERVAL 1 DAY AS DATE) || ' 00:00:00'", "", "metkd", True),
+    _cells_sql("peak_ind", _IK, "pi", "qtr_intr", "", True),
+    _cells_sql("outage_ind", _IK, "oi", "qtr_intr", "", False, "0"),
+    _cells_sql("status", _SK, "st", "qtr_intr", "", True),
+])
+
+V_READINGS_MALFORMED = V_READINGS_SRC.replace(
+    "value AS reading", "CASE WHEN event_id % 19 = 0 THEN 'x1' ELSE CAST(value AS VARCHAR) END AS reading")
+assert V_READINGS_MALFORMED != V_READINGS_SRC
+ORACLE["hourly_sum_lenient"] = _with(
+    V_READINGS_MALFORMED, _readings_view("reading", "CASE WHEN interval_min = 15 THEN '4' ELSE '1' END"), V_DIMS, _enriched_view()
+) + """SELECT sa, sp, uom, rd, hr_intr, im, round(sum(TRY_CAST(rm AS DOUBLE)), 4) AS hs
+FROM enriched GROUP BY sa, sp, uom, rd, hr_intr, im"""
+ORACLE["daily_sum_lenient_typed"] = _with(
+    V_READINGS_MALFORMED, _readings_view("TRY_CAST(reading AS DECIMAL(18,4))"), V_DIMS, _enriched_view()
+) + """SELECT sa, sp, rd, im, uom, CAST(round(sum(rm), 4) AS DOUBLE) AS ds, 'daily_sum' AS rec_type
+FROM enriched GROUP BY sa, sp, rd, im, uom"""
+
+# Local bounds in Los Angeles: eight hours behind UTC in January, seven in July.
+V_RAW_PARTS = """raw_parts AS (
+  SELECT n_nationkey AS plan_id, p.part, p.day_type, p.season,
+    strftime(p.t0 + INTERVAL 1 HOUR * p.shift, '%H:%M:%S') AS t0, strftime(p.t1 + INTERVAL 1 HOUR * p.shift, '%H:%M:%S') AS t1
+  FROM nation CROSS JOIN (
+    SELECT 'OFF' AS part, TIMESTAMP '2017-01-01 16:00:00' AS t0, TIMESTAMP '2017-01-01 18:00:00' AS t1, 8 AS shift, 'WD' AS day_type, 'W' AS season
+    UNION ALL SELECT 'MID', TIMESTAMP '2017-01-01 02:00:00', TIMESTAMP '2017-01-01 06:00:00', 8, 'WD', 'W'
+    UNION ALL SELECT 'ON', TIMESTAMP '2017-01-01 06:00:00', TIMESTAMP '2017-01-01 09:00:00', 8, 'WD', 'W'
+    UNION ALL SELECT 'ON', TIMESTAMP '2017-01-01 06:00:00', TIMESTAMP '2017-01-01 09:00:00', 8, 'WD', 'W'
+    UNION ALL SELECT 'SOF', TIMESTAMP '2017-07-01 07:00:00', TIMESTAMP '2017-07-01 12:00:00', 7, 'WE', 'S'
+    UNION ALL SELECT 'MID', TIMESTAMP '2017-07-01 12:00:00', TIMESTAMP '2017-07-01 16:59:59', 7, 'WE', 'S') p)"""
+
+
+def _raw_parts_sql(parts: str, inside: str) -> str:
+    view = _enriched_view(day_match=True, window=ALL_DAYS)
+    condition = "r.qtr_intr_10 >= d.t0 AND r.qtr_intr_10 <= d.t1"
+    assert condition in view
+    view = view.replace("LEFT JOIN dayparts d", f"LEFT JOIN {parts} d").replace(condition, inside)
+    return _with(V_READINGS_SRC, _readings_view(window=ALL_DAYS), V_DIMS, V_RAW_PARTS, view) + (
+        "SELECT rd, qtr_intr, si, pi, count(*) AS readings FROM enriched GROUP BY rd, qtr_intr, si, pi")
+
+
+ORACLE["raw_dayparts"] = _raw_parts_sql("raw_parts", "r.qtr_intr_10 >= d.t0 AND r.qtr_intr_10 <= d.t1")
+# a part's last moment belongs to the part that begins then, if there is one
+ORACLE["raw_dayparts_unique"] = _raw_parts_sql(
+    """(SELECT DISTINCT a.*, EXISTS (SELECT 1 FROM raw_parts b WHERE b.plan_id = a.plan_id AND b.day_type = a.day_type
+      AND b.season = a.season AND b.t0 = a.t1) AS open_end FROM raw_parts a)""",
+    "substr(r.qtr_intr_10, 1, 8) >= d.t0 AND (substr(r.qtr_intr_10, 1, 8) < d.t1 OR (NOT d.open_end AND substr(r.qtr_intr_10, 1, 8) = d.t1))")
+ORACLE["raw_dayparts_wrap"] = _raw_parts_sql(
+    "raw_parts", """CASE WHEN d.t0 <= d.t1 THEN substr(r.qtr_intr_10, 1, 8) >= d.t0 AND substr(r.qtr_intr_10, 1, 8) <= d.t1
+      ELSE substr(r.qtr_intr_10, 1, 8) >= d.t0 OR substr(r.qtr_intr_10, 1, 8) <= d.t1 END""")
+
+ORACLE["json_rerun_empties"] = ENRICHED + """SELECT sa, sp, rd, CAST(round(sum(rm), 4) AS DOUBLE) AS ds, uom,
+  'daily_sum' AS rec_type, '2024-01-22' AS dt, '15' AS im FROM enriched GROUP BY sa, sp, rd, im, uom"""
+ORACLE["stream_part_words"] = """SELECT part, word, count(*) AS cnt FROM (
+  SELECT CAST(doc_id % 3 AS INTEGER) AS part, unnest(string_split(text, ' ')) AS word FROM documents) w GROUP BY part, word
+UNION ALL SELECT -1, 'batches', 4"""
+ORACLE["partition_rows"] = "SELECT CAST(count(*) AS BIGINT) AS rows FROM events"

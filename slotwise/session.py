@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.ui.enabled": "false",
+    # Checkpoint files go when their frame is no longer used.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Runtime SQL settings the plans rely on; applied to any session (also one
@@ -86,4 +88,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + f"{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["DEFAULT_CONF", "RUNTIME_CONF", "apply_runtime_conf", "get_session", "shared_dir", "scratch_path"]
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever file system holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+__all__ = ["remove_path", "DEFAULT_CONF", "RUNTIME_CONF", "apply_runtime_conf", "get_session", "shared_dir", "scratch_path"]

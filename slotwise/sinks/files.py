@@ -11,13 +11,15 @@ PARTITION_COLUMNS = ("rec_type", "dt", "im")
 
 def write_records(df: DataFrame, path: str, rec_type: str | None = None, dt: str | None = None,
                   im: int | str | None = None, max_files: int | None = None,
-                  max_records_per_file: int | None = None, sort_by=None) -> None:
+                  max_records_per_file: int | None = None, sort_by=None, keep_fields: bool = False) -> None:
     """K1/K2: write a record frame as JSON under Hive-style directories
-    ``rec_type=<t>/dt=<d>/im=<n>/``, replacing only the partitions written
-    (dynamic partition overwrite), so runs for other days or record types
-    are kept.
+    ``rec_type=<t>/dt=<d>/im=<n>/``. Runs for other days or record types are
+    kept. With ``rec_type``, ``dt`` and ``im`` given, that one partition is
+    replaced, also by nothing when there are no rows; else the partitions that
+    get rows are (dynamic partition overwrite).
 
-    The partition columns are stored once, in the path (quirk X9).
+    The partition columns are stored once, in the path, unless ``keep_fields``
+    also leaves ``rec_type`` and ``im`` in the records (quirk X9).
     ``dt`` defaults to each row's reading date; pass the run's start date
     for the reference's layout (quirk X10). ``max_files`` coalesces to that
     many files per output like the reference (it also caps the final
@@ -25,6 +27,18 @@ def write_records(df: DataFrame, path: str, rec_type: str | None = None, dt: str
     ``max_records_per_file`` bounds file size instead. ``sort_by`` orders rows
     inside each file (O2)."""
     out = df
+    whole = None not in (rec_type, dt, im)
+    if whole:
+        out = out.drop("dt")
+        if keep_fields:
+            out = out.withColumns({"rec_type": F.lit(rec_type), "im": F.lit(str(im))})
+        else:
+            out = out.drop("rec_type", "im")
+        w = _writer(out, max_files, max_records_per_file, sort_by).mode("overwrite")
+        w.json(f"{path.rstrip('/')}/rec_type={rec_type}/dt={dt}/im={im}")
+        return
+    if keep_fields:
+        raise ValueError("keep_fields needs rec_type, dt and im")
     if rec_type is not None:
         out = out.withColumn("rec_type", F.lit(rec_type))
     if dt is not None:
@@ -33,14 +47,16 @@ def write_records(df: DataFrame, path: str, rec_type: str | None = None, dt: str
         out = out.withColumn("dt", F.date_format(F.to_date(F.col("rd"), "yyyyMMdd"), "yyyy-MM-dd"))
     if im is not None:
         out = out.withColumn("im", F.lit(str(im)))
+    w = _writer(out, max_files, max_records_per_file, sort_by).mode("overwrite")
+    w.option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLUMNS).json(path)
+
+
+def _writer(df: DataFrame, max_files, max_records_per_file, sort_by):
     if max_files:
-        out = out.coalesce(int(max_files))
+        df = df.coalesce(int(max_files))
     if sort_by:
-        out = out.sortWithinPartitions(*sort_by)
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", str(int(max_records_per_file)))
-    w.partitionBy(*PARTITION_COLUMNS).json(path)
+        df = df.sortWithinPartitions(*sort_by)
+    return df.write.option("maxRecordsPerFile", str(int(max_records_per_file))) if max_records_per_file else df.write
 
 
 def read_records(spark: SparkSession, path: str, schema: StructType, rec_type: str | None = None) -> DataFrame:

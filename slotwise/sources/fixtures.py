@@ -60,12 +60,31 @@ def _rows_column(rows, names, types):
     return F.explode(F.expr(f"array({structs})"))
 
 
-def readings_src(spark: SparkSession, base: str) -> DataFrame:
-    """Raw interval readings with the reference's column names, one per event."""
+# Raw day parts with summer and winter bounds, a part that crosses midnight in UTC
+# (16:00 to 18:00 local), two parts that meet at a bound and a duplicate row.
+DAYPART_RAW_ROWS = (("OFF", "KWHWFP", "2017-01-01 16:00:00", "2017-01-01 18:00:00", "WD", "W", "2023-01-01", "2024-12-31"),
+                    ("MID", "KWHWMP", "2017-01-01 02:00:00", "2017-01-01 06:00:00", "WD", "W", "2023-01-01", "2024-12-31"),
+                    ("ON", "KWHWNP", "2017-01-01 06:00:00", "2017-01-01 09:00:00", "WD", "W", "2023-01-01", "2024-12-31"),
+                    ("ON", "KWHWNP", "2017-01-01 06:00:00", "2017-01-01 09:00:00", "WD", "W", "2023-01-01", "2024-12-31"),
+                    ("SOF", "KWHSSP", "2017-07-01 07:00:00", "2017-07-01 12:00:00", "WE", "S", "2023-01-01", "2024-12-31"),
+                    (" MID ", "KWHSMP ", "2017-07-01 12:00:00", "2017-07-01 16:59:59", "WE", "S", "2023-01-01", "2024-12-31"))
+
+
+def readings_src(spark: SparkSession, base: str, offgrid: bool = False, malformed: bool = False) -> DataFrame:
+    """Raw interval readings with the reference's column names, one per event.
+
+    ``offgrid``: every 13th event keeps its own minute as its slot, every 17th
+    has no slot. ``malformed``: values as text, every 19th of them no number."""
     ev = read_table(spark, "events", base)
     day = F.to_date("ts").cast("string")
     hh = F.lpad(F.hour("ts").cast("string"), 2, "0")
-    mm = F.lpad((F.floor(F.minute("ts") / 15) * 15).cast("int").cast("string"), 2, "0")
+    minute = (F.floor(F.minute("ts") / 15) * 15).cast("int")
+    if offgrid:
+        minute = F.when(F.col("event_id") % 17 == 0, F.lit(None)).when(F.col("event_id") % 13 == 0, F.minute("ts")).otherwise(minute)
+    mm = F.lpad(minute.cast("string"), 2, "0")
+    value = F.col("value")
+    if malformed:
+        value = F.when(F.col("event_id") % 19 == 0, F.lit("x1")).otherwise(value.cast("string"))
     chan = None
     for et, ch in CHANNEL_OF_EVENT:
         chan = F.when(F.col("event_type") == et, ch) if chan is None else chan.when(F.col("event_type") == et, ch)
@@ -77,7 +96,7 @@ def readings_src(spark: SparkSession, base: str) -> DataFrame:
         F.col("user_id").alias("serv_acct_id"),
         (F.col("user_id") % 101).cast("int").alias("periodcount"),
         F.when(F.col("event_id") % 10 == 9, 60).otherwise(15).alias("interval_measure"),
-        F.col("value").alias("rdng_meas"),
+        value.alias("rdng_meas"),
         chan.otherwise(FOREIGN_CHANNEL).alias("rdng_chnl_num"),
         F.to_date("ts").alias("pcfc_day_per_dt"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("rdng_dttm"),
@@ -142,13 +161,13 @@ def dayparts_clean(spark: SparkSession, base: str) -> DataFrame:
                     F.col("p.day_type"), F.col("p.season")))
 
 
-def dayparts_src(spark: SparkSession, base: str) -> DataFrame:
+def dayparts_src(spark: SparkSession, base: str, rows=DAYPART_SRC_ROWS) -> DataFrame:
     """Raw billing day parts per plan with the reference's column names."""
     names = ("billg_daypart_type_cd", "serv_meas_type_cd", "billg_daypart_strt_pcfc_tm",
              "billg_daypart_end_pcfc_tm", "billg_daypart_day_type_cd", "Seasn_cd",
              "billg_daypart_strt_dt", "billg_daypart_end_dt")
     types = ("string", "string", "timestamp", "timestamp", "string", "string", "date", "date")
-    p = _rows_column(DAYPART_SRC_ROWS, names, types)
+    p = _rows_column(rows, names, types)
     return (read_table(spark, "nation", base)
             .select(F.col("n_nationkey").alias("serv_plan_id"), p.alias("p"))
             .select("serv_plan_id", *[F.col(f"p.{n}") for n in names]))

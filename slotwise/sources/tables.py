@@ -3,8 +3,6 @@ table listing and text lines (S1, S2, S3, S5, S6)."""
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Driver tables shipped with the test data (one parquet file each).
@@ -12,24 +10,12 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_FRAMES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def read_table(spark: SparkSession, name: str, base: str | None = None, fresh: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, name: str, base: str | None = None) -> DataFrame:
     """A table by catalog name, or ``<base>/<name>.parquet`` when ``base``
     is given. Either way the scan stays lazy, so Catalyst prunes columns and
-    pushes filters into the parquet reader.
-
-    A parquet frame is kept per session and path and handed out again (a
-    frame is an immutable plan; re-reading would only repeat the file
-    listing and footer reads). ``fresh=True`` reads anew."""
-    if base is None:
-        return spark.table(name)
-    path = f"{base.rstrip('/')}/{name}.parquet"
-    frames = _FRAMES.setdefault(spark, {})
-    if fresh or path not in frames:
-        frames[path] = spark.read.parquet(path)
-    return frames[path]
+    pushes filters into the parquet reader. Files are listed on every call, so
+    a table that has grown is read whole."""
+    return spark.table(name) if base is None else spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
 def register_tables(spark: SparkSession, base: str, names=TABLES) -> list[str]:

@@ -73,14 +73,70 @@ def test_assignment_end_is_exclusive_and_unmatched_dropped(spark):
     assert enrich(r, *d).count() == 1
 
 
-def test_calendar_without_broadcast_matches(spark, monkeypatch):
-    import slotwise.operators.enrich as E
+def test_small_dimensions_and_window_change_nothing(spark):
+    from slotwise.operators.enrich import small_dimensions
     r = reading(spark)
     d = dims(spark, cal_days=(D(2017, 3, 1), D(2017, 3, 2)))
     want = sorted(tuple(x) for x in enrich(r, *d).collect())
-    monkeypatch.setattr(E, "row_cap", lambda df, *a, **k: 0)
-    got = sorted(tuple(x) for x in enrich(r, *d).collect())
-    assert got == want and len(got) == 2
+    small = small_dimensions(dict(zip(("plans", "seasons", "calendar", "dayparts"), (d[1], d[3], d[4], d[5]))))
+    assert small == {"plans", "seasons", "calendar", "dayparts"}
+    for kw in ({"small": small}, {"small": small, "window": ("2017-03-01", "2017-03-02")}, {"window": ("2017-02-01", "2017-03-01")}):
+        assert sorted(tuple(x) for x in enrich(r, *d, **kw).collect()) == want
+    assert len(want) == 2
+
+
+def test_sizes_are_measured_in_bytes(spark):
+    from slotwise.operators.joins import measured, small_enough
+    df = spark.createDataFrame([("x" * 5000, 1, None), (None, 2, [1, 2])], "s string, n int, a array<int>")
+    rows, size = measured({"df": df, "none": df.limit(0)})["df"]
+    assert rows == 2 and 5000 < size < 6000
+    assert small_enough((rows, size)) and not small_enough((rows, size), max_bytes=1000) and not small_enough((rows, size), max_rows=1)
+
+
+def test_parts_that_meet_at_a_bound(spark):
+    r = reading(spark, slot_time="12:00:00")
+    d = dims(spark, parts=(("MID", "08:00:00", "12:00:00"), ("ON", "12:00:00", "16:00:00"), ("ON", "12:00:00", "16:00:00")))
+    assert sorted(x.pi for x in enrich(r, *d).collect()) == ["MID", "ON", "ON"]
+    assert [x.pi for x in enrich(r, *d, dayparts_unique=True).collect()] == ["ON"]
+
+
+def test_slots_outside_the_list(spark):
+    import pytest
+    r = reading(spark, extra=[dict(qtr_intr="0807", qtr_intr_10="08:07:00"), dict(qtr_intr=None, qtr_intr_10=None, uom="kn")])
+    e = enrich(r, *dims(spark))
+    text = e.withColumn("rm", e.rm.cast("string"))
+    for frame, empty in ((e.withColumn("rm", e.rm.cast("double")), 0), (text, None)):
+        wide = {x.uom: x for x in O.status_pivot(frame).collect()}
+        assert [c for c in O.status_pivot(frame).columns if c[0].isdigit()] == ["0807", "1200"]
+        assert (wide["kd"]["0807"], wide["kn"]["0807"], wide["kn"]["1200"]) == ("ACTUAL", None, None)
+        rows = O.reading_pivot(frame).collect()
+        assert len(rows) == 2 and sorted(x["0807"] is None or x["0807"] == 0 for x in rows) == [False, True]
+        assert [x["1200"] for x in rows if x.uom == "kn"] == [empty]
+        with pytest.raises(Exception, match="0807"):
+            O.reading_pivot(frame, slots=["1200"]).collect()
+    filled = O.reading_pivot(text, fill_strings="0").collect()
+    assert all(x["0807"] is not None and x["1200"] is not None for x in filled)
+
+
+def test_no_slots_keep_the_keys(spark):
+    from pyspark.sql import functions as F
+    e = enrich(reading(spark), *dims(spark)).withColumns({c: F.lit(None).cast("string") for c in ("qtr_intr", "hr_intr")})
+    assert O.reading_pivot(e).count() == O.status_pivot(e).count() == O.hourly_pivot(e).count() == 1
+
+
+def test_malformed_slots_are_named(spark):
+    import pytest
+    df = spark.createDataFrame([(f"{i:04d}",) for i in range(10)] + [("x!",)], "qtr_intr string")
+    with pytest.raises(ValueError, match="x!"):
+        O.observed_values(df, "qtr_intr", 5)
+
+
+def test_lenient_values(spark):
+    import pytest
+    e = enrich(reading(spark, rm="x1", extra=[dict(rm="2.5")]), *dims(spark))
+    assert [x.ds for x in O.daily_sum(e, lenient=True).collect()] == ["2.5"]
+    with pytest.raises(Exception):
+        O.daily_sum(e).collect()
 
 
 def test_text_max_versus_numeric(spark):
@@ -123,7 +179,7 @@ def test_sums_and_demand(spark):
     e = enrich(r, *dims(spark))
     daily = {x.uom: x.ds for x in O.daily_sum(e).collect()}
     assert daily == {"kd": "3.75", "kv": "3.0"}
-    hourly = O.hourly_pivot(e).where("uom = 'kd'").collect()[0]
+    hourly = O.hourly_pivot(e, O.HOURS).where("uom = 'kd'").collect()[0]
     assert hourly["12"] == "3.75" and hourly["11"] is None
     dm = O.daily_demand(e).collect()
     assert [(x.dmkd, x.mstkd, x.metkd, x.rec_type) for x in dm] == [
@@ -139,7 +195,7 @@ def test_invariants_on_fixture(spark):
     hourly = O.hourly_sum(e, as_string=False).agg(F.sum("hs")).collect()[0][0]
     daily = O.daily_sum(e, as_string=False).agg(F.sum("ds")).collect()[0][0]
     assert abs(hourly - daily) < 1e-6
-    pivot = O.reading_pivot(e, prefix="s")
+    pivot = O.reading_pivot(e, O.QUARTER_SLOTS, prefix="s")
     non_null = sum(pivot.select(*[F.count(F.when(F.col(f"s{s}") != 0, 1)) for s in O.QUARTER_SLOTS]).collect()[0])
     cells = e.where("rm != 0").select(*O.READING_KEYS, "qtr_intr").distinct().count()
     assert non_null == cells
@@ -148,8 +204,9 @@ def test_invariants_on_fixture(spark):
 
 
 def test_text_pivot_edges(spark):
-    df = spark.createDataFrame([("k", "0000", "9.5"), ("k", "0000", "10.25"), ("k", None, "7"), ("k", "9999", "8"),
-                                ("j", "0015", None)], "k string, s string, v string")
+    df = spark.createDataFrame([("k", "0000", "9.5"), ("k", "0000", "10.25"), ("k", None, "7"),
+                                ("j", "0015", None), ("n", None, "1")], "k string, s string, v string")
     rows = {r.k: r for r in O.slot_pivot(df, ["k"], "s", "v", ["0000", "0015"], tag="t").collect()}
     assert (rows["k"]["0000"], rows["k"]["0015"], rows["k"].rec_type) == ("9.5", None, "t")
     assert (rows["j"]["0000"], rows["j"]["0015"]) == (None, None)
+    assert (rows["n"]["0000"], rows["n"]["0015"]) == (None, None)

@@ -59,13 +59,13 @@ def test_partition_rows_and_spread(spark):
 
 
 def test_interval_job_default_text_mode(spark, tmp_dir):
-    """The job with the reference's defaults (text values, observed slots,
-    output under dt=<start>): all seven record types are written."""
+    """The job with its defaults, which are the reference's (text values,
+    observed slots, output under dt=<start>): all seven record types are written."""
     from slotwise.plans.interval_job import IntervalParams, fixture_inputs, run
     from tests.conftest import SF_SMALL
     out = os.path.join(tmp_dir, "records")
     written = run(fixture_inputs(spark, SF_SMALL),
-                  IntervalParams(start="2024-01-19", end="2024-01-19", excluded_plan="MACHINERY", slots="observed"),
+                  IntervalParams(start="2024-01-19", end="2024-01-19", excluded_plan="MACHINERY"),
                   out)
     assert written == ["rdng_meas", "hrly_sum", "daily_sum", "daily_max", "peak_ind", "outage_ind", "status"]
     for t in written:
@@ -73,3 +73,59 @@ def test_interval_job_default_text_mode(spark, tmp_dir):
         assert os.listdir(os.path.join(out, f"rec_type={t}", "dt=2024-01-19")) == ["im=15"]
     daily = spark.read.json(os.path.join(out, "rec_type=daily_sum"))
     assert daily.count() > 0 and dict(daily.dtypes)["ds"] == "string"
+
+
+def test_stream_timeout_stops_and_raises(spark, tmp_dir):
+    import pytest
+    from slotwise.plans.stream_job import run_files
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+    for i in range(40):
+        with open(os.path.join(src, f"{i}.txt"), "w") as f:
+            f.write("x y\n")
+    with pytest.raises(TimeoutError):
+        run_files(spark, src, max_files_per_trigger=1, out=os.path.join(tmp_dir, "out"), timeout=2)
+    assert not spark.streams.active
+
+
+def test_tables_are_read_anew(spark, tmp_dir):
+    from slotwise.sources.tables import read_table
+    spark.range(3).write.parquet(os.path.join(tmp_dir, "t.parquet"))
+    assert read_table(spark, "t", tmp_dir).count() == 3
+    spark.range(5).write.mode("append").parquet(os.path.join(tmp_dir, "t.parquet"))
+    assert read_table(spark, "t", tmp_dir).count() == 8
+
+
+def test_table_list(spark):
+    from slotwise.sources.tables import TABLES, list_tables, register_tables
+    from tests.conftest import SF_SMALL
+    register_tables(spark, SF_SMALL)
+    assert set(TABLES) <= {r.tableName for r in list_tables(spark).collect()}
+
+
+def test_rerun_without_rows_and_kept_fields(spark, tmp_dir):
+    import json
+    from slotwise.sinks.files import write_records
+    df = spark.createDataFrame([("b", 2), ("a", 1)], "sa string, n int").coalesce(1)
+    path = os.path.join(tmp_dir, "r")
+    at = os.path.join(path, "rec_type=t", "dt=2024-01-01", "im=15")
+
+    def lines():
+        return [json.loads(x) for f in sorted(os.listdir(at)) if f.startswith("part-") for x in open(os.path.join(at, f))]
+
+    write_records(df, path, "t", "2024-01-01", 15, sort_by=["sa"])
+    assert lines() == [{"sa": "a", "n": 1}, {"sa": "b", "n": 2}]
+    write_records(df, path, "t", "2024-01-01", 15, keep_fields=True)
+    assert lines()[0] == {"sa": "b", "n": 2, "rec_type": "t", "im": "15"}
+    write_records(df, path, "t", "2024-01-02", 15)
+    write_records(df.limit(0), path, "t", "2024-01-01", 15)
+    assert lines() == [] and spark.read.json(path).count() == 2
+
+
+def test_reused_checkpoint_files_go(spark):
+    from slotwise.session import shared_dir
+    root = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    with reused(spark.range(10), "checkpoint") as d:
+        assert d.count() == 10
+    assert not [x for x in set(os.listdir(root)) - before if x.startswith("reused")]

@@ -17,7 +17,7 @@ def test_profile_blank_null_lengths(spark):
     i = p["i"]
     assert (i.is_distinct, i.has_blanks, i.has_nulls, i.max_length, i.min_length) == (True, False, False, 1, 1)
     approx = {r.column_name: r for r in column_profile(df, approx=True).collect()}
-    assert approx["v"].distinct_count == 6 and approx["v"].has_blanks
+    assert approx["v"].distinct_count == 6 and approx["v"].has_blanks and approx["v"].is_distinct is None
 
 
 def test_profile_duplicates_and_null_as_value(spark):
@@ -108,3 +108,8 @@ def test_value_frequencies_all_columns(spark):
     got = {(r.column_name, r.value, r.cnt, r.rank) for r in value_frequencies(df, n=2).collect()}
     # NULL's count(col) is 0, so it ranks after '2' (count 1) and drops out of the top 2
     assert got == {("x", "1", 2, 1), ("x", "2", 1, 2), ("s", "b", 3, 1), ("s", "a", 1, 2)}
+
+
+def test_group_count_of_an_empty_table(spark):
+    r = group_count(spark.createDataFrame([], "a string"), "a").first()
+    assert (r.n_groups, r.several) == (0, False)
