@@ -35,7 +35,7 @@ _ORDER = mix(np.arange(1001, 1065, dtype=np.uint64) * _STEP) | np.uint64(1)   #
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n-1 of the base and of its inverse; kept up to 4 M entries."""
     if len(_POWERS[0]) >= n:
         return _POWERS[0][:n], _POWERS[1][:n]
@@ -88,7 +88,7 @@ class Chunk:
 
     def range_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Content hash of byte ranges."""
-        inv = _powers(len(self.raw) + 1)[1]
+        inv = powers(len(self.raw) + 1)[1]
         return mix((self.prefix[end] - self.prefix[start]) * inv[start])
 
     def ngrams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +137,7 @@ def parse(texts: list[bytes], table: np.ndarray, lower: bool) -> Chunk:
     if inside[0]:
         edge = np.concatenate(([0], edge))
     start, end = edge[0::2], edge[1::2]       # the last byte is a newline: edges pair up
-    power, _ = _powers(len(raw) + 1)
+    power, _ = powers(len(raw) + 1)
     prefix = np.empty(len(raw) + 1, np.uint64)
     prefix[0] = 0
     np.cumsum(_BYTE[raw] * power[:-1], out=prefix[1:])

@@ -16,20 +16,27 @@ def test_random_texts_match_library_and_return():
     t, rng = Transducer(MODEL), random.Random(3)
     for k in range(4000):
         s = "".join(rng.choice(ALPHABETS[k % 4]) for _ in range(rng.randint(0, 40)))
-        ids = t.encode(s)
+        ids = t.encode(s).tolist()
         assert ids == LIB.encode(s)
         assert t.decode(ids) == LIB.decode(ids)
         if "▁" not in s:
             assert t.decode(ids) == s
 
 
+def test_batches_of_new_words():
+    t, rng = Transducer(MODEL), random.Random(5)
+    texts = ["".join(rng.choice("  aeinrstlou,.ABé\n") for _ in range(200)) for _ in range(300)] + ["", " ", "▁▁ a"]
+    for _ in range(2):          # solved together, then from the cache
+        assert [x.tolist() for x in t.encode_batch(texts)] == LIB.encode(texts)
+
+
 def test_long_word_and_broken_bytes():
     t = Transducer(MODEL)
     s = "".join(random.Random(4).choice("etaoinshr") for _ in range(5000))
-    assert t.encode(s) == LIB.encode(s)
+    assert t.encode(s).tolist() == LIB.encode(s)
     broken = [t.byte[0xE6], t.byte[0x41]]
     assert t.decode(broken) == LIB.decode(broken)
-    assert t.decode([1, *t.encode("a b"), 2]) == "a b"
+    assert t.decode([1, *t.encode("a b").tolist(), 2]) == "a b"
 
 
 def test_corpus(spark):
