@@ -130,3 +130,52 @@ def op10_quote_linking(spark, sf_dir):
     from slotwise.llm.quotes import format_chat, link_quotes
     chat = format_chat(link_quotes(table(spark, sf_dir, "conversations")))
     return chat.withColumn("reply_path", F.array_join(F.col("reply_path").cast("array<string>"), "/"))
+
+
+# ---- SQL ---------------------------------------------------------------------------------
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words_sql(table_name: str, key: str, pattern: str) -> str:
+    """(key, ws): the lower-cased words of every text, null texts without words."""
+    return f"""SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{pattern}') AS ws,
+    row_number() OVER () AS row_id FROM {table_name}"""
+
+
+ORACLE["op1_ngram_jaccard_join"] = f"""
+WITH RECURSIVE words AS ({_words_sql("documents", "doc_id", "[^\\x20\\x09-\\x0D]+")}),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS gram
+  FROM words, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS t(i) WHERE len(ws) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  JOIN sizes s ON s.doc_id = a.doc_id JOIN sizes t ON t.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, s.n, t.n HAVING 100 * count(*) >= 85 * (s.n + t.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = w.doc_id
+"""
+
+ORACLE["op8_decontamination"] = f"""
+WITH words AS ({_words_sql("documents", "doc_id", "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")}),
+item_words AS ({_words_sql("benchmark", "item_id", "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")}),
+windows AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, least(len(ws), 10) AS size, array_to_string(ws[i:i + 9], ' ') AS win
+  FROM item_words, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS t(i) WHERE len(ws) > 0 AND item_id IS NOT NULL),
+hits AS (
+  SELECT row_id, i, size, item_id
+  FROM (SELECT row_id, i, size, array_to_string(ws[i:i + size - 1], ' ') AS win
+        FROM words, (SELECT DISTINCT size FROM windows) s, unnest(range(1, len(ws) - size + 2)) AS t(i)) d
+  JOIN windows USING (size, win)),
+hit_words AS (
+  SELECT row_id, count(DISTINCT k) AS n FROM hits, unnest(range(i, i + size)) AS t(k) GROUP BY row_id),
+hit_items AS (
+  SELECT row_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM hits GROUP BY row_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit_words h USING (row_id) LEFT JOIN hit_items t USING (row_id)
+"""
