@@ -97,6 +97,14 @@ def enriched_readings(inp: IntervalInputs, p: IntervalParams, small: frozenset[s
         **{"small": small, "window": (p.start, p.end), "keep_account": keep_account, **p.extra})
 
 
+def measured_readings(inp: IntervalInputs, p: IntervalParams) -> DataFrame:
+    """:func:`enriched_readings` for a run: the four small dimensions are
+    measured first (one job), and those within the bounds are broadcast."""
+    d = clean_dimensions(inp, p)
+    small = small_dimensions({k: d[k] for k in ("plans", "seasons", "calendar", "dayparts")})
+    return enriched_readings(inp, p, small, keep_account=True)
+
+
 def outputs(enriched: DataFrame, p: IntervalParams, peak_codes: tuple | None = None) -> dict[str, DataFrame]:
     """The seven record frames over one enriched frame. Observed slots and
     hours are found here, by two bounded jobs."""
@@ -122,6 +130,14 @@ def write_concurrently(frames: dict, write, threads: int = 4) -> list[str]:
     return list(futures)
 
 
+def write_all(frames: dict, write, threads: int = 4) -> list[str]:
+    """The first write alone, so that it fills the cache under the frames, then
+    the others at a time."""
+    first, *rest = frames
+    write(first, frames[first])
+    return [first, *write_concurrently({k: frames[k] for k in rest}, write, threads)]
+
+
 def run(inp: IntervalInputs, p: IntervalParams, path: str, max_files: dict | None = None,
         partition_by_reading_date: bool = False, reuse: str = "persist", threads: int = 4,
         sort_by: dict | None = None, keep_fields: bool = False) -> list[str]:
@@ -136,9 +152,7 @@ def run(inp: IntervalInputs, p: IntervalParams, path: str, max_files: dict | Non
     at a time. ``sort_by`` orders the rows inside the files, by record type
     (O2); ``keep_fields`` also stores the partition columns in the records."""
     apply_runtime_conf(inp.readings.sparkSession)
-    d = clean_dimensions(inp, p)
-    small = small_dimensions({k: d[k] for k in ("plans", "seasons", "calendar", "dayparts")})
-    enriched = enriched_readings(inp, p, small, keep_account=True)
+    enriched = measured_readings(inp, p)
     # parts cleaned here have known codes only
     peak_codes = p.peak_codes if inp.dayparts_clean else PEAK_CODES
     dt = None if partition_by_reading_date else p.start
@@ -148,7 +162,4 @@ def run(inp: IntervalInputs, p: IntervalParams, path: str, max_files: dict | Non
                       sort_by=(sort_by or {}).get(rec_type), keep_fields=keep_fields)
 
     with reused(enriched, reuse) as base:
-        frames = outputs(base, p, peak_codes)
-        first = next(iter(frames))
-        write(first, frames.pop(first))
-        return [first, *write_concurrently(frames, write, threads)]
+        return write_all(outputs(base, p, peak_codes), write, threads)
