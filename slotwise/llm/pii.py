@@ -2,17 +2,19 @@
 
 Only DataFrame functions run here. Base spans are e-mail addresses, IPv4
 addresses, payment cards (Luhn) and international phone numbers. The values
-found are the protected entities. A term (a word of letters) discloses an entity
+found are the protected entities. A term (a run of letters) discloses an entity
 if seeing the term tells much about the entity's presence. From the corpus come
 
-* joint(t, e): mentions of e with t among the ``CONTEXT_WORDS`` words on either
-  side, and the number of different contexts (without t) among them,
-* n(t): documents that hold t; n(e): mentions of e; N: documents,
+* joint(t, e): documents that mention e with t among the ``CONTEXT_WORDS`` words
+  on either side, and the number of different contexts (without t) there,
+* n(t): documents that hold t; n(e): documents that mention e; N: documents,
 
 and t is held to disclose e if P(e|t) = joint / n(t) reaches ``min_share``, the
 information log2(P(e|t) / P(e)) reaches ``min_bits``, and the contexts are
 independent: at least ``min_contexts``, and at least ``independent`` of the
-mentions (copies of one text repeat one context and count little). Occurrences of
+documents (copies of one text repeat one context and count little). As n(t) is at
+least the number of documents that have t near any entity, terms whose share falls
+short of ``min_share`` there are left out before n(t) is counted. Occurrences of
 such terms become spans of the kind ``term`` in every document.
 
 Sanitised text carries ``<EMAIL>``, ``<IP>``, ``<CARD>`` and ``<PHONE>`` for base
@@ -48,7 +50,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 OCTET = "^0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])$"
-WORD = r"^\p{L}[\p{L}\p{M}'’-]*$"
+LETTERS = r"\p{L}\p{M}"         # what terms are made of
+TERM_LETTERS = 3                # shortest term
 CONTEXT_WORDS = 6
 CONTEXT_CHARS = 240
 BROADCAST_BYTES = 16 << 20      # measured size up to which a table of terms is broadcast
@@ -118,36 +121,40 @@ def span_text(spans: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    """Lower-case words of letters, with edge punctuation trimmed."""
-    bare = F.transform(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: F.regexp_replace(w, r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$", ""))
-    return F.filter(bare, lambda w: w.rlike(WORD))
+    """Lower-case runs of letters, long enough to be terms."""
+    return F.filter(F.split(F.lower(text), f"[^{LETTERS}]+"), lambda w: F.length(w) >= TERM_LETTERS)
 
 
 def mentions(found: DataFrame, text_col: str, spans: str) -> DataFrame:
-    """(entity, words): one row per base span, with the words around it."""
+    """(doc, entity, words): one row per base span, with the words around it.
+    ``doc`` numbers the documents for this one evaluation."""
     text = F.col(f"`{text_col}`")
-    one = found.where(F.size(spans) > 0).select(text.alias("t"), F.explode(spans).alias("s"))
+    one = found.where(F.size(spans) > 0).select(F.monotonically_increasing_id().alias("doc"), text.alias("t"), F.col(spans).alias("all"))
+    one = one.select("doc", "t", F.explode("all").alias("s"))
     before = F.substring("t", F.greatest(F.lit(1), F.col("s.start") - CONTEXT_CHARS + 1), F.least(F.lit(CONTEXT_CHARS), F.col("s.start")))
     after = F.substring("t", F.col("s.end") + 1, F.lit(CONTEXT_CHARS))
     entity = F.concat_ws(":", F.col("s.rank").cast("string"), F.lower(F.when(
         F.col("s.rank") >= 2, F.regexp_replace("s.value", "[^0-9]", "")).otherwise(F.col("s.value"))))
-    one = one.select(entity.alias("entity"), F.reverse(_words(before)).alias("l"), _words(after).alias("r"))
-    return one.select("entity", F.array_distinct(F.concat(
+    one = one.select("doc", entity.alias("entity"), F.reverse(_words(before)).alias("l"), _words(after).alias("r"))
+    return one.select("doc", "entity", F.array_distinct(F.concat(
         F.slice("l", 1, CONTEXT_WORDS), F.slice("r", 1, CONTEXT_WORDS))).alias("words"))
 
 
 def disclosing_terms(found: DataFrame, text_col: str, spans: str, rule: Disclosure) -> DataFrame | None:
     """(term, share): terms that exceed the disclosure thresholds, with their
     largest P(e|t). None if no term has enough independent contexts."""
-    seen = mentions(found, text_col, spans)
-    near = seen.select("entity", F.explode("words").alias("term"), "words")
+    seen = cut(mentions(found, text_col, spans))
+    near = seen.select("doc", "entity", F.explode("words").alias("term"), "words")
     joint = near.groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("joint"),
+        F.count_distinct("doc").alias("joint"),
         F.count_distinct(F.xxhash64(F.array_sort(F.array_remove("words", F.col("term"))))).alias("contexts"))
-    likely = cut(joint.where((F.col("contexts") >= rule.min_contexts) & (F.col("contexts") >= rule.independent * F.col("joint"))))
+    likely = joint.where((F.col("contexts") >= rule.min_contexts) & (F.col("contexts") >= rule.independent * F.col("joint")))
+    around = near.groupBy(F.col("term").alias("near_term")).agg(F.count_distinct("doc").alias("n_near"))
+    likely = likely.join(around, F.col("term") == F.col("near_term")).where(F.col("joint") >= rule.min_share * F.col("n_near"))
+    likely = cut(likely.select("entity", "term", "joint"))
     if likely.isEmpty():
         return None
-    entities = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    entities = seen.groupBy("entity").agg(F.count_distinct("doc").alias("n_e"))
     wanted = _sized(cut(likely.select(F.col("term").alias("t")).distinct()))
     n_t = (found.select(F.explode(F.array_distinct(_words(F.col(f"`{text_col}`")))).alias("word"))
            .join(wanted, F.col("word") == F.col("t"), "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_t")))
@@ -179,7 +186,7 @@ def find_pii(docs: DataFrame, rule: Disclosure = Disclosure(), text_col: str = "
     both = keyed.join(_sized(held), F.col("_key") == F.col("_held"), "left")
 
     def occurrences(t):
-        edge = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{M}'’-])\Q"), t["term"], F.lit(r"\E(?![\p{L}\p{M}'’-])"))
+        edge = F.concat(F.lit(rf"(?iu)(?<![{LETTERS}])\Q"), t["term"], F.lit(rf"\E(?![{LETTERS}])"))
         value = F.when(t["share"] >= rule.remove_share, "removed").otherwise("generalised")
         at = _places(F.regexp_extract_all(text, edge, F.lit(0)), F.split(text, edge, F.lit(-1)), KINDS.index("term"))
         return F.transform(at, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), value.alias("value")))
