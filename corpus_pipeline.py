@@ -50,10 +50,9 @@ def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """SentencePiece encoding: doc_id, ``n_pieces``, ``ids``, and ``text`` as
     decoded from them."""
     import public_tokenizers
-    from slotwise.llm.pieces import decode, encode
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = encode(docs, model)
-    return decode(encoded, model, out_col="text").select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "text")
+    from slotwise.llm.pieces import encode
+    encoded = encode(docs, public_tokenizers.path("piece_bpe_32k.model"), decoded_col="text")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "text")
 
 
 STAGES = [

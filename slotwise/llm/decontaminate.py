@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm import bytewords as bw
+from slotwise.llm.graph import small_batches
 
 WINDOW = 10
 SHINGLE = 3
@@ -117,6 +118,7 @@ def find_hits(c: bw.Chunk, ix: Index) -> tuple[np.ndarray, np.ndarray]:
 def _blocks(docs: DataFrame, text_col: str, benchmark: DataFrame, id_col: str, item_text: str, window: int,
             shingle: int, block_bytes: int):
     """Broadcast index of every benchmark block, prefixes chosen."""
+    small_batches(docs)
     items = benchmark.select(benchmark[id_col].cast("string").alias("id"), benchmark[item_text].alias("text"))
     items = items.where("id is not null and text is not null")
     total = items.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0

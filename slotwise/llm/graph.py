@@ -1,4 +1,5 @@
-"""Connected components of a link table, as DataFrame joins."""
+"""Frame helpers: checkpoints, batch size, and connected components of a link
+table as DataFrame joins."""
 
 from __future__ import annotations
 
@@ -7,6 +8,9 @@ from pyspark.sql import functions as F
 
 from slotwise.session import shared_dir
 
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there."""
@@ -14,6 +18,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of ``BATCH_ROWS`` rows in its session unless
+    that sets a size itself: texts are long, and Spark's default of 10,000 rows
+    is tens of megabytes a batch on either side."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return df
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that links reach, for every node
     with a link. Labels take the smallest label among the neighbours, then jump

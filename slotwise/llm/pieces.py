@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from slotwise.llm import bytewords as bw
+from slotwise.llm.graph import small_batches
 
 SPACE = "▁"
 CACHE_SIZE = 1 << 18
@@ -305,9 +306,12 @@ def transducer(path: str) -> Transducer:
     return _WORKER[path]
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, ``ids`` (the pieces of the text)."""
-    src = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("_text"))
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
+           decoded_col: str | None = None) -> DataFrame:
+    """One row per input row: id, ``ids`` (the pieces of the text) and, if asked
+    for, the text decoded from them, in the same pass."""
+    src = small_batches(docs).select(docs[id_col].alias(id_col), docs[text_col].alias("_text"))
+    names = [id_col, "ids", *([decoded_col] if decoded_col else [])]
 
     def run(batches):
         t = transducer(model)
@@ -315,15 +319,17 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
             ids = t.encode_batch([x or "" for x in b.column(1).to_pylist()])
             ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
             flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column(0), flat], names=[id_col, "ids"])
+            text = [pa.array([t.decode(x) for x in ids], pa.string())] if decoded_col else []
+            yield pa.RecordBatch.from_arrays([b.column(0), flat, *text], names=names)
 
-    return src.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, ids array<int>")
+    schema = f"`{id_col}` {src.schema[0].dataType.simpleString()}, ids array<int>"
+    return src.mapInArrow(run, schema + (f", `{decoded_col}` string" if decoded_col else ""))
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """The input rows with their text in ``out_col``; null ids give null."""
     from pyspark.sql.functions import lit
-    src = encoded.withColumn(out_col, lit(None).cast("string"))
+    src = small_batches(encoded).withColumn(out_col, lit(None).cast("string"))
     at, out = src.columns.index(ids_col), src.columns.index(out_col)
 
     def run(batches):

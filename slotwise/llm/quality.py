@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from slotwise.llm import bytewords as bw
+from slotwise.llm.graph import small_batches
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -90,7 +91,7 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules(), id_col: str =
             text_col: str = "text") -> DataFrame:
     """One row per input row: id, counts, ``base_failed``, ``kept``, then the
     coverage shares."""
-    src = docs.select(docs[id_col], docs[text_col])
+    src = small_batches(docs).select(docs[id_col], docs[text_col])
     shares = share_columns(rules)
     id_type = src.schema[0].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, " + ", ".join(f"{c} long" for c in COUNTS) + (
@@ -116,4 +117,4 @@ def keep_good(docs: DataFrame, rules: QualityRules = QualityRules(), text_col: s
             for lo, hi, c in bw.chunks(b.column(at), bw.SPACED, lower=False):
                 yield b.slice(lo, hi - lo).filter(pa.array(measure(c, rules)["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -82,10 +82,9 @@ def op8_decontamination(spark, sf_dir):
 def op7_sentencepiece(spark, sf_dir):
     import public_tokenizers
     from pyspark.sql import functions as F
-    from slotwise.llm.pieces import decode, encode
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = encode(table(spark, sf_dir, "documents"), model)
-    return decode(encoded, model).select(
+    from slotwise.llm.pieces import encode
+    encoded = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), decoded_col="decoded")
+    return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_pieces"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

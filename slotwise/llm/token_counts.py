@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.llm.graph import small_batches
+
 TABLE_SIZE = 1 << 17        # pre-tokens in the broadcast table
 TASK_SUMMARY = 1 << 14      # pre-tokens that one task reports
 COUNTER_SIZE = 1 << 18      # entries at which a task's counter drops its rare half
@@ -123,7 +125,7 @@ def frequent_pretokens(docs: DataFrame, path: str, pattern: str, text_col: str =
 def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_col: str = "doc_id",
                  text_col: str = "text", table_size: int = TABLE_SIZE) -> DataFrame:
     """One row per input row: id, ``n_bytes``, ``n_tokens``, ``over_limit``."""
-    src = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("_text"))
+    src = small_batches(docs).select(docs[id_col].alias(id_col), docs[text_col].alias("_text"))
     table = src.sparkSession.sparkContext.broadcast(
         frequent_pretokens(src, path, pattern, "_text", table_size) if table_size else {})
     id_type = src.schema[0].dataType.simpleString()

@@ -42,8 +42,8 @@ def test_long_word_and_broken_bytes():
 def test_corpus(spark):
     df = documents(spark, SF_SMALL)
     texts = {r.doc_id: r.text for r in df.collect()}
-    for r in decode(encode(df, MODEL), MODEL).collect():
-        assert r.ids == LIB.encode(texts[r.doc_id]) and r.decoded == texts[r.doc_id]
+    for r in decode(encode(df, MODEL, decoded_col="same_pass"), MODEL).collect():
+        assert r.ids == LIB.encode(texts[r.doc_id]) and r.decoded == r.same_pass == texts[r.doc_id]
 
 
 def test_odd_rows(spark):
