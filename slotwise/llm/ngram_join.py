@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm import bytewords as bw
-from slotwise.llm.graph import components, cut
+from slotwise.llm.graph import components, cut, small_batches
 
 GRAM = 4
 PERCENT = 85
@@ -284,7 +284,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, n: int = GRAM, i
                        block_grams: int = BLOCK_GRAMS) -> DataFrame:
     """One row per input row: id, ``n_shingles`` (set size), ``component_id``
     (smallest id that links reach, itself included). Ids are integers."""
-    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    texts = small_batches(docs).select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     lengths = texts.sparkSession.sparkContext.broadcast(frequent_grams(texts.select("text"), n))
     rows = cut(texts.mapInArrow(_short_lists(lengths, n, percent, occurrences),
                                 "id long, size long, f1 long, f2 long, short array<long>"))
@@ -295,7 +295,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, n: int = GRAM, i
     shared = postings.groupBy(F.col("g").alias("sg")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sg")
     lists = cut(postings.join(shared, F.col("g") == F.col("sg"), "left_semi"))
 
-    reps = rows.where("size > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("rep"))
+    # written first, so that both sides of the join are plain shuffles and Spark can split a class of many copies
+    reps = cut(rows.where("size > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("rep")))
     rep = cut(rows.select("id", *key).join(reps.select(*[F.col(k).alias(f"c_{k}") for k in key], "rep"),
                                            [F.col(k) == F.col(f"c_{k}") for k in key], "left").select("id", "size", "rep"))
     # a doc_id with several texts joins their classes

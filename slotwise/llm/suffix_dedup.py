@@ -9,9 +9,10 @@ the texts; equal ones have to meet.
    content alone, so equal windows share the anchor's gram and the offset to it.
    Neighbouring windows share an anchor: such a run is one row (gram, hash of the
    run's bytes, place), about one per 170 bytes.
-2. A run whose bytes occur twice repeats as a whole. Its rows are aggregated in
-   the tasks before they are shuffled, so exact copies, however many, cost one
-   row per task.
+2. A run whose bytes occur twice repeats as a whole. Runs that repeat inside a
+   chunk of texts (a text over and over the same phrase, copies side by side) are
+   one row with their number, and their ranges are merged there; the others are
+   counted with partial sums in the tasks.
 3. Grams with several different runs keep one run of each kind, with its bytes.
    The runs' suffixes from the anchor on, and the reversed prefixes before it, are
    ordered by deep-shallow sorting (:mod:`slotwise.llm.suffix_sort`); from the
@@ -34,12 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm import bytewords as bw
-from slotwise.llm.graph import cut
+from slotwise.llm.graph import cut, small_batches
 from slotwise.llm.suffix_sort import deep_shallow
 
 LENGTH = 400
 GRAM = 64
-BLOCK_RUNS = 4096           # runs of a block; a task holds two blocks
+BLOCK_RUNS = 1024           # runs of a block; a task holds two blocks
 FLUSH_BYTES = 8 << 20       # run bytes that a task gathers before it sorts them
 BROADCAST_BYTES = 32 << 20  # size up to which a per-text table is broadcast
 
@@ -104,16 +105,35 @@ def _runs(length: int, gram: int):
                 c = bw.parse(part, bw.SPACED, lower=False)
                 text, start, windows, place, g, whole = window_runs(c, length, gram)
                 digest = pa.array([hashlib.md5(t).digest() for t in part], pa.binary())
-                first = c.doc_start[text]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(g.view(np.int64)), pa.array(whole.view(np.int64)), digest.take(pa.array(text)),
-                     pa.array((start - first).astype(np.int32)), pa.array(windows.astype(np.int32)),
-                     pa.array((place - start).astype(np.int32))],
-                    names=["g", "whole", "text_id", "start", "windows", "off"])
+                at = start - c.doc_start[text]
+                key = bw.mix(g ^ bw.mix(whole))
+                same = np.flatnonzero(bw.repeated(key))
+                _, one, count = np.unique(key[same], return_index=True, return_counts=True)
+                row = np.append(np.setdiff1d(np.arange(len(key)), same), same[one])
+                n = np.append(np.ones(len(row) - len(one), np.int64), count)
+                yield _rows(n, digest.take(pa.array(text[row])), at[row], windows[row], (place - start)[row],
+                            g[row].view(np.int64), whole[row].view(np.int64))
+                # runs come in order, so their ranges only grow
+                a, z = at[same], at[same] + windows[same] - 1 + length
+                new = np.ones(len(same), bool)
+                new[1:] = (text[same][1:] != text[same][:-1]) | (a[1:] > z[:-1])
+                first = np.flatnonzero(new)
+                if len(first):
+                    last = np.append(first[1:], len(same)) - 1
+                    zero = np.zeros(len(first), np.int64)
+                    yield _rows(zero, digest.take(pa.array(text[same][first])), a[first], z[last], zero, zero, zero)
     return run
 
 
-_RUN_ROW = "g long, whole long, text_id binary, start int, windows int, off int"
+def _rows(n, text_id, start, windows, off, g, whole) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(n), text_id, *(pa.array(x.astype(np.int32)) for x in (start, windows, off)), pa.array(g), pa.array(whole)],
+        names=["n", "text_id", "start", "windows", "off", "g", "whole"])
+
+
+#: n: how often the run occurs in its chunk; 0 marks a range that repeats, from
+#: ``start`` to ``windows``.
+_RUN_ROW = "n long, text_id binary, start int, windows int, off int, g long, whole long"
 
 
 def agreement(runs: list[bytes], off: list[int], block: list[int] | None, length: int) -> list[tuple[int, int] | None]:
@@ -196,11 +216,12 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
     """(text_id, ranges): per distinct text (md5) with repeated bytes, their
     merged byte ranges as start, end, start, end ... ``texts`` has a column
     ``text``."""
-    rows = cut(texts.mapInArrow(_runs(length, gram), _RUN_ROW))
-    kinds = cut(rows.groupBy("g", "whole").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("text_id", "start", "windows", "off")).alias("one")))
+    rows = cut(small_batches(texts).mapInArrow(_runs(length, gram), _RUN_ROW))
+    near = rows.where("n = 0").select("text_id", F.col("start").alias("a"), F.col("windows").alias("z"))
+    kinds = cut(rows.where("n > 0").groupBy("g", "whole").agg(
+        F.sum("n").alias("n"), F.min(F.struct("text_id", "start", "windows", "off")).alias("one")))
     twice = kinds.where("n > 1").select(F.col("g").alias("tg"), F.col("whole").alias("tw"))
-    whole = (rows.join(twice, (F.col("g") == F.col("tg")) & (F.col("whole") == F.col("tw")), "left_semi")
+    whole = (rows.where("n = 1").join(twice, (F.col("g") == F.col("tg")) & (F.col("whole") == F.col("tw")), "left_semi")
              .select("text_id", F.col("start").alias("a"), (F.col("start") + F.col("windows") - 1 + length).alias("z")))
 
     several = kinds.groupBy(F.col("g").alias("sg")).agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
@@ -218,7 +239,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
                      "single", "text_id", "start", "off", "data")
              .repartition("g", "i", "j").sortWithinPartitions("g", "i", "j"))
     partly = tasks.mapInArrow(_sort_runs(length), "text_id binary, a int, z int")
-    found = whole.union(partly).groupBy("text_id").agg(F.array_sort(F.collect_set(F.struct("a", "z"))).alias("found"))
+    found = near.union(whole).union(partly).groupBy("text_id").agg(F.array_sort(F.collect_set(F.struct("a", "z"))).alias("found"))
     return found.mapInArrow(_merge_ranges, "text_id binary, ranges array<int>")
 
 
