@@ -9,6 +9,8 @@ between tasks, runs and machines.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -108,6 +110,28 @@ def gram_hash(word: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def trim() -> None:
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def tidy(run):
+    """``run``, a function over a task's Arrow batches, that gives freed memory
+    back to the system after each batch. Workers live on between tasks and
+    operators, and the C allocator would keep what the largest batch took."""
+    @functools.wraps(run)
+    def whole(batches):
+        def each():
+            for b in batches:
+                yield b
+                trim()
+        yield from run(each())
+    return whole
+
+
 def blobs(column: pa.Array) -> list[bytes]:
     """A string column as UTF-8 bytes; null becomes empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

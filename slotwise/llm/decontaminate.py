@@ -134,6 +134,7 @@ def _blocks(docs: DataFrame, text_col: str, benchmark: DataFrame, id_col: str, i
 
 def _count_shingles(texts: DataFrame, shingles) -> dict[int, np.ndarray]:
     """Occurrences of the block's shingles over all documents."""
+    @bw.tidy
     def run(batches):
         counts = {s: np.zeros(len(t), np.int64) for s, t in shingles.value.items()}
         for b in batches:
@@ -173,6 +174,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 
 def _join(index):
+    @bw.tidy
     def run(batches):
         ix = index.value
         for b in batches:
@@ -214,6 +216,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shin
     at = docs.columns.index(text_col)
 
     def clean(index):
+        @bw.tidy
         def run(batches):
             for b in batches:
                 for lo, hi, c in bw.chunks(b.column(at), bw.ALNUM, lower=True):

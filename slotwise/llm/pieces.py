@@ -256,9 +256,9 @@ class Transducer:
         for text in texts:
             words = self.words(self.prefix + text.replace(SPACE, " ")) if text else []
             ids = list(map(self.cache.get, words))
-            cut.append((words, ids))
-            if None in ids:
-                todo.update((w, None) for w, x in zip(words, ids) if x is None)
+            missing = [k for k, x in enumerate(ids) if x is None] if None in ids else []
+            cut.append((words, ids, missing))
+            todo.update(dict.fromkeys(words[k] for k in missing))
         if todo:
             plain = [w for w in todo if len(w) <= WORD and self.chars.issuperset(w)]
             found = dict(zip(plain, self.solve_words(plain))) if len(plain) >= MANY else {}
@@ -266,10 +266,10 @@ class Transducer:
                 if w not in found:
                     found[w] = self.solve(w)
             self.cache.update((w, x) for w, x in found.items() if len(w) <= 64)
-            for words, ids in cut:
-                if None in ids:
-                    ids[:] = [found[w] if x is None else x for w, x in zip(words, ids)]
-        return [np.frombuffer(b"".join(ids), self.type) for _, ids in cut]
+            for words, ids, missing in cut:
+                for k in missing:
+                    ids[k] = found[words[k]]
+        return [np.frombuffer(b"".join(ids), self.type) for _, ids, _ in cut]
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_batch([text])[0]
@@ -313,6 +313,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     src = small_batches(docs).select(docs[id_col].alias(id_col), docs[text_col].alias("_text"))
     names = [id_col, "ids", *([decoded_col] if decoded_col else [])]
 
+    @bw.tidy
     def run(batches):
         t = transducer(model)
         for b in (b.slice(k, OUT_ROWS) for b in batches for k in range(0, b.num_rows, OUT_ROWS)):
@@ -332,6 +333,7 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", out_col: str =
     src = small_batches(encoded).withColumn(out_col, lit(None).cast("string"))
     at, out = src.columns.index(ids_col), src.columns.index(out_col)
 
+    @bw.tidy
     def run(batches):
         t = transducer(model)
         for b in batches:

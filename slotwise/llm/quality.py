@@ -98,6 +98,7 @@ def quality(docs: DataFrame, rules: QualityRules = QualityRules(), id_col: str =
         ", base_failed boolean, kept boolean, ") + ", ".join(f"{c} double" for c in shares)
     names = [*COUNTS, "base_failed", "kept", *shares]
 
+    @bw.tidy
     def run(batches):
         for b in batches:
             for lo, hi, c in bw.chunks(b.column(1), bw.SPACED, lower=False):
@@ -112,6 +113,7 @@ def keep_good(docs: DataFrame, rules: QualityRules = QualityRules(), text_col: s
     """The rows whose text is kept, with all their columns (no join)."""
     at = docs.columns.index(text_col)
 
+    @bw.tidy
     def run(batches):
         for b in batches:
             for lo, hi, c in bw.chunks(b.column(at), bw.SPACED, lower=False):

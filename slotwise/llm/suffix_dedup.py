@@ -95,6 +95,7 @@ def _leftmost_min(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def _runs(length: int, gram: int):
+    @bw.tidy
     def run(batches):
         for b in batches:
             texts = bw.blobs(b.column(0))
@@ -190,6 +191,7 @@ def _sort_runs(length: int):
             [pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.int32()),
              pa.array([x[2] for x in out], pa.int32())], names=["text_id", "a", "z"])
 
+    @bw.tidy
     def run(batches):
         held, size, last = [], 0, None
         for b in batches:
@@ -246,6 +248,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
 def _fetch(length: int):
     """The bytes of the wanted runs. A text that stands in several rows sends
     the same runs again, which changes nothing: such runs are not single."""
+    @bw.tidy
     def run(batches):
         for b in batches:
             text_id, texts = b.column(0).to_pylist(), bw.blobs(b.column(1))
@@ -282,6 +285,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
             .join(small(found, "20 + 4 * size(ranges)"), F.col("text_id") == F.col("found_id"), "left")
             .select("id", "text", "ranges"))
 
+    @bw.tidy
     def run(batches):
         for b in batches:
             texts, ranges = bw.blobs(b.column(1)), b.column(2).to_pylist()
