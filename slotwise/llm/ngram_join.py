@@ -43,13 +43,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm import bytewords as bw
-from slotwise.llm.graph import components, cut, small_batches
+from slotwise.llm.graph import components, cut, most_frequent, small_batches
 
 GRAM = 4
 PERCENT = 85
 OCCURRENCES = 3             # l: occurrences on short lists that a pair must reach
 FREQUENT = 1 << 17          # grams in the broadcast table of list lengths
-TASK_GRAMS = 1 << 22        # grams that a task counts at once
+TASK_GRAMS = 1 << 20        # grams that a task counts at once
 SHORT_LIST = 256            # members up to which a list's pairs become rows
 BLOCK_GRAMS = 1 << 19       # grams of a block; a task holds two blocks
 BROADCAST_IDS = 1 << 19     # documents to probe up to which their ids are broadcast
@@ -87,6 +87,7 @@ def frequent_grams(texts: DataFrame, n: int, size: int = FREQUENT) -> tuple[np.n
         g, count = g[count > 1], count[count > 1]
         return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(count, pa.int64())], names=["g", "n"])
 
+    @bw.tidy
     def run(batches):
         kept, held = [], 0
         for b in batches:
@@ -100,8 +101,8 @@ def frequent_grams(texts: DataFrame, n: int, size: int = FREQUENT) -> tuple[np.n
         if kept:
             yield report(kept)
 
-    top = (texts.mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "g").limit(size).toArrow())
+    counts = cut(texts.mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")))
+    top = most_frequent(counts, size).toArrow()
     g = np.asarray(top.column("g").to_numpy(), np.int64).view(np.uint64)
     count = np.asarray(top.column("n").to_numpy(), np.int64)
     order = np.argsort(g)
@@ -110,6 +111,7 @@ def frequent_grams(texts: DataFrame, n: int, size: int = FREQUENT) -> tuple[np.n
 
 def _short_lists(lengths, n: int, percent: int, occurrences: int):
     """Per document: set size, fingerprints of the set, grams of its short lists."""
+    @bw.tidy
     def run(batches):
         for b in batches:
             for lo, hi, c in bw.chunks(b.column(1), bw.SPACED, lower=True):
@@ -132,6 +134,7 @@ def _short_lists(lengths, n: int, percent: int, occurrences: int):
 
 
 def _sets(n: int):
+    @bw.tidy
     def run(batches):
         for b in batches:
             for lo, hi, c in bw.chunks(b.column(1), bw.SPACED, lower=True):
@@ -146,6 +149,7 @@ def _sets(n: int):
 
 def _probe(percent: int):
     """Keeps the pairs whose exact overlap suffices."""
+    @bw.tidy
     def run(batches):
         for b in batches:
             ok = []

@@ -27,7 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.llm.graph import small_batches
+from slotwise.llm import bytewords as bw
+from slotwise.llm.graph import cut, most_frequent, small_batches
 
 TABLE_SIZE = 1 << 17        # pre-tokens in the broadcast table
 TASK_SUMMARY = 1 << 14      # pre-tokens that one task reports
@@ -101,6 +102,7 @@ def frequent_pretokens(docs: DataFrame, path: str, pattern: str, text_col: str =
     """The broadcast table. Every task counts all of its pre-tokens (in bounded
     memory: an overfull counter drops its rare half) and reports its
     ``TASK_SUMMARY`` most frequent; the driver gets ``size`` rows at most."""
+    @bw.tidy
     def run(batches):
         enc = encoder(path, pattern)
         counts: Counter = Counter()
@@ -116,10 +118,9 @@ def frequent_pretokens(docs: DataFrame, path: str, pattern: str, text_col: str =
             [pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64()),
              pa.array(lengths, pa.int32())], names=["pretoken", "n", "tokens"])
 
-    top = (docs.select(docs[text_col]).mapInArrow(run, "pretoken string, n long, tokens int")
-           .groupBy("pretoken").agg(F.sum("n").alias("n"), F.max("tokens").alias("tokens"))
-           .orderBy(F.desc("n"), "pretoken").limit(size))
-    return {r.pretoken: r.tokens for r in top.select("pretoken", "tokens").collect()}
+    counts = (docs.select(docs[text_col]).mapInArrow(run, "pretoken string, n long, tokens int")
+              .groupBy("pretoken").agg(F.sum("n").alias("n"), F.max("tokens").alias("tokens")))
+    return {r.pretoken: r.tokens for r in most_frequent(cut(counts), size).collect()}
 
 
 def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_col: str = "doc_id",
@@ -130,6 +131,7 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_
         frequent_pretokens(src, path, pattern, "_text", table_size) if table_size else {})
     id_type = src.schema[0].dataType.simpleString()
 
+    @bw.tidy
     def run(batches):
         enc, known = encoder(path, pattern), table.value
         for b in batches:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from slotwise.llm import ngram_join as nj
-from slotwise.llm.graph import components
+from slotwise.llm.graph import components, most_frequent
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import DOC, WORD, documents, lower, odd_rows
 
@@ -98,3 +98,10 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 90)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, 90: 90, 100: 90}
+
+
+def test_most_frequent(spark):
+    counts = spark.createDataFrame([(i, n) for i, n in enumerate([1] * 50 + [2] * 5 + [3, 7, 1000, 1001])], "w long, n long")
+    assert sorted(r.n for r in most_frequent(counts, 4).collect()) == [3, 7, 1000, 1001]
+    assert most_frequent(counts, 10).count() == 9 and most_frequent(counts, 100).count() == 59
+    assert most_frequent(counts, 1).count() <= 1 and most_frequent(counts.limit(0), 5).count() == 0
