@@ -5,15 +5,16 @@ addresses, payment cards (Luhn) and international phone numbers. The values
 found are the protected entities. A term (a run of letters) discloses an entity
 if seeing the term tells much about the entity's presence. From the corpus come
 
-* joint(t, e): documents that mention e with t among the ``CONTEXT_WORDS`` words
+* joint(t, e): texts that mention e with t among the ``CONTEXT_WORDS`` words
   on either side, and the number of different contexts (without t) there,
-* n(t): documents that hold t; n(e): documents that mention e; N: documents,
+* n(t): texts that hold t; n(e): texts that mention e; N: texts; each different
+  text (digest) counts once, so copies neither add to nor take from the evidence,
 
 and t is held to disclose e if P(e|t) = joint / n(t) reaches ``min_share``, the
 information log2(P(e|t) / P(e)) reaches ``min_bits``, and the contexts are
 independent: at least ``min_contexts``, and at least ``independent`` of the
-documents (copies of one text repeat one context and count little). As n(t) is at
-least the number of documents that have t near any entity, terms whose share falls
+texts (near copies, whose texts differ, repeat a few contexts). As n(t) is at
+least the number of texts that have t near any entity, terms whose share falls
 short of ``min_share`` there are left out before n(t) is counted. Occurrences of
 such terms become spans of the kind ``term`` in every document.
 
@@ -120,6 +121,10 @@ def span_text(spans: Column) -> Column:
         ":", F.element_at(kinds, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _digest(text_col: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+
+
 def _words(text: Column) -> Column:
     """Lower-case runs of letters, long enough to be terms."""
     return F.filter(F.split(F.lower(text), f"[^{LETTERS}]+"), lambda w: F.length(w) >= TERM_LETTERS)
@@ -127,9 +132,9 @@ def _words(text: Column) -> Column:
 
 def mentions(found: DataFrame, text_col: str, spans: str) -> DataFrame:
     """(doc, entity, words): one row per base span, with the words around it.
-    ``doc`` numbers the documents for this one evaluation."""
+    ``doc`` is the text's digest; copies of a text repeat its rows."""
     text = F.col(f"`{text_col}`")
-    one = found.where(F.size(spans) > 0).select(F.monotonically_increasing_id().alias("doc"), text.alias("t"), F.col(spans).alias("all"))
+    one = found.where(F.size(spans) > 0).select(_digest(text_col).alias("doc"), text.alias("t"), F.col(spans).alias("all"))
     one = one.select("doc", "t", F.explode("all").alias("s"))
     before = F.substring("t", F.greatest(F.lit(1), F.col("s.start") - CONTEXT_CHARS + 1), F.least(F.lit(CONTEXT_CHARS), F.col("s.start")))
     after = F.substring("t", F.col("s.end") + 1, F.lit(CONTEXT_CHARS))
@@ -143,7 +148,7 @@ def mentions(found: DataFrame, text_col: str, spans: str) -> DataFrame:
 def disclosing_terms(found: DataFrame, text_col: str, spans: str, rule: Disclosure) -> DataFrame | None:
     """(term, share): terms that exceed the disclosure thresholds, with their
     largest P(e|t). None if no term has enough independent contexts."""
-    seen = cut(mentions(found, text_col, spans))
+    seen = cut(mentions(found, text_col, spans).distinct())
     near = seen.select("doc", "entity", F.explode("words").alias("term"), "words")
     joint = near.groupBy("entity", "term").agg(
         F.count_distinct("doc").alias("joint"),
@@ -156,11 +161,12 @@ def disclosing_terms(found: DataFrame, text_col: str, spans: str, rule: Disclosu
         return None
     entities = seen.groupBy("entity").agg(F.count_distinct("doc").alias("n_e"))
     wanted = _sized(cut(likely.select(F.col("term").alias("t")).distinct()))
-    n_t = (found.select(F.explode(F.array_distinct(_words(F.col(f"`{text_col}`")))).alias("word"))
-           .join(wanted, F.col("word") == F.col("t"), "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_t")))
+    n_t = (found.select(_digest(text_col).alias("doc"), F.explode(F.array_distinct(_words(F.col(f"`{text_col}`")))).alias("word"))
+           .join(wanted, F.col("word") == F.col("t"), "left_semi").groupBy("word").agg(F.count_distinct("doc").alias("n_t")))
+    n_texts = found.select(_digest(text_col).alias("doc")).distinct().count()
     scored = (likely.join(entities, "entity").join(n_t, F.col("term") == F.col("word"))
               .withColumn("share", F.least(F.lit(1.0), F.col("joint") / F.col("n_t")))
-              .withColumn("bits", F.log2(F.col("share") * found.count() / F.col("n_e"))))
+              .withColumn("bits", F.log2(F.col("share") * n_texts / F.col("n_e"))))
     return cut(scored.where((F.col("share") >= rule.min_share) & (F.col("bits") >= rule.min_bits))
                .groupBy("term").agg(F.max("share").alias("share")))
 

@@ -71,6 +71,24 @@ def test_terms_that_disclose(spark):
     assert "<REMOVED>, writes" in removed[0]
 
 
+def copies(spark):
+    """A nickname in independent texts, and many copies of one of them and of a
+    text that holds the nickname alone."""
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+    rows = [(i, f"{words(20)} Zorbinak, writes from zor@acme.org {words(20)}") for i in range(10)]
+    rows += [(100 + i, f"{words(30)} writes from {words(30)}") for i in range(300)]
+    rows += [(1000 + i, rows[0][1]) for i in range(40)]
+    alone = f"{words(10)} quote ZORBINAK here {words(10)}"
+    rows += [(2000 + i, alone) for i in range(40)]
+    return spark.createDataFrame(rows, DOC)
+
+
+def test_copies_do_not_switch_a_term_off(spark):
+    found = {r.doc_id: r.s for r in find_pii(copies(spark)).select("doc_id", F.filter("spans", lambda s: s["rank"] == 4)["value"].alias("s")).collect()}
+    assert all(v == (["removed"] if i < 10 or i >= 1000 else []) for i, v in found.items())     # 10 of 11 texts
+
+
 def test_sanitise_leaves_the_rest(spark):
     df = spark.createDataFrame([(1, "mail a@b.co or +1 (988) 555-2485, 1.2.3.4.", "x"), (2, None, "y"), (3, "nothing here", "z")],
                                "doc_id long, text string, spans string")
