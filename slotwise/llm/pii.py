@@ -5,25 +5,28 @@ addresses, payment cards (Luhn) and international phone numbers. The values
 found are the protected entities. A term (a run of letters) discloses an entity
 if seeing the term tells much about the entity's presence. From the corpus come
 
-* joint(t, e): texts that mention e with t among the ``CONTEXT_WORDS`` words
-  on either side, and the number of different contexts (without t) there,
+* joint(t, e): texts that mention e and hold t, anywhere, and the number of
+  different contexts there (the ``CONTEXT_WORDS`` words on either side of a
+  mention, without t),
 * n(t): texts that hold t; n(e): texts that mention e; N: texts; each different
-  text (digest) counts once, so copies neither add to nor take from the evidence,
+  text (digest) counts once, so copies neither add to nor take from the evidence;
+  the letters of e-mail addresses are mentions, not words that a text holds,
 
 and t is held to disclose e if P(e|t) = joint / n(t) reaches ``min_share``, the
 information log2(P(e|t) / P(e)) reaches ``min_bits``, and the contexts are
 independent: at least ``min_contexts``, and at least ``independent`` of the
-texts (near copies, whose texts differ, repeat a few contexts). As n(t) is at
-least the number of texts that have t near any entity, terms whose share falls
-short of ``min_share`` there are left out before n(t) is counted. Occurrences of
+texts (near copies, whose texts differ, repeat a few contexts). Occurrences of
 such terms become spans of the kind ``term`` in every document.
 
+Pairs that cannot pass are left out before they are made: an entity needs
+``min_contexts`` mentions, and as joint is at most n(e) and n(t) at least the
+number of texts with such an entity that hold t, that number bounds n(e).
+
 Sanitised text carries ``<EMAIL>``, ``<IP>``, ``<CARD>`` and ``<PHONE>`` for base
 spans; terms are removed (``<REMOVED>``) where P(e|t) reaches ``remove_share``
 and generalised (``<NAME>``) below.
 
-Contexts are bounded, so a mention gives a bounded number of rows; statistics are
-partial aggregations; terms are looked up by joins on the term, or on the text's
+Statistics are partial aggregations; terms are looked up by joins on the term, or on the text's
 digest, as broadcasts where the table's measured size allows. Nothing is collected
 but sizes.
 
@@ -130,6 +133,13 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), f"[^{LETTERS}]+"), lambda w: F.length(w) >= TERM_LETTERS)
 
 
+def _outside(text_col: str) -> Column:
+    """The distinct words of a text, without those in e-mail addresses (other base spans hold no letters)."""
+    text = F.col(f"`{text_col}`")
+    bare = F.when(text.contains("@"), F.regexp_replace(text, F.lit(PATTERNS["email"]), F.lit(" "))).otherwise(text)
+    return F.array_distinct(_words(bare))
+
+
 def mentions(found: DataFrame, text_col: str, spans: str) -> DataFrame:
     """(doc, entity, words): one row per base span, with the words around it.
     ``doc`` is the text's digest; copies of a text repeat its rows."""
@@ -145,23 +155,37 @@ def mentions(found: DataFrame, text_col: str, spans: str) -> DataFrame:
         F.slice("l", 1, CONTEXT_WORDS), F.slice("r", 1, CONTEXT_WORDS))).alias("words"))
 
 
+def joint_terms(found: DataFrame, seen: DataFrame, text_col: str, spans: str, rule: Disclosure) -> DataFrame:
+    """(entity, term, joint, contexts) over whole texts, of all pairs that can
+    reach ``min_contexts`` and ``min_share``. ``seen``: distinct mentions."""
+    often = seen.groupBy(F.col("entity").alias("often")).agg(F.count(F.lit(1)).alias("places"), F.count_distinct("doc").alias("n_often"))
+    kept = cut(seen.join(often, F.col("entity") == F.col("often")).where(F.col("places") >= rule.min_contexts)
+               .select("doc", "entity", "words", "n_often"))
+    docs = kept.groupBy(F.col("doc").alias("kept_doc")).agg(F.max("n_often").alias("most"))
+    held = cut(found.where(F.size(spans) > 0).select(_digest(text_col).alias("held_doc"), F.explode(_outside(text_col)).alias("term"))
+               .distinct().join(docs, F.col("held_doc") == F.col("kept_doc")).select("held_doc", "term", "most"))
+    around = held.groupBy(F.col("term").alias("near_term")).agg(F.count(F.lit(1)).alias("n_near"))
+    rare = (held.join(around, F.col("term") == F.col("near_term")).where(F.col("most") >= rule.min_share * F.col("n_near"))
+            .select("held_doc", "term", "n_near"))
+    pairs = kept.join(rare, (F.col("doc") == F.col("held_doc")) & (F.col("n_often") >= rule.min_share * F.col("n_near")))
+    return pairs.groupBy("entity", "term").agg(
+        F.count_distinct("doc").alias("joint"),
+        F.count_distinct(F.xxhash64(F.array_sort(F.array_remove("words", F.col("term"))))).alias("contexts"),
+        F.first("n_near").alias("n_near")).where(F.col("joint") >= rule.min_share * F.col("n_near"))
+
+
 def disclosing_terms(found: DataFrame, text_col: str, spans: str, rule: Disclosure) -> DataFrame | None:
     """(term, share): terms that exceed the disclosure thresholds, with their
     largest P(e|t). None if no term has enough independent contexts."""
     seen = cut(mentions(found, text_col, spans).distinct())
-    near = seen.select("doc", "entity", F.explode("words").alias("term"), "words")
-    joint = near.groupBy("entity", "term").agg(
-        F.count_distinct("doc").alias("joint"),
-        F.count_distinct(F.xxhash64(F.array_sort(F.array_remove("words", F.col("term"))))).alias("contexts"))
+    joint = joint_terms(found, seen, text_col, spans, rule)
     likely = joint.where((F.col("contexts") >= rule.min_contexts) & (F.col("contexts") >= rule.independent * F.col("joint")))
-    around = near.groupBy(F.col("term").alias("near_term")).agg(F.count_distinct("doc").alias("n_near"))
-    likely = likely.join(around, F.col("term") == F.col("near_term")).where(F.col("joint") >= rule.min_share * F.col("n_near"))
     likely = cut(likely.select("entity", "term", "joint"))
     if likely.isEmpty():
         return None
     entities = seen.groupBy("entity").agg(F.count_distinct("doc").alias("n_e"))
     wanted = _sized(cut(likely.select(F.col("term").alias("t")).distinct()))
-    n_t = (found.select(_digest(text_col).alias("doc"), F.explode(F.array_distinct(_words(F.col(f"`{text_col}`")))).alias("word"))
+    n_t = (found.select(_digest(text_col).alias("doc"), F.explode(_outside(text_col)).alias("word"))
            .join(wanted, F.col("word") == F.col("t"), "left_semi").groupBy("word").agg(F.count_distinct("doc").alias("n_t")))
     n_texts = found.select(_digest(text_col).alias("doc")).distinct().count()
     scored = (likely.join(entities, "entity").join(n_t, F.col("term") == F.col("word"))

@@ -1,5 +1,7 @@
+import math
 import random
 import re
+from collections import defaultdict
 
 from pyspark.sql import functions as F
 
@@ -89,6 +91,51 @@ def test_copies_do_not_switch_a_term_off(spark):
     assert all(v == (["removed"] if i < 10 or i >= 1000 else []) for i, v in found.items())     # 10 of 11 texts
 
 
+def brute_terms(texts, rule=Disclosure()):
+    """term: largest share, over whole distinct texts. Texts have no e-mail but their mentions."""
+    words = lambda t: [w for w in re.split(r"[^\w]+", t.lower()) if len(w) >= 3]
+    held, mention, contexts = defaultdict(set), defaultdict(set), defaultdict(list)
+    texts = sorted(set(texts))
+    for k, t in enumerate(texts):
+        for w in words(re.sub(BASE["email"], " ", t)):
+            held[w].add(k)
+        for m in re.finditer(BASE["email"], t):
+            mention[m.group().lower()].add(k)
+            contexts[m.group().lower()].append((k, frozenset(words(t[:m.start()])[-6:] + words(t[m.end():])[:6])))
+    out = {}
+    for w, in_texts in held.items():
+        for e, docs in mention.items():
+            joint = len(in_texts & docs)
+            different = len({c - {w} for k, c in contexts[e] if k in in_texts})
+            share = joint / len(in_texts)
+            if (joint and different >= rule.min_contexts and different >= rule.independent * joint and share >= rule.min_share
+                    and math.log2(share * len(texts) / len(docs)) >= rule.min_bits):
+                out[w] = max(out.get(w, 0), share)
+    return out
+
+
+def letters(rng):
+    """Letters whose salutation names the writer, far from the address."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(3))
+    some = lambda n: " ".join(word() for _ in range(n))
+    names = ["Zorbinak", "Quellith", "Vrandor", "Oskupel"]
+    texts = []
+    for name in names:
+        for i in range(rng.randint(4, 9)):
+            texts.append(f"{name} greets you. {some(20)} {rng.choice(names) if i % 4 == 3 else ''} {some(8)} mail {name[:3]}@acme.org {some(15)}")
+    texts += [f"{some(12)} {rng.choice(names)} {some(12)}" for _ in range(6)] + [some(30) for _ in range(400)]
+    return texts + texts[:5] * 6
+
+
+def test_terms_of_whole_texts_match_brute_force(spark):
+    texts = letters(random.Random(9))
+    want = brute_terms(texts)
+    assert {"zorbinak", "quellith", "vrandor", "oskupel"} & set(want)
+    found = base_spans(spark.createDataFrame(list(enumerate(texts)), DOC), "text", "base")
+    got = {r.term: r.share for r in pii.disclosing_terms(found, "text", "base", Disclosure()).collect()}
+    assert got == want
+
+
 def test_sanitise_leaves_the_rest(spark):
     df = spark.createDataFrame([(1, "mail a@b.co or +1 (988) 555-2485, 1.2.3.4.", "x"), (2, None, "y"), (3, "nothing here", "z")],
                                "doc_id long, text string, spans string")
