@@ -2,7 +2,9 @@
 
 Only DataFrame functions run here. Base spans are e-mail addresses, IPv4
 addresses, payment cards (Luhn) and international phone numbers. The values
-found are the protected entities. A term (a run of letters) discloses an entity
+found are the protected entities. A term (a run of letters of any length, or
+several joined by single apostrophes or hyphens, such as O'Brien, which counts
+beside its parts) discloses an entity
 if seeing the term tells much about the entity's presence. From the corpus come
 
 * joint(t, e): texts that mention e and hold t, anywhere, and the number of
@@ -55,7 +57,8 @@ PATTERNS = {
 }
 OCTET = "^0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])$"
 LETTERS = r"\p{L}\p{M}"         # what terms are made of
-TERM_LETTERS = 3                # shortest term
+JOINS = "['’-]"                 # what stands between the parts of a joined term
+JOINED = rf"(?<![{LETTERS}])(?<![{LETTERS}]{JOINS})[{LETTERS}]++(?:{JOINS}[{LETTERS}]++)++"
 CONTEXT_WORDS = 6
 CONTEXT_CHARS = 240
 BROADCAST_BYTES = 16 << 20      # measured size up to which a table of terms is broadcast
@@ -129,15 +132,21 @@ def _digest(text_col: str) -> Column:
 
 
 def _words(text: Column) -> Column:
-    """Lower-case runs of letters, long enough to be terms."""
-    return F.filter(F.split(F.lower(text), f"[^{LETTERS}]+"), lambda w: F.length(w) >= TERM_LETTERS)
+    """Lower-case runs of letters."""
+    return F.filter(F.split(F.lower(text), f"[^{LETTERS}]+"), lambda w: w != "")
 
 
 def _outside(text_col: str) -> Column:
     """The distinct words of a text, without those in e-mail addresses (other base spans hold no letters)."""
     text = F.col(f"`{text_col}`")
     bare = F.when(text.contains("@"), F.regexp_replace(text, F.lit(PATTERNS["email"]), F.lit(" "))).otherwise(text)
-    return F.array_distinct(_words(bare))
+    return _terms(bare)
+
+
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text: runs of letters, and joined ones."""
+    joined = F.regexp_extract_all(F.lower(text), F.lit(JOINED), F.lit(0))
+    return F.array_distinct(F.concat(_words(text), joined))
 
 
 def mentions(found: DataFrame, text_col: str, spans: str) -> DataFrame:
@@ -210,20 +219,27 @@ def find_pii(docs: DataFrame, rule: Disclosure = Disclosure(), text_col: str = "
         return found.withColumn("spans", F.col("base"))
     text = F.col(f"`{text_col}`")
     keyed = found.withColumn("_key", F.md5(F.coalesce(text, F.lit(""))))
-    words = docs.select(F.md5(F.coalesce(text, F.lit(""))).alias("_key"), F.explode(F.array_distinct(_words(text))).alias("word"))
+    words = docs.select(F.md5(F.coalesce(text, F.lit(""))).alias("_key"), F.explode(_terms(text)).alias("word"))
     held = cut(words.join(_sized(terms), F.col("word") == F.col("term")).groupBy(F.col("_key").alias("_held"))
                .agg(F.collect_set(F.struct("term", "share")).alias("_terms")))
     both = keyed.join(_sized(held), F.col("_key") == F.col("_held"), "left")
 
     def occurrences(t):
-        edge = F.concat(F.lit(rf"(?iu)(?<![{LETTERS}])\Q"), t["term"], F.lit(rf"\E(?![{LETTERS}])"))
+        before, after = rf"(?iu)(?<![{LETTERS}])", rf"(?![{LETTERS}])"
+        joined = t["term"].rlike(JOINS)
+        edge = F.concat(F.lit(before), F.when(joined, rf"(?<![{LETTERS}]{JOINS})").otherwise(""), F.lit(r"\Q"), t["term"],
+                        F.lit(r"\E" + after), F.when(joined, rf"(?!{JOINS}[{LETTERS}])").otherwise(""))
         value = F.when(t["share"] >= rule.remove_share, "removed").otherwise("generalised")
         at = _places(F.regexp_extract_all(text, edge, F.lit(0)), F.split(text, edge, F.lit(-1)), KINDS.index("term"))
         return F.transform(at, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), value.alias("value")))
 
     more = F.when(F.col("_terms").isNotNull(), F.flatten(F.transform("_terms", occurrences))).otherwise(F.array().cast(_SPANS))
     free = F.filter(more, lambda s: ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
-    return both.withColumn("spans", F.array_sort(F.concat("base", free))).drop("_key", "_held", "_terms")
+    # a part of a joined term's occurrence is no span of its own
+    whole = F.filter("_free", lambda s: ~F.exists("_free", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])
+                                                 & (b["end"] - b["start"] > s["end"] - s["start"])))
+    spans = F.array_sort(F.concat("base", F.when(F.exists("_terms", lambda t: t["term"].rlike(JOINS)), whole).otherwise(F.col("_free"))))
+    return both.withColumn("_free", free).withColumn("spans", spans).drop("_key", "_held", "_terms", "_free")
 
 
 def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), text_col: str = "text") -> DataFrame:

@@ -136,6 +136,24 @@ def test_terms_of_whole_texts_match_brute_force(spark):
     assert got == want
 
 
+def test_short_and_joined_names(spark):
+    rng = random.Random(10)
+    some = lambda n: " ".join(rng.choice("bcdfgh") + rng.choice("aeiou") + rng.choice("klmnp") for _ in range(n))
+    names = ["Li", "O'Brien", "Jean-Luc", "王伟", "김"]
+    rows = [(10 * k + i, f"{some(10)} {name} {some(10)} mail to{k}@acme.org {some(10)}") for k, name in enumerate(names) for i in range(8)]
+    rows += [(90, f"Brien's, {some(9)} Jean-Lucs"), (91, f"{some(9)} xJean-Luc's and lix")]
+    rows += [(1000 + i, some(30)) for i in range(300)]
+    df = spark.createDataFrame(rows, DOC)
+    texts = dict(rows)
+    found = {r.doc_id: [texts[r.doc_id][x.start:x.end] for x in r.s]
+             for r in find_pii(df).select("doc_id", F.filter("spans", lambda s: s["rank"] == 4).alias("s")).collect()}
+    for k, name in enumerate(names):
+        assert all(name in found[10 * k + i] and not set(found[10 * k + i]) & {"Brien", "Jean", "Luc"} for i in range(8))
+    assert found[90] == ["Brien", "Jean"] and not any(n in found[91] for n in names)
+    rows = {r.doc_id: r.text for r in sanitise(df).collect()}
+    assert " <REMOVED> " in rows[0] and all(n not in rows[10 * k] for k, n in enumerate(names))
+
+
 def test_sanitise_leaves_the_rest(spark):
     df = spark.createDataFrame([(1, "mail a@b.co or +1 (988) 555-2485, 1.2.3.4.", "x"), (2, None, "y"), (3, "nothing here", "z")],
                                "doc_id long, text string, spans string")
