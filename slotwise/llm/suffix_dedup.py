@@ -232,7 +232,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
     wanted = cut(sent.groupBy(F.col("text_id").alias("wanted")).agg(
         F.collect_list(F.struct("g", "single", "start", "windows", "off", "blocks")).alias("runs")))
     source = texts.select(F.unhex(F.md5("text")).alias("text_id"), "text").where(F.octet_length("text") >= length)
-    fetched = source.join(small(wanted, "16 + 32 * size(runs)"), F.col("text_id") == F.col("wanted"))
+    fetched = each_once(source, wanted).join(small(wanted, "16 + 32 * size(runs)"), F.col("text_id") == F.col("wanted"))
     fetched = fetched.mapInArrow(_fetch(length), "g long, single boolean, blocks long, text_id binary, start int, off int, data binary")
     block = F.pmod(F.xxhash64("text_id", "start"), F.col("blocks"))
     tasks = (fetched.withColumn("block", block)
@@ -245,9 +245,20 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
     return found.mapInArrow(_merge_ranges, "text_id binary, ranges array<int>")
 
 
+def each_once(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The wanted texts, each in one row however many hold it. Only texts that
+    stand in several rows are aggregated, in the tasks first."""
+    ids = wanted.select("wanted")
+    copied = cut(source.select("text_id").join(small(ids, "16"), F.col("text_id") == F.col("wanted"), "left_semi")
+                 .groupBy(F.col("text_id").alias("copied")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("copied"))
+    marked = small(copied, "16")
+    alone = source.join(marked, F.col("text_id") == F.col("copied"), "left_anti")
+    first = source.join(marked, F.col("text_id") == F.col("copied"), "left_semi").groupBy("text_id").agg(F.first("text").alias("text"))
+    return alone.union(first)
+
+
 def _fetch(length: int):
-    """The bytes of the wanted runs. A text that stands in several rows sends
-    the same runs again, which changes nothing: such runs are not single."""
+    """The bytes of the wanted runs."""
     @bw.tidy
     def run(batches):
         for b in batches:

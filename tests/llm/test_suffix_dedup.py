@@ -81,3 +81,28 @@ def test_odd_rows(spark):
     long = run(df.where("length(text) > 10000"))[0]
     assert long[1] == 330_000 and long[2] == [0, 330_000]       # one phrase over and over
     assert run(df.limit(0)) == []
+
+
+def test_copies_are_sent_once(spark, monkeypatch):
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared, ends = word(300), [word(60) for _ in range(2)]
+    rows = [(i, shared + ends[0]) for i in range(200)] + [(300, ends[1] + shared), (301, word(400))]
+    df = spark.createDataFrame(rows, DOC).repartition(4)
+    sent, made = spark.sparkContext.accumulator(0), sd._sort_runs
+
+    def counted(length):
+        inner = made(length)
+
+        def run(batches):
+            def see():
+                for b in batches:
+                    sent.add(b.num_rows)
+                    yield b
+            return inner(see())
+        return run
+
+    monkeypatch.setattr(sd, "_sort_runs", counted)
+    got = run(df, length=40, gram=8)
+    assert got == brute(rows, 40)
+    assert 0 < sent.value < 200
