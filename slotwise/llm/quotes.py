@@ -2,10 +2,13 @@
 
 Lines that begin with ``>`` are quoted; their number of ``>`` is the quote level.
 Neighbouring lines of one level are a passage. Messages and passages are cut into
-units (the whole, its paragraphs, its lines), normalised (lower case, runs of
-anything but letters and digits become one space) and hashed. A quoted unit of
+units (the whole, its paragraphs, its lines, its sentences), normalised (lower case,
+runs of anything but letters and digits become one space) and hashed. A quoted unit of
 ``MIN_CHARS`` normalised characters or more links to the earliest earlier turn
-of the same conversation that says it without quoting. The turn with most linked
+of the same conversation that says it without quoting; a shorter passage links to one
+that says nothing else. A unit of ``RUN_WORDS`` words or more that is no unit there
+links to the earliest turn whose words hold it as a run, wherever lines break: its
+rarest ``RUN_WORDS`` words find the turns, which are then compared whole. The turn with most linked
 characters, at the lowest quote level that links, is the parent.
 
 Following parents gives each message's reply path, the turns from the first
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from slotwise.llm.graph import cut
 
 MIN_CHARS = 8
+RUN_WORDS = 4
 MARK = r"^[ \t]*((?:>[ \t]?)+)"
 #: A line that announces a quote, in the corpus' languages.
 ANNOUNCES = r"(?i)^\s*(on|le|am|el)\b.*\b(wrote|a écrit|schrieb|escribió)\b.*:\s*$"
@@ -81,9 +85,34 @@ def _normal(text: Column) -> Column:
 
 
 def units(text: Column) -> Column:
-    """Distinct normalised units of a text, long enough to link."""
-    parts = F.concat(F.array(text), F.split(text, r"\n\s*\n"), F.split(text, r"\n"))
-    return F.array_distinct(F.filter(F.transform(parts, _normal), lambda u: F.length(u) >= MIN_CHARS))
+    """Distinct normalised units of a text, long enough to link or the whole."""
+    parts = F.concat(F.array(text), F.split(text, r"\n\s*\n"), F.split(text, r"\n"), F.split(text, r"[.!?]+(?=\s|$)|[。！？]+"))
+    return F.array_distinct(F.filter(F.transform(parts, _normal), lambda u, i: (F.length(u) >= MIN_CHARS) | ((i == 0) & (u != ""))))
+
+
+def _runs(normal: Column) -> Column:
+    """The distinct runs of ``RUN_WORDS`` words of a normalised text."""
+    words = F.split(normal, " ")
+    at = F.sequence(F.lit(1), F.greatest(F.size(words) - RUN_WORDS + 1, F.lit(1)))
+    return F.when(F.size(words) >= RUN_WORDS, F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice(words, i, RUN_WORDS), " "))))
+
+
+def contained(rest: DataFrame, spoken: DataFrame) -> DataFrame:
+    """``rest`` (conv, turn, level, unit, hash, chars) with ``source``, the
+    earliest earlier turn that holds the unit's words as a run. ``spoken``:
+    conv, turn, normal."""
+    held = spoken.select(F.col("conv").alias("hc"), F.col("turn").alias("ht"), F.explode(_runs(F.col("normal"))).alias("run"))
+    held = held.select("hc", "ht", F.md5("run").alias("hr")).distinct()
+    often = held.groupBy(F.col("hc").alias("oc"), F.col("hr").alias("o")).agg(F.count(F.lit(1)).alias("n"))
+    asked = rest.withColumn("run", F.explode(_runs(F.col("unit")))).withColumn("run", F.md5("run"))
+    keys = ["conv", "turn", "level", "unit", "hash", "chars"]
+    rarest = (asked.join(often, (F.col("conv") == F.col("oc")) & (F.col("run") == F.col("o")))
+              .groupBy(*keys).agg(F.min_by("run", F.struct("n", "run")).alias("run")))
+    near = rarest.join(held, (F.col("conv") == F.col("hc")) & (F.col("run") == F.col("hr"))).where("ht < turn")
+    texts = spoken.select(F.col("conv").alias("sc"), F.col("turn").alias("st"), "normal")
+    whole = near.join(texts, (F.col("conv") == F.col("sc")) & (F.col("ht") == F.col("st"))).where(
+        F.contains(F.concat(F.lit(" "), "normal", F.lit(" ")), F.concat(F.lit(" "), "unit", F.lit(" "))))
+    return whole.groupBy(*keys).agg(F.min("ht").alias("source"))
 
 
 def parents(parsed: DataFrame) -> DataFrame:
@@ -92,12 +121,16 @@ def parents(parsed: DataFrame) -> DataFrame:
     quoting = parsed.where((F.size("passages") > 0) & F.col("conv").isNotNull() & F.col("turn").isNotNull())
     quoted = (quoting.select("conv", "turn", F.explode("passages").alias("p"))
               .select("conv", "turn", F.col("p.level").alias("level"), F.explode(units(F.col("p.text"))).alias("unit"))
-              .select("conv", "turn", "level", F.md5("unit").alias("hash"), F.length("unit").alias("chars")))
+              .select("conv", "turn", "level", "unit", F.md5("unit").alias("hash"), F.length("unit").alias("chars")))
     convs = quoting.select(F.col("conv").alias("c")).distinct()
-    said = (parsed.where("turn is not null").join(convs, F.col("conv") == F.col("c"), "left_semi")
-            .select("conv", "turn", F.explode(units(F.col("own"))).alias("unit"))
+    heard = parsed.where("turn is not null").join(convs, F.col("conv") == F.col("c"), "left_semi")
+    said = (heard.select("conv", "turn", F.explode(units(F.col("own"))).alias("unit"))
             .groupBy(F.col("conv").alias("sc"), F.md5("unit").alias("sh")).agg(F.min("turn").alias("source")))
-    links = quoted.join(said, (F.col("conv") == F.col("sc")) & (F.col("hash") == F.col("sh"))).where("source < turn")
+    found = cut(quoted.join(said, (F.col("conv") == F.col("sc")) & (F.col("hash") == F.col("sh")), "left"))
+    exact = found.where("source < turn").select("conv", "turn", "level", "hash", "chars", "source")
+    rest = found.where("source is null or source >= turn").select("conv", "turn", "level", "unit", "hash", "chars").distinct()
+    runs = contained(rest, heard.select("conv", "turn", _normal(F.col("own")).alias("normal")))
+    links = exact.union(runs.select(*exact.columns))
     votes = links.groupBy("conv", "turn", "source").agg(
         F.min("level").alias("level"), F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("n"))
     return votes.groupBy("conv", "turn").agg(

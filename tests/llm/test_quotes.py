@@ -42,6 +42,19 @@ def test_the_earliest_speaker_of_a_line_is_linked(spark):
     assert got[1, 5] == 0 and got[2, 1] is None
 
 
+def test_parts_of_lines_other_breaks_and_short_messages(spark):
+    said = "We met at noon. The bridge was closed by the police, so everyone walked along the river to the old mill. Then it rained."
+    rows = [(1, 0, "a", "Something about the old mill and the river"), (1, 1, "b", said), (1, 2, "c", "Yes."),
+            (1, 3, "d", "> Then it rained.\nreally"),
+            (1, 4, "e", "> by the police, so everyone\n> walked along the river to\n> the old\nwhich police"),
+            (1, 5, "f", "> Yes.\nwhy"),
+            (1, 6, "g", "> the police walked along the road\nno"),
+            (2, 0, "a", "好"), (2, 1, "b", "昨天下雨了。今天天气非常好我们去公园。明天再说"), (2, 2, "c", "> 今天天气非常好我们去公园\n去"), (2, 3, "d", "> 好\n对"),
+            (3, 0, "a", "Yes. I think so"), (3, 1, "b", "> Yes.\nwhy")]
+    got = {(r.conv_id, r.turn): r.parent_turn for r in link_quotes(spark.createDataFrame(rows, ROW)).collect()}
+    assert {k: v for k, v in got.items() if v is not None} == {(1, 3): 1, (1, 4): 1, (1, 5): 2, (2, 2): 1, (2, 3): 0}
+
+
 def test_odd_rows(spark):
     rows = [(1, 0, "user", None), (1, None, "user", "> Hello there friend."), (None, 1, "x", "> abc def ghi"), (1, 1, None, "> short"),
             (2, 0, "a", "some long line"), (2, 0, "a", "some long line"), (2, 1, "b", ">some long line"), (2, 1, "b", ">some long line"),
