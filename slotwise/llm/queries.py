@@ -131,6 +131,17 @@ def op10_quote_linking(spark, sf_dir):
     return chat.withColumn("reply_path", F.array_join(F.col("reply_path").cast("array<string>"), "/"))
 
 
+@query
+def op12_spelling_variants(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from slotwise.llm.spelling import count_words, runs, variants, without_one
+    run = F.col("run")
+    h = F.crc32(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), run).cast("binary"))
+    found = runs(table(spark, sf_dir, "documents")).withColumn("h", h)
+    cut = F.when(F.col("h") % 97 == 0, without_one(run, (F.col("h") % F.char_length(run)).cast("int"))).otherwise(run)
+    return variants(count_words(found.select(cut.alias("word"))))
+
+
 # ---- SQL ---------------------------------------------------------------------------------
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
