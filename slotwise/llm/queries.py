@@ -142,6 +142,21 @@ def op12_spelling_variants(spark, sf_dir):
     return variants(count_words(found.select(cut.alias("word"))))
 
 
+@query
+def op13_minhash_dedup(spark, sf_dir):
+    from slotwise.llm.minhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from slotwise.llm.hard_negatives import hard_negatives
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.select("vec_id", label.alias("label"), "embedding"))
+
+
 # ---- SQL ---------------------------------------------------------------------------------
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -153,11 +168,13 @@ def _words_sql(table_name: str, key: str, pattern: str) -> str:
     row_number() OVER () AS row_id FROM {table_name}"""
 
 
-ORACLE["op1_ngram_jaccard_join"] = f"""
+def _components_sql(n: int, columns: str) -> str:
+    """Components of the links between sets of word ``n``-grams."""
+    return f"""
 WITH RECURSIVE words AS ({_words_sql("documents", "doc_id", "[^\\x20\\x09-\\x0D]+")}),
 grams AS (
-  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS gram
-  FROM words, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS t(i) WHERE len(ws) > 0),
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + {n - 1}], ' ') AS gram
+  FROM words, unnest(range(1, greatest(len(ws) - {n - 1}, 1) + 1)) AS t(i) WHERE len(ws) > 0),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
 links AS (
   SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
@@ -165,11 +182,15 @@ links AS (
   GROUP BY a.doc_id, b.doc_id, s.n, t.n HAVING 100 * count(*) >= 85 * (s.n + t.n - count(*))),
 reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)
-SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, {columns}
 FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = w.doc_id
 """
 
+
+ORACLE["op1_ngram_jaccard_join"] = _components_sql(4, "component_id")
+ORACLE["op13_minhash_dedup"] = _components_sql(5, "component_id, w.doc_id = component_id AS kept")
+
 ORACLE["op8_decontamination"] = f"""
 WITH words AS ({_words_sql("documents", "doc_id", "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")}),
 item_words AS ({_words_sql("benchmark", "item_id", "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")}),
@@ -189,3 +210,25 @@ SELECT doc_id, len(ws) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) A
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
 FROM words LEFT JOIN hit_words h USING (row_id) LEFT JOIN hit_items t USING (row_id)
 """
+
+ORACLE["op11_hard_negatives"] = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(place AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM (SELECT p.*, n.other_id, n.score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS place
+      FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+       AND 100 * n.score BETWEEN 30 * positive_score AND 90 * positive_score) p
+WHERE place <= 10
+"""
