@@ -35,7 +35,7 @@ def test_sketch_is_a_function_of_the_set():
 
 
 def test_band_rows():
-    assert [mh.band_rows(p) for p in (95, 85, 30)] == [8, 4, 1]
+    assert [mh.band_rows(p) for p in (95, 85, 30)] == [5, 4, 1]
 
 
 @pytest.mark.parametrize("kw", [{}, {"pair_members": 3, "block_grams": 200}, {"pair_members": 0, "block_grams": 10**6},
