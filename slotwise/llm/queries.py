@@ -103,7 +103,8 @@ def op3_suffix_dedup(spark, sf_dir):
     cut = remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
-        (F.size("ranges") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+        (F.size("ranges") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        "n_passage_words")
 
 
 @query

@@ -21,6 +21,11 @@ the texts; equal ones have to meet.
    split into blocks, and every pair of blocks is one task.
 4. The ranges found are merged per text and cut out.
 
+Passages are found the same way on the texts' word codes: ``CODE_BYTES`` bytes of
+each word's hash. A run of more than ``passage_words`` words that stands anywhere
+else too is counted in ``n_passage_words``, whatever its length in bytes; such
+words are reported and not cut out.
+
 Null texts are empty; texts shorter than ``length`` keep all bytes. Repeated rows
 are copies of each other. Other columns are never read.
 """
@@ -42,7 +47,11 @@ LENGTH = 400
 GRAM = 64
 BLOCK_RUNS = 1024           # runs of a block; a task holds two blocks
 FLUSH_BYTES = 8 << 20       # run bytes that a task gathers before it sorts them
-BROADCAST_BYTES = 32 << 20  # size up to which a per-text table is broadcast
+BROADCAST_BYTES = 8 << 20   # counted bytes up to which a per-text table is broadcast
+ROW_BYTES = 96              # what a broadcast row takes beside its values
+PASSAGE_WORDS = 50          # passages are longer than this
+CODE_BYTES = 3
+CODE_GRAM = 8               # words of an anchor's gram
 
 
 def window_runs(c: bw.Chunk, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -210,7 +219,7 @@ def _sort_runs(length: int):
 
 def small(df: DataFrame, row_bytes: str) -> DataFrame:
     """``df`` marked for broadcast if its measured size is within the bound."""
-    size = df.agg(F.sum(F.expr(row_bytes))).first()[0] or 0
+    size = df.agg(F.sum(F.expr(row_bytes) + ROW_BYTES)).first()[0] or 0
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
@@ -286,15 +295,57 @@ def _merge_ranges(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=["text_id", "ranges"])
 
 
+def _codes(batches):
+    """Each text's word codes, one after the other."""
+    for b in batches:
+        texts = bw.blobs(b.column(0))
+        for lo, hi in bw.chunk_ranges(texts):
+            yield pa.RecordBatch.from_arrays([pa.array(word_codes(texts[lo:hi]), pa.binary())], names=["text"])
+
+
+def word_codes(texts: list[bytes]) -> list[bytes]:
+    c = bw.parse(texts, bw.SPACED, lower=False)
+    code = c.word.view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES]
+    return [code[c.first[k]:c.first[k + 1]].tobytes() for k in range(c.n)]
+
+
+def passage_counts(texts: DataFrame, passage_words: int = PASSAGE_WORDS, block_runs: int = BLOCK_RUNS) -> DataFrame:
+    """(codes_id, n_passage_words): per distinct sequence of word codes (md5) the
+    words inside passages of more than ``passage_words`` words that repeat."""
+    codes = small_batches(texts).mapInArrow(bw.tidy(_codes), "text binary")
+    gram = min(CODE_GRAM, passage_words // 2 + 1)
+    found = repeated_ranges(codes, CODE_BYTES * (passage_words + 1), CODE_BYTES * gram, block_runs)
+    # ranges come as start, end, ...; words that lie in them as a whole count
+    words = F.expr(f"""aggregate(transform(sequence(0, size(ranges) - 2, 2),
+        k -> (ranges[k + 1] div {CODE_BYTES}) - ((ranges[k] + {CODE_BYTES - 1}) div {CODE_BYTES})),
+        0L, (n, w) -> n + if(w > {passage_words}, w, 0L))""")
+    return found.where(F.size("ranges") > 0).select(F.col("text_id").alias("codes_id"), words.alias("n_passage_words"))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_runs: int = BLOCK_RUNS,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   passage_words: int = PASSAGE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``n_bytes``, ``ranges`` (removed byte ranges:
-    start, end, ...), ``kept`` (the remaining bytes)."""
+    start, end, ...), ``kept`` (the remaining bytes), ``n_passage_words`` (words
+    inside repeated passages of more than ``passage_words`` words)."""
     src = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     found = cut(repeated_ranges(src.select("text"), length, gram, block_runs)).withColumnRenamed("text_id", "found_id")
-    both = (src.withColumn("text_id", F.unhex(F.md5("text")))
+    passages = cut(passage_counts(src.select("text"), passage_words, block_runs))
+
+    @bw.tidy
+    def coded(batches):
+        for b in batches:
+            texts = bw.blobs(b.column(1))
+            for lo, hi in bw.chunk_ranges(texts):
+                ids = [hashlib.md5(x).digest() for x in word_codes(texts[lo:hi])]
+                yield pa.RecordBatch.from_arrays([*(x.slice(lo, hi - lo) for x in b.columns), pa.array(ids, pa.binary())],
+                                                 names=["id", "text", "own_codes"])
+
+    kind = src.schema[0].dataType.simpleString()
+    both = (src.mapInArrow(coded, f"id {kind}, text string, own_codes binary")
+            .withColumn("text_id", F.unhex(F.md5("text")))
             .join(small(found, "20 + 4 * size(ranges)"), F.col("text_id") == F.col("found_id"), "left")
-            .select("id", "text", "ranges"))
+            .join(small(passages, "24"), F.col("own_codes") == F.col("codes_id"), "left")
+            .select("id", "text", "ranges", F.coalesce("n_passage_words", F.lit(0)).alias("n_passage_words")))
 
     @bw.tidy
     def run(batches):
@@ -306,7 +357,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
                 kept.append(b"".join(t[a:z] for a, z in zip(places[0::2], places[1::2])))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(t) for t in texts], pa.int64()),
-                 pa.array([r or [] for r in ranges], pa.list_(pa.int32())), pa.array(kept, pa.binary())],
-                names=[id_col, "n_bytes", "ranges", "kept"])
+                 pa.array([r or [] for r in ranges], pa.list_(pa.int32())), pa.array(kept, pa.binary()), b.column(3)],
+                names=[id_col, "n_bytes", "ranges", "kept", "n_passage_words"])
 
-    return both.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, n_bytes long, ranges array<int>, kept binary")
+    return both.mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, ranges array<int>, kept binary, n_passage_words long")

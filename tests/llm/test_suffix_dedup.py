@@ -8,7 +8,7 @@ import pytest
 from slotwise.llm import suffix_dedup as sd
 from slotwise.llm.suffix_sort import common, deep_shallow
 from tests.conftest import SF_SMALL
-from tests.llm.helpers import DOC, documents, odd_rows
+from tests.llm.helpers import DOC, WORD, documents, odd_rows
 
 
 def brute(rows, length):
@@ -106,3 +106,35 @@ def test_copies_are_sent_once(spark, monkeypatch):
     got = run(df, length=40, gram=8)
     assert got == brute(rows, 40)
     assert 0 < sent.value < 200
+
+
+def brute_passages(rows, words):
+    """Words in runs of ``words`` + 1 or more that stand twice; runs that touch count together."""
+    split = [WORD.findall(t or "") for _, t in rows]
+    seen = Counter(tuple(w[k:k + words + 1]) for w in split for k in range(len(w) - words))
+    out = []
+    for (i, _), w in zip(rows, split):
+        hit = [False] * len(w)
+        for k in range(len(w) - words):
+            if seen[tuple(w[k:k + words + 1])] > 1:
+                hit[k:k + words + 1] = [True] * (words + 1)
+        out.append((i, sum(hit)))
+    return sorted(out, key=repr)
+
+
+def test_passages(spark):
+    rng = random.Random(4)
+    word = lambda: rng.choice("abcdefghij") * rng.randint(1, 4)
+    pool = [" ".join(word() for _ in range(n)) for n in (5, 6, 7, 12, 30)]
+    rows = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.3 else " ".join(word() for _ in range(rng.randint(0, 9)))
+                          for _ in range(rng.randint(0, 5)))) for i in range(60)] + [(70, None), (71, ""), (72, "a b " * 40)]
+    df = spark.createDataFrame(rows, DOC).repartition(3)
+    got = sd.remove_repeats(df, passage_words=5).select("doc_id", "n_passage_words").collect()
+    assert sorted(((r[0], r[1]) for r in got), key=repr) == brute_passages(rows, 5)
+
+
+def test_passages_of_the_corpus(spark):
+    df = documents(spark, SF_SMALL)
+    got = sd.remove_repeats(df).select("doc_id", "n_passage_words").collect()
+    want = brute_passages([(r.doc_id, r.text) for r in df.collect()], sd.PASSAGE_WORDS)
+    assert sorted((tuple(r) for r in got), key=repr) == want and any(n for _, n in want)
