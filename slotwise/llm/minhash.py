@@ -27,8 +27,9 @@ losing links:
    are counted and verified.
 4. Larger bands: their members form groups, a group is split into blocks of
    bounded size, and each pair of blocks is one task that looks for candidates by
-   the bands, compares whole sketches and sets, and passes over pairs that are in
-   one component already. Only links leave it.
+   the bands and by whole sketches (see ``agreement_floor``), decides them on the
+   sets, and passes over pairs that are in one component already. Only links leave
+   it.
 
 Null, empty and wordless texts have an empty set and link with nothing; texts
 with fewer than n words are one gram. Rows that repeat an id are one node of the
@@ -38,6 +39,8 @@ and have a null component. Extra columns are never read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,7 +53,8 @@ GRAM = 5
 PERCENT = 85
 BINS = 160
 SHARED = 2                  # bands that a pair must share to be a candidate
-ROUNDS = 2                  # rounds against centres
+ROUNDS = 1                  # rounds against centres
+MISS = 1e-10                # probability with which an estimate may fall below its floor
 PAIR_MEMBERS = 48           # members up to which a band's pairs become rows
 BLOCK_GRAMS = 1 << 19       # grams of a block; a task holds two blocks
 BROADCAST_IDS = 1 << 19     # documents up to which a list of ids is broadcast
@@ -61,16 +65,27 @@ _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 def band_rows(percent: int, bins: int = BINS) -> int:
     """The longest band (a divisor of ``bins``, 8 at most) with which a pair at
-    ``percent`` shares fewer than ``SHARED`` bands with probability 1e-10 at most."""
+    ``percent`` shares fewer than ``SHARED`` bands with probability ``MISS`` at most."""
     j = percent / 100
     for rows in range(8, 0, -1):
         if bins % rows == 0:
             bands, p = bins // rows, j ** rows
-            if (1 - p) ** bands + bands * p * (1 - p) ** (bands - 1) <= 1e-10:
+            if (1 - p) ** bands + bands * p * (1 - p) ** (bands - 1) <= MISS:
                 return rows
     return 1
 
 
+def agreement_floor(percent: int, bins: int = BINS) -> int:
+    """Equal coordinates that a pair at ``percent`` falls short of with
+    probability ``MISS`` at most, were the coordinates independent samples."""
+    j, total = percent / 100, 0.0
+    for equal in range(bins + 1):
+        total += math.comb(bins, equal) * j ** equal * (1 - j) ** (bins - equal)
+        if total > MISS:
+            return equal
+    return bins
+
+
 def shingles(c: bw.Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, gram hash): each text's distinct grams, sorted by both."""
     h, at = c.ngrams(n)
@@ -203,7 +218,7 @@ def still_mixed(lists: DataFrame, links: DataFrame) -> DataFrame:
     members are one component."""
     comp = components(links)
     now = lists.select("key", "id", "size").join(comp, F.col("id") == F.col("node"), "left")
-    now = cut(now.select("key", "id", "size", F.coalesce("component", "id").alias("comp")))
+    now = now.select("key", "id", "size", F.coalesce("component", "id").alias("comp"))
     mixed = (now.groupBy(F.col("key").alias("at")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members"))
              .where("lo < hi").select("at", "members"))
     return cut(now.join(mixed, F.col("key") == F.col("at")).select("key", "id", "size", "comp", "members"))
@@ -262,6 +277,7 @@ def search(sets, comp, block, inside: bool, percent: int, bins: int = BINS, rows
             x = parent[x]
         return x
 
+    floor = agreement_floor(percent, bins)
     a, b = [], []
     for q in range(len(sets)):
         other = np.concatenate([owner[head[g]:head[g + 1]] for g in band[q]])
@@ -270,7 +286,9 @@ def search(sets, comp, block, inside: bool, percent: int, bins: int = BINS, rows
         ok &= np.arange(len(sets)) > q if inside else block != block[q]
         ok &= 100 * np.minimum(size, size[q]) >= percent * np.maximum(size, size[q])
         found = np.flatnonzero(ok)
-        for d in found[np.argsort(-shared[found], kind="stable")]:
+        equal = (s[found] == s[q]).sum(axis=1)
+        found, equal = found[equal >= floor], equal[equal >= floor]
+        for d in found[np.argsort(-equal, kind="stable")]:
             x, y = root(comp[q]), root(comp[d])
             if x != y and linked(sets[q], sets[d], percent):
                 parent[x] = y
