@@ -212,7 +212,19 @@ def _sized(df: DataFrame) -> DataFrame:
 def find_pii(docs: DataFrame, rule: Disclosure = Disclosure(), text_col: str = "text") -> DataFrame:
     """``docs`` with ``base`` (base spans) and ``spans`` (with the terms'),
     arrays of (start, rank in ``KINDS``, end, value); a term's value is
-    ``removed`` or ``generalised``."""
+    ``removed`` or ``generalised``. Columns of ``docs`` with these two names are
+    replaced; all other names are free."""
+    found = _find(_packed(docs, text_col), rule, "text")
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("base", "spans")]
+    return found.select(*kept, "base", "spans")
+
+
+def _packed(docs: DataFrame, text_col: str) -> DataFrame:
+    """(row, text): all columns in one struct, so that no name can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+
+
+def _find(docs: DataFrame, rule: Disclosure, text_col: str) -> DataFrame:
     found = base_spans(docs, text_col, "base")
     terms = disclosing_terms(found, text_col, "base", rule)
     if terms is None:
@@ -243,9 +255,10 @@ def find_pii(docs: DataFrame, rule: Disclosure = Disclosure(), text_col: str = "
 
 
 def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), text_col: str = "text") -> DataFrame:
-    """``docs`` with the spans replaced in its text; the same columns."""
-    found = find_pii(docs, rule, text_col)
-    text = F.col(f"`{text_col}`")
+    """``docs`` with the spans replaced in its text; the same columns, whatever
+    their names."""
+    found = _find(_packed(docs, text_col), rule, "text")
+    text = F.col("text")
 
     def mark(s):
         out = F.when(s["value"] == "removed", "<REMOVED>").otherwise("<NAME>")
@@ -260,5 +273,6 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), text_col: str = "
 
     clean = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    kept = [F.when(F.size("spans") > 0, clean).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    kept = [F.when(F.size("spans") > 0, clean).otherwise(text).alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+            for c in docs.columns]
     return found.select(*kept)

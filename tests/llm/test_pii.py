@@ -169,6 +169,18 @@ def test_odd_rows(spark):
     assert sanitise(df.limit(0)).count() == 0
 
 
+def test_any_column_names(spark):
+    names = ["base", "spans", "row", "_key", "_held", "_terms", "_free", "doc", "term", "word", "share", "_base_email", "_base_ip", "t"]
+    rows = letters(random.Random(3))
+    plain = spark.createDataFrame(list(enumerate(rows)), DOC)
+    wide = spark.createDataFrame([(*r, *names) for r in enumerate(rows)], f"{DOC}, " + ", ".join(f"{c} string" for c in names))
+    out = sanitise(wide)
+    assert out.columns == wide.columns and out.select(*names).distinct().collect() == [tuple(names)]
+    assert sorted(out.select("doc_id", "text").collect()) == sorted(sanitise(plain).collect())
+    found = find_pii(wide)
+    assert found.columns == [c for c in wide.columns if c not in ("base", "spans")] + ["base", "spans"]
+
+
 def test_no_python_in_the_plan(spark):
     plan = find_pii(corpus(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
