@@ -322,15 +322,48 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, n: int = GRAM, i
 
 def one_per_group(docs: DataFrame, percent: int = PERCENT, n: int = GRAM, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """The rows of each component's smallest id, with all columns. Of rows that
-    repeat an id one stays; rows with a null id all stay."""
-    found = jaccard_components(docs, percent, n, id_col, text_col)
-    ids = (found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
-           .agg(F.count(F.lit(1)).alias("_rows"), F.min("component_id").alias("_component")))
-    ids = cut(ids.where("_rows > 1 or _component <> _id"))
-    rest = docs.join(_sized(ids.select("_id")), F.col(f"`{id_col}`") == F.col("_id"), "left_anti")
-    repeated = ids.where("_rows > 1 and _component = _id").select("_id")
-    return rest.unionByName(docs.join(_sized(repeated), F.col(f"`{id_col}`") == F.col("_id"), "left_semi").dropDuplicates([id_col]))
+    """One row of each group of near duplicates, with all columns: the smallest
+    id's (then the smallest text digest's). Texts are told apart, not ids: rows
+    that repeat an id with different texts are judged text by text, and only
+    equal rows (id and text) or near duplicates collapse. Rows with a null id all
+    stay. Columns may have any names."""
+    fresh = unused(docs.columns)
+    node, digest = fresh("node"), fresh("digest")
+    keyed = docs.withColumn(digest, F.coalesce(F.md5(F.col(f"`{text_col}`")), F.lit("")))
+    ids = keyed.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(digest).alias("digest")).where("id is not null")
+    twice = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("twice"))
+    least = ids.agg(F.min("id")).first()[0] or 0
+    # texts under a repeated id get numbers of their own, below all ids
+    own = cut(ids.join(_sized(cut(twice)), F.col("id") == F.col("twice"), "left_semi").distinct()
+              .select(F.col("id").alias("own_id"), F.col("digest").alias("own_digest"),
+                      (F.lit(least - 1) - F.monotonically_increasing_id()).alias("own_node")))
+    of_id, of_digest, of_node, off = (fresh(x) for x in ("of_id", "of_digest", "of_node", "off"))
+    marked = (keyed.join(_sized(own.toDF(of_id, of_digest, of_node)),
+                         (F.col(f"`{id_col}`").cast("long") == F.col(of_id)) & (F.col(digest) == F.col(of_digest)), "left")
+              .withColumn(node, F.coalesce(of_node, F.col(f"`{id_col}`").cast("long")))
+              .select(*[F.col(f"`{c}`") for c in docs.columns], node, F.col(of_node).isNotNull().alias(digest)))
+    found = jaccard_components(marked.select(F.col(node).alias("node"), F.col(f"`{text_col}`").alias("text")), percent, n, "node", "text")
+    found = cut(found.where("node is not null").select("node", "component_id").distinct())
+    groups = found.groupBy(F.col("component_id").alias("group")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
+    member = cut(found.join(groups, F.col("component_id") == F.col("group")).join(own, F.col("node") == F.col("own_node"), "left")
+                 .select("node", "group", F.struct(F.coalesce("own_id", "node").alias("id"), F.coalesce("own_digest", F.lit("")).alias("d")).alias("rank")))
+    first = member.groupBy(F.col("group").alias("of")).agg(F.min_by("node", "rank").alias("first"))
+    gone = cut(member.join(first, F.col("group") == F.col("of")).where("node <> first").select(F.col("node").alias(off)))
+    rest = marked.join(_sized(gone), F.col(node) == F.col(off), "left_anti")
+    once = rest.where(F.col(digest)).dropDuplicates([node])
+    return rest.where(~F.col(digest)).unionByName(once).drop(node, digest)
+
+
+def unused(columns):
+    """A maker of column names that are not among ``columns``."""
+    taken = {c.lower() for c in columns}
+
+    def fresh(name: str) -> str:
+        while name in taken:
+            name = "_" + name
+        taken.add(name)
+        return name
+    return fresh
 
 
 def _sized(ids: DataFrame) -> DataFrame:

@@ -82,7 +82,19 @@ def test_several_texts_of_one_id(spark):
     rows = [(5, a), (5, b), (7, a), (3, b), (9, "other words of its own here")]
     df = spark.createDataFrame(rows, DOC)
     assert run(df) == brute(rows)
-    assert sorted(r.doc_id for r in nj.one_per_group(df).collect()) == [3, 9]
+    assert sorted(r.doc_id for r in nj.one_per_group(df).collect()) == [3, 5, 9]        # (5, a) and (3, b) stand for their groups
+
+
+def test_texts_under_one_id_are_kept_apart(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (3, None), (3, ""), (None, a), (None, a), (-7, c + " tail")]
+    names = ["_id", "_rows", "_component", "node", "digest", "own_id", "own_node", "gone", "group", "first", "rank"]
+    df = spark.createDataFrame([(*r, *range(len(names))) for r in rows], f"{DOC}, " + ", ".join(f"{x} int" for x in names))
+    out = nj.one_per_group(df)
+    assert out.columns == df.columns
+    assert all(tuple(r)[2:] == tuple(range(len(names))) for r in out.collect())
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(
+        [(1, a), (2, b), (-7, c + " tail"), (3, None), (3, ""), (None, a), (None, a)], key=repr)
 
 
 def test_search_between_blocks():
