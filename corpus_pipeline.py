@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.session import scratch_path
+from slotwise.session import remove_path, scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +24,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of each group of near duplicates (word 5-grams,
-    similarity 0.8 or more) the document with the smallest id stays. Of rows with
-    one doc_id, one stays; rows with a null doc_id all stay."""
+    similarity 0.8 or more) the document with the smallest id stays. Rows that
+    repeat a doc_id with another text are judged by their own text; rows with a
+    null doc_id all stay."""
     from slotwise.llm.ngram_join import one_per_group
     return one_per_group(docs, percent=80, n=5)
 
@@ -69,10 +70,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage over the whole ``documents`` table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The result of the last stage over the whole ``documents`` table. A stage's
+    files go when its successor's are written; the last stage's stay with the
+    result."""
+    docs, held = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if held:
+            remove_path(spark, held)
+        held = path
     return docs
