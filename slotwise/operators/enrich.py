@@ -93,7 +93,8 @@ def enrich(readings: DataFrame, accounts: DataFrame, plans: DataFrame, assignmen
            calendar_match: str = "range", dayparts_unique: bool = False,
            wrap_midnight: bool = False, normalise_times: bool = False, skew: str = "aqe",
            rows_per_split: int = ROWS_PER_SPLIT, small: frozenset[str] = frozenset(),
-           window: tuple[str, str] | None = None, keep_account: bool = False) -> DataFrame:
+           window: tuple[str, str] | None = None, keep_account: bool = False, layout=None,
+           ranges: str = "residual") -> DataFrame:
     """Join normalised readings with clean dimensions (see :mod:`dimensions`).
 
     ``calendar_match="range"`` reproduces the reference: every calendar day
@@ -116,7 +117,17 @@ def enrich(readings: DataFrame, accounts: DataFrame, plans: DataFrame, assignmen
     day in their own types; without them on their text forms. ``keep_account``
     leaves the account id in the result: the outputs group by it beside its text
     form, so they aggregate inside the join's partitions.
+
+    ``layout`` (an :class:`~slotwise.operators.layout.AccountLayout` of these
+    readings and account-sized dimensions) takes J1 and J3 from the bucketed
+    tables, without a shuffle of the fact; ``readings``, ``accounts``, ``plans``
+    and ``assignments`` are not read then. ``ranges="ordered"`` joins assignment
+    ranges by ordering (:func:`~slotwise.operators.interval_join.interval_join`):
+    for accounts with many assignments, where the residual form would make every
+    pair of an account's readings and assignments.
     """
+    if ranges not in ("residual", "ordered"):
+        raise ValueError("ranges must be 'residual' or 'ordered'")
     if calendar_match not in ("range", "day"):
         raise ValueError("calendar_match must be 'range' or 'day'")
     r = readings if "_day" in readings.columns else readings.withColumn("_day", F.to_date("pfd"))
@@ -127,16 +138,23 @@ def enrich(readings: DataFrame, accounts: DataFrame, plans: DataFrame, assignmen
     dp = unique_dayparts(dp) if dayparts_unique else dp.withColumn("_open", F.lit(False))
 
     # J1 + J3: fact x account frame (single shuffle join of the fact).
-    acct = account_frame(accounts, plans, assignments, "plans" in small)
-    key = "_account" if native else "sa"
-    if not native:
-        acct = acct.withColumn("_acct", F.col("_acct").cast("string"))
-    if skew == "split":
-        j = salted_join(r, acct, key, "_acct",
-                        lambda b, s: (b._day >= s.assign_start) & (b._day < s.assign_end),
-                        rows_per_split=rows_per_split)
+    if layout is not None:
+        j = layout.joined(dayparts.sparkSession)
+        native = True
     else:
-        j = r.join(acct, (r[key] == acct._acct) & (r._day >= acct.assign_start) & (r._day < acct.assign_end))
+        acct = account_frame(accounts, plans, assignments, "plans" in small)
+        key = "_account" if native else "sa"
+        if not native:
+            acct = acct.withColumn("_acct", F.col("_acct").cast("string"))
+        if ranges == "ordered":
+            from slotwise.operators.interval_join import interval_join
+            j = interval_join(r, acct, [(key, "_acct")], "_day", "assign_start", "assign_end", rows_per_split=rows_per_split)
+        elif skew == "split":
+            j = salted_join(r, acct, key, "_acct",
+                            lambda b, s: (b._day >= s.assign_start) & (b._day < s.assign_end),
+                            rows_per_split=rows_per_split)
+        else:
+            j = r.join(acct, (r[key] == acct._acct) & (r._day >= acct.assign_start) & (r._day < acct.assign_end))
 
     # J4 + J5: fact x season days, equi on use type and day.
     sd = season_days(seasons, calendar, calendar_match, window, "calendar" in small)

@@ -1,14 +1,15 @@
-"""Column profiling (A11-A18, F10, F11, P21): two scans for a whole table.
+"""Column profiling.
 
 The reference runs six actions per column over Python RDDs. Here one scan
 aggregates rows, blanks, NULLs and lengths of all columns in the tasks, with
-nothing but one row per task to merge. A second scan counts distinct values
-exactly: every cell becomes (column index, text or digest of the text) and is
-grouped with partial aggregation, so a hot value costs one row per map task and a
-long text 32 bytes. ``approx=True`` replaces the second scan with HyperLogLog++
-sketches inside the first.
-
-Values compare by their text form in both modes (-0.0 as 0.0 in the exact one).
+nothing but one row per task to merge. Distinct values are counted exactly by one
+narrow scan per value type: cells become (column index, value in its own type) and
+are grouped with partial aggregation, so a hot value costs one row per map task, a
+number its eight bytes and a long text its digest. ``approx=True`` replaces these
+scans with HyperLogLog++ sketches inside the first.
+
+Values that print alike are one value (-0.0 as 0.0 in the exact mode).
+:mod:`slotwise.operators.profile_state` keeps a profile per day and merges days.
 """
 
 from __future__ import annotations
@@ -67,24 +68,35 @@ def _value_counts(df: DataFrame, cols) -> DataFrame:
     return out
 
 
-#: Types whose text can be long; their cells are grouped by digest.
-_LONG = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
-
-
-def _identity(df: DataFrame, c: str):
-    """What a cell's text is told apart by: the text, or its SHA-256 where it
-    can be long."""
-    col = F.col(f"`{c}`")
-    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-        return F.when(col == 0, F.lit("0.0")).otherwise(col.cast("string"))     # -0.0 equals 0.0
-    return F.sha2(col.cast("string"), 256) if isinstance(df.schema[c].dataType, _LONG) else col.cast("string")
+#: Text from this length on is grouped by its SHA-256, whose 64 hexadecimal
+#: digits are no shorter text.
+DIGEST_FROM = 64
 
 
 def _distinct_counts(df: DataFrame, cols) -> DataFrame:
-    """(ci, distinct_count): exact, NULL as one value, from one scan."""
-    cells = F.array(*[F.struct(F.lit(i).alias("ci"), _identity(df, c).alias("v")) for i, c in enumerate(cols)])
-    return (df.select(F.inline(cells)).groupBy("ci", "v").agg(F.lit(1).alias("one"))
-            .groupBy("ci").agg(F.count(F.lit(1)).alias("distinct_count")))
+    """(ci, distinct_count): exact, NULL as one value. One narrow scan per value
+    type, each grouping values in their own type (Spark's grouping takes -0.0 as
+    0.0 and NaN as one value) with partial aggregation; of text, long values are
+    grouped by digest. Types that print alike, such as nested ones, are grouped
+    by the digest of their text."""
+    parts = []
+    for key, members in _typed_groups(df, cols).items():
+        nested = isinstance(df.schema[members[0][1]].dataType, (T.BinaryType, T.ArrayType, T.StructType, T.MapType))
+
+        def identity(c):
+            col = F.col(f"`{c}`")
+            if key != "string" and not nested:
+                return col
+            text = col.cast("string")
+            return F.when(F.char_length(text) < DIGEST_FROM, text).otherwise(F.sha2(text, 256))
+
+        cells = F.array(*[F.struct(F.lit(i).alias("ci"), identity(c).alias("v")) for i, c in members])
+        parts.append(df.select(F.inline(cells)).groupBy("ci", "v").agg(F.lit(1).alias("one"))
+                     .groupBy("ci").agg(F.count(F.lit(1)).alias("distinct_count")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def column_profile(df: DataFrame, db: str = "", table: str = "", columns=None,

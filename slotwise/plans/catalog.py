@@ -142,6 +142,36 @@ def enrich_split_hot_accounts(spark, base):
     return _enriched(spark, base, extra={"skew": "split", "rows_per_split": 10})
 
 
+@query("enrich_bucketed")
+def enrich_bucketed(spark, base):
+    """The account join over bucketed tables; accounts above 20 readings are split."""
+    import uuid
+    from slotwise.plans.interval_job import account_layout
+    from slotwise.session import scratch_path
+    layout = account_layout(fixture_inputs(spark, base), _params(), f"layout_{uuid.uuid4().hex[:12]}",
+                            scratch_path(spark, "account-layout"), buckets=16, rows_per_split=20)
+    return _enriched(spark, base, extra={"layout": layout})
+
+
+@query("enrich_ordered_ranges")
+def enrich_ordered_ranges(spark, base):
+    return _enriched(spark, base, extra={"ranges": "ordered", "rows_per_split": 20})
+
+
+@query("orders_in_periods")
+def orders_in_periods(spark, base):
+    """Interval join by ordering over ranges that overlap: every order with the
+    customer's order periods (120 days from an order) that hold its date."""
+    from slotwise.operators.interval_join import interval_join
+    from slotwise.sources.tables import read_table
+    orders = read_table(spark, "orders", base).select(
+        "o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"))
+    periods = orders.select(F.col("o_custkey").alias("cust"), F.col("o_orderkey").alias("period_key"),
+                            F.col("o_orderdate").alias("opens"), F.date_add("o_orderdate", 120).alias("closes"))
+    return interval_join(orders, periods, [("o_custkey", "cust")], "o_orderdate", "opens", "closes",
+                         how="left").select("o_orderkey", "o_orderdate", "period_key", "closes")
+
+
 @query("slot_list")
 def slot_list(spark, base):
     return out.distinct_values(_enriched(spark, base), "qtr_intr")
@@ -239,6 +269,20 @@ def column_profile_lineitem(spark, base):
     return _profile(spark, base, "lineitem")
 
 
+@query("profile_merged_months")
+def profile_merged_months(spark, base):
+    """The events' profile merged from monthly states: exact measures, and the
+    distinct counts of the columns whose values the states hold exactly."""
+    from slotwise.operators.profile_state import merged_profile, write_states
+    from slotwise.session import scratch_path
+    from slotwise.sources.tables import read_table
+    events = read_table(spark, "events", base)
+    path = scratch_path(spark, "profile-states")
+    write_states(events.withColumn("month", F.date_format("ts", "yyyy-MM")), path, "month", exact=["event_id", "user_id"])
+    got = merged_profile(spark, path, db="testdata", table="events")
+    return got.withColumn("distinct_count", F.when(F.col("exact"), F.col("distinct_count")))
+
+
 @query("value_frequency")
 def value_frequency_event_type(spark, base):
     from slotwise.operators.profile import value_frequency

@@ -97,6 +97,15 @@ def enriched_readings(inp: IntervalInputs, p: IntervalParams, small: frozenset[s
         **{"small": small, "window": (p.start, p.end), "keep_account": keep_account, **p.extra})
 
 
+def account_layout(inp: IntervalInputs, p: IntervalParams, name: str, path: str, **kw):
+    """The run's readings and account frame as bucketed tables, for
+    ``extra={"layout": ...}`` of this and later runs over the same readings."""
+    from slotwise.operators.layout import write_account_layout
+    d = clean_dimensions(inp, p)
+    readings = normalise_readings(inp.readings, p.start, p.end, p.interval, typed=p.typed, lenient=p.lenient, keep_keys=True)
+    return write_account_layout(readings, d["accounts"], d["plans"], d["assignments"], name, path, **kw)
+
+
 def measured_readings(inp: IntervalInputs, p: IntervalParams) -> DataFrame:
     """:func:`enriched_readings` for a run: the four small dimensions are
     measured first (one job), and those within the bounds are broadcast."""

@@ -157,6 +157,11 @@ ORACLE["daypart_asof_late"] = _daypart_sql("2024-01-15")
 _ENRICHED_COLS = READING_COLS + ", si, CAST(cal_date AS VARCHAR) AS cal_date, pi"
 ORACLE["enrich_range_calendar"] = ENRICHED + f"SELECT {_ENRICHED_COLS} FROM enriched"
 ORACLE["enrich_split_hot_accounts"] = ENRICHED + f"SELECT {_ENRICHED_COLS} FROM enriched"
+ORACLE["enrich_bucketed"] = ORACLE["enrich_ordered_ranges"] = ORACLE["enrich_range_calendar"]
+ORACLE["orders_in_periods"] = """SELECT a.o_orderkey, CAST(CAST(a.o_orderdate AS DATE) AS VARCHAR) AS o_orderdate,
+  b.o_orderkey AS period_key, CAST(CAST(b.o_orderdate AS DATE) + 120 AS VARCHAR) AS closes
+FROM orders a LEFT JOIN orders b ON a.o_custkey = b.o_custkey AND CAST(a.o_orderdate AS DATE) >= CAST(b.o_orderdate AS DATE)
+  AND CAST(a.o_orderdate AS DATE) < CAST(b.o_orderdate AS DATE) + 120"""
 ORACLE["enrich_day_calendar"] = ENRICHED_DAY + f"SELECT {_ENRICHED_COLS} FROM enriched"
 ORACLE["slot_list"] = ENRICHED + "SELECT DISTINCT qtr_intr FROM enriched WHERE qtr_intr IS NOT NULL"
 ORACLE["hour_list"] = ENRICHED + "SELECT DISTINCT hr_intr FROM enriched WHERE hr_intr IS NOT NULL"
@@ -243,6 +248,11 @@ ORACLE["column_profile_documents"] = _profile_sql("documents")
 ORACLE["column_profile_lineitem"] = _profile_sql("lineitem")
 ORACLE["report_round_trip"] = _profile_sql("customer", report=True)
 
+ORACLE["profile_merged_months"] = f"""SELECT db, table_name, column_name,
+  CASE WHEN exact THEN is_distinct END AS is_distinct, has_blanks, has_nulls, max_length, min_length, row_count,
+  CASE WHEN exact THEN distinct_count END AS distinct_count, exact
+FROM (SELECT *, column_name IN ('event_id', 'user_id') AS exact FROM ({_profile_sql("events")}))"""
+
 ORACLE["value_frequency"] = """SELECT event_type, count(event_type) AS cnt FROM events GROUP BY event_type
 ORDER BY cnt DESC, event_type ASC NULLS FIRST LIMIT 10"""
 ORACLE["value_frequency_top"] = """SELECT user_id, count(user_id) AS cnt FROM events GROUP BY user_id

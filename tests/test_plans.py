@@ -75,14 +75,17 @@ def test_one_shuffle_of_the_fact_without_automatic_broadcasts(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_profile_shuffles_digests_only(spark):
-    from slotwise.operators.profile import column_profile
+def test_profile_groups_values_in_their_own_types(spark):
+    from slotwise.operators.profile import _distinct_counts
     from slotwise.sources.tables import read_table
-    df = column_profile(read_table(spark, "documents", SF_SMALL))
-    p = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "sha2(" in p
-    explode = [x for x in p.splitlines() if "Generate inline" in x]
-    assert len(explode) == 2                                                # one for cells, one for the column rows
+    for table in ("documents", "lineitem", "events"):
+        df = read_table(spark, table, SF_SMALL)
+        p = _distinct_counts(df, df.columns)._jdf.queryExecution().optimizedPlan().toString()
+        numbers = [f.name for f in df.schema.fields if f.dataType.simpleString() != "string"]
+        assert not [c for c in numbers if f"cast({c}#" in p]
+        assert ("sha2(" in p) == any(f.dataType.simpleString() == "string" for f in df.schema.fields)
+        kinds = {f.dataType.simpleString() for f in df.schema.fields}
+        assert p.count("Generate inline") == len(kinds)                     # a narrow scan per type
 
 
 def test_pivot_plans(spark):
