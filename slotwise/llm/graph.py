@@ -3,7 +3,9 @@ table as DataFrame joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.session import shared_dir
@@ -18,6 +20,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Between two passes: shuffle and checkpoint files of frames that are no
+    longer used go when the driver collects its garbage, which a driver with little
+    to do puts off until disks are full."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, with Arrow batches of ``BATCH_ROWS`` rows in its session unless
     that sets a size itself: texts are long, and Spark's default of 10,000 rows

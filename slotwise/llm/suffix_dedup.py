@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm import bytewords as bw
-from slotwise.llm.graph import cut, small_batches
+from slotwise.llm.graph import cut, release, small_batches
 from slotwise.llm.suffix_sort import deep_shallow
 
 LENGTH = 400
@@ -329,7 +329,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     inside repeated passages of more than ``passage_words`` words)."""
     src = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     found = cut(repeated_ranges(src.select("text"), length, gram, block_runs)).withColumnRenamed("text_id", "found_id")
+    release(docs.sparkSession)
     passages = cut(passage_counts(src.select("text"), passage_words, block_runs))
+    release(docs.sparkSession)
 
     @bw.tidy
     def coded(batches):
