@@ -214,6 +214,30 @@ def daily_sum(enriched: DataFrame, as_string: bool = True, lenient: bool = False
     return _tag(out.drop("_account"), "daily")
 
 
+def hour_partials(enriched: DataFrame, lenient: bool = False) -> DataFrame:
+    """Exact sums per account, point, unit, day, hour and interval: one aggregation
+    of the readings from which the sums of every coarser grain follow. Numbers that
+    are not decimals are summed as ``decimal(38,4)`` of their four-digit rounding."""
+    v = _number(enriched, lenient)
+    if not isinstance(enriched.select(v.alias("v")).schema[0].dataType, T.DecimalType):
+        v = F.round(v.cast("decimal(38,6)"), 4).cast("decimal(38,4)")
+    return _grouped(enriched, ("sa", "sp", "uom", "rd", "hr_intr", "im")).agg(F.sum(v).alias("_sum")).drop("_account")
+
+
+def sums_from(partials: DataFrame, grain: str, as_string: bool = True) -> DataFrame:
+    """A3 ("hour"), A6 ("day") or sums per month and point ("month") from
+    :func:`hour_partials`, by regrouping them: the readings are not read again."""
+    text = lambda c: F.round(c, 4).cast("string" if as_string else "double")
+    if grain == "hour":
+        return partials.select("sa", "sp", "uom", "rd", "hr_intr", "im", text(F.col("_sum")).alias("hs"))
+    if grain == "day":
+        return _tag(partials.groupBy(*DAILY_KEYS).agg(text(F.sum("_sum")).alias("ds")), "daily")
+    if grain == "month":
+        month = F.substring("rd", 1, 6).alias("month")
+        return partials.groupBy("sa", "sp", "im", "uom", month).agg(text(F.sum("_sum")).alias("ms"))
+    raise ValueError("grain must be 'hour', 'day' or 'month'")
+
+
 def daily_demand(enriched: DataFrame, as_string: bool = True, unit: str = "kd", lenient: bool = False) -> DataFrame:
     """A7 + F8 + P17: peak demand of a day = max(value) x demand factor over
     the rows of unit ``unit``, with the day's start and end texts."""

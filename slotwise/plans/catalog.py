@@ -557,6 +557,104 @@ def interval_job_all_records(spark, base):
                        F.when(text, F.col("cell")).alias("txt"))
 
 
+@query("sums_by_grain")
+def sums_by_grain(spark, base):
+    """Hour, day and month sums from one aggregation of the readings."""
+    from slotwise.session import scratch_path
+    path = scratch_path(spark, "hour-partials")
+    out.hour_partials(_all_days(spark, base)).write.parquet(path)
+    partials = spark.read.parquet(path)
+    hour = out.sums_from(partials, "hour", as_string=False).select("sa", "sp", "im", "uom", F.concat("rd", "hr_intr").alias("period"), F.col("hs").alias("total"))
+    day = out.sums_from(partials, "day", as_string=False).select("sa", "sp", "im", "uom", F.col("rd").alias("period"), F.col("ds").alias("total"))
+    month = out.sums_from(partials, "month", as_string=False).select("sa", "sp", "im", "uom", F.col("month").alias("period"), F.col("ms").alias("total"))
+    return hour.unionByName(day).unionByName(month)
+
+
+@query("readings_quarantine")
+def readings_quarantine(spark, base):
+    """Readings with malformed values, split: the good ones' normalised sum per
+    unit, and the malformed ones' reasons and raw texts."""
+    from slotwise.operators.quarantine import quarantine
+    q = quarantine(fixtures.readings_src(spark, base, malformed=True))
+    good = normalise_readings(q.good, START, END, fixtures.INTERVAL, typed=True)
+    sums = good.groupBy("uom").agg(F.sum("rm").cast("double").alias("total"), F.count(F.lit(1)).alias("rows"))
+    bad = q.bad.select(F.inline("malformed")).groupBy("reason", "raw").agg(F.count(F.lit(1)).alias("rows"))
+    return sums.select(F.lit("good").alias("side"), F.col("uom").alias("name"), F.lit(None).cast("string").alias("raw"), "total", "rows").unionByName(
+        bad.select(F.lit("malformed").alias("side"), F.col("reason").alias("name"), "raw", F.lit(None).cast("double").alias("total"), "rows"))
+
+
+@query("daily_sum_in_order")
+def daily_sum_in_order(spark, base):
+    """The daily sums written in global order (O2): reading the files by name
+    gives them by account, point, day and unit."""
+    from slotwise.session import scratch_path
+    from slotwise.sinks.files import read_in_order, write_ordered
+    daily = out.daily_sum(_all_days(spark, base), as_string=False)
+    path = scratch_path(spark, "ordered")
+    write_ordered(daily, path, ["sa", "sp", "rd", "uom"], files=5)
+    return read_in_order(spark, path, daily.schema)
+
+
+@query("published_rerun")
+def published_rerun(spark, base):
+    """Daily sums published twice (K1): the second run's records are in force."""
+    from slotwise.session import scratch_path
+    from slotwise.sinks.published import publish_records, read_published_records
+    daily = out.daily_sum(_enriched(spark, base), as_string=False)
+    path = scratch_path(spark, "published")
+    publish_records(daily.limit(3), path, "daily_sum", START, fixtures.INTERVAL)
+    publish_records(daily, path, "daily_sum", START, fixtures.INTERVAL, max_files=2)
+    schema = daily.drop("rec_type", "im").schema
+    return read_published_records(spark, path, schema, "daily_sum", START, fixtures.INTERVAL).drop("dt").select(*daily.columns)
+
+
+@query("stream_compacted")
+def stream_compacted(spark, base):
+    """Word counts of a stream over the documents in six batches, the folders of the
+    first batches folded: every batch is read once."""
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    from slotwise.session import scratch_path
+    from slotwise.sources.tables import read_table
+    from slotwise.streaming.compaction import batch_ids, compact, read_batches
+    from slotwise.streaming.words import process_batch
+    docs = read_table(spark, "documents", base).select("doc_id", F.col("text").alias("value"))
+    path = scratch_path(spark, "word-batches")
+    for b in range(6):
+        process_batch(docs.where(F.pmod("doc_id", F.lit(6)) == b), b, path)
+    schema = StructType([StructField("word", StringType()), StructField("cnt", LongType())])
+    for through in (1, 4):
+        compact(spark, f"{path}/counts", schema, through)
+    assert batch_ids(spark, f"{path}/counts") == [5]
+    return read_batches(spark, f"{path}/counts", schema)
+
+
+@query("dedup_across_runs")
+def dedup_across_runs(spark, base):
+    """First order per customer over two runs (orders before 1996, then the rest):
+    the second run keeps the customers that the first has not seen."""
+    from slotwise.operators.dedup_store import KeyStore
+    from slotwise.session import scratch_path
+    from slotwise.sources.tables import read_table
+    orders = read_table(spark, "orders", base)
+    early = F.to_date("o_orderdate") < F.lit("1996-01-01")
+    store = KeyStore(scratch_path(spark, "key-store"), ranges=8, bits=1 << 15)
+    path, parts = scratch_path(spark, "kept-orders"), []
+    for run, rows in (("1", orders.where(early)), ("2", orders.where(~early))):
+        store.unseen(rows, "o_custkey", run, ["o_orderdate", "o_orderkey"]).write.parquet(f"{path}/{run}")
+        parts.append(spark.read.parquet(f"{path}/{run}"))
+        store.add(parts[-1], "o_custkey", run)
+    return parts[0].unionByName(parts[1])
+
+
+@query("value_frequency_bounded")
+def value_frequency_bounded(spark, base):
+    """Most ordered parts by mergeable summaries, one per shipping year."""
+    from slotwise.operators.frequent import frequent_values, value_states
+    from slotwise.sources.tables import read_table
+    li = read_table(spark, "lineitem", base).withColumn("year", F.year("l_shipdate"))
+    return frequent_values(li, "l_partkey", 20, states=value_states(li, "l_partkey", by="year"))
+
+
 @query("hourly_sum_lenient")
 def hourly_sum_lenient(spark, base):
     inp = fixture_inputs(spark, base)

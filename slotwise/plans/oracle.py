@@ -430,3 +430,26 @@ ORACLE["stream_part_words"] = """SELECT part, word, count(*) AS cnt FROM (
   SELECT CAST(doc_id % 3 AS INTEGER) AS part, unnest(string_split(text, ' ')) AS word FROM documents) w GROUP BY part, word
 UNION ALL SELECT -1, 'batches', 4"""
 ORACLE["partition_rows"] = "SELECT CAST(count(*) AS BIGINT) AS rows FROM events"
+
+# ---- grains, quarantine, order, publication, compaction, runs --------------------------------
+
+ORACLE["sums_by_grain"] = ENRICHED_ALL + """SELECT sa, sp, im, uom, rd || hr_intr AS period, CAST(round(sum(rm), 4) AS DOUBLE) AS total
+FROM enriched GROUP BY sa, sp, im, uom, rd || hr_intr
+UNION ALL SELECT sa, sp, im, uom, rd, CAST(round(sum(rm), 4) AS DOUBLE) FROM enriched GROUP BY sa, sp, im, uom, rd
+UNION ALL SELECT sa, sp, im, uom, substr(rd, 1, 6), CAST(round(sum(rm), 4) AS DOUBLE) FROM enriched GROUP BY sa, sp, im, uom, substr(rd, 1, 6)"""
+ORACLE["readings_quarantine"] = _with(
+    V_READINGS_MALFORMED,
+    _readings_view("CAST(reading AS DECIMAL(18,4))").replace("FROM readings_src\n", "FROM readings_src WHERE reading <> 'x1' OR reading IS NULL\n")
+    .replace("IS NULL\n  WHERE", "IS NULL)\n  AND").replace("WHERE reading <>", "WHERE (reading <>")) + """
+SELECT 'good' AS side, uom AS name, CAST(NULL AS VARCHAR) AS raw, CAST(sum(rm) AS DOUBLE) AS total, count(*) AS rows
+FROM readings GROUP BY uom
+UNION ALL SELECT 'malformed', 'value', reading, NULL, count(*) FROM readings_src WHERE reading = 'x1' GROUP BY reading"""
+ORACLE["daily_sum_in_order"] = f"""SELECT *, row_number() OVER (
+  ORDER BY sa NULLS FIRST, sp NULLS FIRST, rd NULLS FIRST, uom NULLS FIRST) AS position FROM ({ORACLE["daily_sum_all_days"]})"""
+ORACLE["published_rerun"] = ORACLE["daily_sum"]
+ORACLE["stream_compacted"] = """SELECT word, count(*) AS cnt, batch_id FROM (
+  SELECT unnest(string_split(text, ' ')) AS word, doc_id % 6 AS batch_id FROM documents) w GROUP BY word, batch_id"""
+ORACLE["dedup_across_runs"] = ORACLE["dedup_first"]
+ORACLE["value_frequency_bounded"] = """SELECT CAST(l_partkey AS VARCHAR) AS value, count(*) AS cnt,
+  CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) AS INTEGER) AS rank, true AS certain
+FROM lineitem GROUP BY l_partkey ORDER BY rank LIMIT 20"""

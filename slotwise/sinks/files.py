@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -51,6 +51,49 @@ def write_records(df: DataFrame, path: str, rec_type: str | None = None, dt: str
     w.option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLUMNS).json(path)
 
 
+def write_folder(df: DataFrame, folder: str, max_files: int | None = None, max_records_per_file: int | None = None,
+                 sort_by=None, order_by=None) -> None:
+    """Write ``df`` as JSON into a new folder; ``order_by`` as in :func:`write_ordered`."""
+    if order_by:
+        df = ordered(df, order_by, max_files)
+        max_files = None
+    _writer(df, max_files, max_records_per_file, sort_by).json(folder)
+
+
+def ordered(df: DataFrame, order_by, files: int | None = None) -> DataFrame:
+    """O2: ``df`` range-partitioned and sorted by ``order_by`` (names, ascending,
+    NULL first), so that partitions in their order hold the rows in theirs. A hash
+    of the row is the last key: it makes the order total up to equal rows, and lets
+    the partitioner cut a value that holds many rows."""
+    keys = [F.col(f"`{c}`").asc_nulls_first() for c in order_by]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return (df.repartitionByRange(*([int(files)] if files else []), *keys, tie)
+            .sortWithinPartitions(*keys, tie))
+
+
+def write_ordered(df: DataFrame, folder: str, order_by, files: int | None = None) -> None:
+    """O2: JSON files whose names, in their order, give the rows in the order of
+    ``order_by``, as the reference's globally sorted outputs do. ``files`` is their
+    number (the shuffle's partitions if not given)."""
+    ordered(df, order_by, files).write.mode("overwrite").json(folder)
+
+
+def read_in_order(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """The rows of a folder with ``position``, their place (from 1) when its files
+    are read one after the other by name. One window per file; the files' row
+    counts are summed in one row per file."""
+    rows = (spark.read.schema(schema).option("multiLine", "false").json(folder)
+            .select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                    F.monotonically_increasing_id().alias("_row")))
+    # a file's blocks come in their own partitions; inside one, rows keep their order
+    rows = rows.withColumn("_in_file", F.row_number().over(Window.partitionBy("_file").orderBy("_block", "_row")))
+    size = rows.groupBy(F.col("_file").alias("_name")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_name").rowsBetween(Window.unboundedPreceding, -1))
+    size = size.select("_name", F.coalesce(before, F.lit(0)).alias("_before"))
+    return (rows.join(F.broadcast(size), F.col("_file") == F.col("_name"))      # a row per file
+            .withColumn("position", F.col("_before") + F.col("_in_file")).select(*schema.names, "position"))
+
+
 def _writer(df: DataFrame, max_files, max_records_per_file, sort_by):
     if max_files:
         df = df.coalesce(int(max_files))
