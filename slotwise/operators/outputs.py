@@ -10,7 +10,7 @@ its key with empty cells. Both rules hold for text and numeric values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,36 @@ def observed_values(df: DataFrame, col: str, max_values: int = MAX_SLOTS) -> lis
     return sorted(r[0] for r in rows)
 
 
+class SlotsSeen:
+    """Slots and hours that a frame's rows show, collected by the pass that computes
+    it (``Observation``): two bitmaps of 4 KB, one bit per minute and hour of the day,
+    so the size is fixed whatever the rows hold. Keys that spell no time of day are
+    counted; a frame that has some needs :func:`observed_values`."""
+
+    def __init__(self, df: DataFrame):
+        self._seen = Observation("slots")
+        slot, hour = F.col("qtr_intr"), F.col("hr_intr")
+        is_slot, is_hour = slot.rlike(r"^([01]\d|2[0-3])[0-5]\d$"), hour.rlike(r"^([01]\d|2[0-3])$")
+        minute = F.when(is_slot, F.substring(slot, 1, 2).cast("bigint") * 60 + F.substring(slot, 3, 2).cast("bigint"))
+        odd = F.coalesce(~is_slot, F.lit(False)) | F.coalesce(~is_hour, F.lit(False))
+        # a bit that no row means (32767) takes the rows without a key
+        self.frame = df.observe(self._seen,
+                                F.bitmap_construct_agg(F.coalesce(minute, F.lit(32767).cast("bigint"))).alias("slots"),
+                                F.bitmap_construct_agg(F.when(is_hour, hour.cast("bigint")).otherwise(F.lit(32767).cast("bigint"))).alias("hours"),
+                                F.sum(odd.cast("bigint")).alias("odd"))
+
+    def found(self) -> tuple[list[str], list[str]] | None:
+        """(slots, hours), sorted, once an action has computed the frame; None if
+        some key spells no time of day."""
+        got = self._seen.get
+        if got["odd"]:
+            return None
+
+        def bits(b):
+            return [i for i in range(MAX_SLOTS) if b is not None and b[i // 8] >> (i % 8) & 1]
+        return [f"{m // 60:02d}{m % 60:02d}" for m in bits(got["slots"])], [f"{h:02d}" for h in bits(got["hours"])]
+
+
 def _listed(key: Column, names) -> Column:
     """``key`` if NULL or listed; any other value fails the job."""
     return F.when(key.isNull() | key.isin(list(names)), key).otherwise(

@@ -18,7 +18,7 @@ from slotwise.operators import dimensions as dims
 from slotwise.operators.enrich import enrich, small_dimensions
 from slotwise.operators.frames import reused
 from slotwise.operators.normalise import normalise_readings
-from slotwise.operators.outputs import HOURS, PEAK_CODES, all_outputs, slots_for
+from slotwise.operators.outputs import HOURS, PEAK_CODES, REC_TYPES, SlotsSeen, all_outputs, daily_sum, slots_for
 from slotwise.session import apply_runtime_conf
 from slotwise.sinks.files import write_records
 from slotwise.sources import fixtures
@@ -114,12 +114,16 @@ def measured_readings(inp: IntervalInputs, p: IntervalParams) -> DataFrame:
     return enriched_readings(inp, p, small, keep_account=True)
 
 
-def outputs(enriched: DataFrame, p: IntervalParams, peak_codes: tuple | None = None) -> dict[str, DataFrame]:
+def outputs(enriched: DataFrame, p: IntervalParams, peak_codes: tuple | None = None,
+            found: tuple[list[str], list[str]] | None = None) -> dict[str, DataFrame]:
     """The seven record frames over one enriched frame. Observed slots and
-    hours are found here, by two bounded jobs."""
+    hours are ``found`` already, or else by two bounded jobs here."""
     observed = p.slots == "observed"
     slots = None if observed else slots_for(p.interval) if p.slots == "fixed" else tuple(p.slots)
-    return all_outputs(enriched, slots, None if observed else HOURS, as_string=not p.typed, compare=p.compare,
+    hours = None if observed else HOURS
+    if observed and found is not None:
+        slots, hours = found
+    return all_outputs(enriched, slots, hours, as_string=not p.typed, compare=p.compare,
                        prefix=p.prefix, hour_prefix=p.hour_prefix, peak_codes=peak_codes,
                        fill_strings=p.fill_strings, lenient=p.lenient)
 
@@ -170,5 +174,15 @@ def run(inp: IntervalInputs, p: IntervalParams, path: str, max_files: dict | Non
         write_records(df, path, rec_type, dt=dt, im=p.interval, max_files=(max_files or {}).get(rec_type),
                       sort_by=(sort_by or {}).get(rec_type), keep_fields=keep_fields)
 
-    with reused(enriched, reuse) as base:
-        return write_all(outputs(base, p, peak_codes), write, threads)
+    if p.slots != "observed":
+        with reused(enriched, reuse) as base:
+            return write_all(outputs(base, p, peak_codes), write, threads)
+    # The daily sums need no slots: writing them fills the cache, and that pass sees
+    # which slots and hours there are.
+    seen = SlotsSeen(enriched)
+    with reused(seen.frame, reuse) as base:
+        daily = REC_TYPES["daily"]
+        write(daily, daily_sum(base, as_string=not p.typed, lenient=p.lenient))
+        frames = outputs(base, p, peak_codes, seen.found())
+        write_concurrently({k: v for k, v in frames.items() if k != daily}, write, threads)
+        return list(frames)

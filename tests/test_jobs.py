@@ -4,6 +4,8 @@ persist / checkpoint (U1), profile job with report (K3), rows per partition (U2)
 import os
 import time
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from slotwise.operators.frames import partition_rows, reused, spread
@@ -129,3 +131,38 @@ def test_reused_checkpoint_files_go(spark):
     with reused(spark.range(10), "checkpoint") as d:
         assert d.count() == 10
     assert not [x for x in set(os.listdir(root)) - before if x.startswith("reused")]
+
+
+@pytest.mark.parametrize("reuse", ["persist", "checkpoint", "none"])
+def test_slots_are_found_by_the_pass_that_fills_the_cache(spark, reuse):
+    from slotwise.operators.outputs import SlotsSeen, observed_values
+    from slotwise.operators.frames import reused
+    from slotwise.plans.catalog import _offgrid_inputs, _params
+    from tests.conftest import SF_SMALL
+    from slotwise.plans.interval_job import enriched_readings
+    e = enriched_readings(_offgrid_inputs(spark, SF_SMALL), _params(start="2024-01-19", end="2024-01-19"))
+    want = observed_values(e, "qtr_intr"), observed_values(e, "hr_intr", 24)
+    seen = SlotsSeen(e)
+    tracker = spark.sparkContext.statusTracker()
+    with reused(seen.frame, reuse) as base:
+        base.write.format("noop").mode("overwrite").save()
+        spark.sparkContext.setJobGroup("slots", "none expected")
+        try:
+            assert seen.found() == want and len(want[0]) > 10
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert list(tracker.getJobIdsForGroup("slots")) == []
+
+
+def test_odd_slots_are_left_to_the_discovery_job(spark):
+    from slotwise.operators.outputs import SlotsSeen
+    df = spark.createDataFrame([("0015", "00"), (None, None), ("9999", "23")], "qtr_intr string, hr_intr string")
+    seen = SlotsSeen(df)
+    seen.frame.collect()
+    assert seen.found() is None
+    seen = SlotsSeen(df.where("hr_intr IS NULL OR hr_intr <> '23'"))
+    seen.frame.collect()
+    assert seen.found() == (["0015"], ["00"])
+    seen = SlotsSeen(df.limit(0))
+    seen.frame.collect()
+    assert seen.found() == ([], [])
