@@ -104,15 +104,19 @@ def contained(rest: DataFrame, spoken: DataFrame) -> DataFrame:
     held = spoken.select(F.col("conv").alias("hc"), F.col("turn").alias("ht"), F.explode(_runs(F.col("normal"))).alias("run"))
     held = held.select("hc", "ht", F.md5("run").alias("hr")).distinct()
     often = held.groupBy(F.col("hc").alias("oc"), F.col("hr").alias("o")).agg(F.count(F.lit(1)).alias("n"))
-    asked = rest.withColumn("run", F.explode(_runs(F.col("unit")))).withColumn("run", F.md5("run"))
-    keys = ["conv", "turn", "level", "unit", "hash", "chars"]
+    # the earliest turn that holds a unit is the same for all who quote it: units are looked up once per conversation
+    wanted = rest.groupBy("conv", "hash").agg(F.first("unit").alias("unit"))
+    asked = wanted.withColumn("run", F.explode(_runs(F.col("unit")))).withColumn("run", F.md5("run"))
+    keys = ["conv", "hash", "unit"]
     rarest = (asked.join(often, (F.col("conv") == F.col("oc")) & (F.col("run") == F.col("o")))
               .groupBy(*keys).agg(F.min_by("run", F.struct("n", "run")).alias("run")))
-    near = rarest.join(held, (F.col("conv") == F.col("hc")) & (F.col("run") == F.col("hr"))).where("ht < turn")
+    near = rarest.join(held, (F.col("conv") == F.col("hc")) & (F.col("run") == F.col("hr")))
     texts = spoken.select(F.col("conv").alias("sc"), F.col("turn").alias("st"), "normal")
     whole = near.join(texts, (F.col("conv") == F.col("sc")) & (F.col("ht") == F.col("st"))).where(
         F.contains(F.concat(F.lit(" "), "normal", F.lit(" ")), F.concat(F.lit(" "), "unit", F.lit(" "))))
-    return whole.groupBy(*keys).agg(F.min("ht").alias("source"))
+    first = whole.groupBy(F.col("conv").alias("fc"), F.col("hash").alias("fh")).agg(F.min("ht").alias("source"))
+    both = rest.join(first, (F.col("conv") == F.col("fc")) & (F.col("hash") == F.col("fh"))).where("source < turn")
+    return both.select("conv", "turn", "level", "unit", "hash", "chars", "source")
 
 
 def parents(parsed: DataFrame) -> DataFrame:

@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 32 << 20      # rule text per broadcast trie
+BLOCK_BYTES = 32 << 20      # memory of a broadcast trie, as counted below
+NODE_BYTES, RULE_BYTES = 300, 250       # a node with its key, and a rule's own strings and tuple
 Rule = tuple[str, str, str]
 _HERE = "\0"                # key of a node's rules; no label or segment holds it
 
@@ -70,9 +71,10 @@ def find(root: dict, host: str, path: str) -> tuple[int, int, str, str] | None:
 
 
 def rule_blocks(rules: Iterable[Rule], limit: int = BLOCK_BYTES) -> Iterator[list[Rule]]:
+    """Rules in blocks of ``limit`` bytes, as if no two rules shared a node."""
     block, size = [], 0
     for r in rules:
-        n = len(r[1]) + len(r[2]) + 64
+        n = NODE_BYTES * (r[1].count(".") + r[2].count("/") + 3) + 2 * (len(r[1]) + len(r[2])) + RULE_BYTES
         if block and size + n > limit:
             yield block
             block, size = [], 0

@@ -37,7 +37,19 @@ def test_random_rules_and_blocks(spark):
     rules = list({(rng.choice(["allow", "block"]), rng.choice(hosts), rng.choice(paths)) for _ in range(25)})
     urls = [f"http://{rng.choice(hosts + ['q.b.a.com', 'COM'])}{rng.choice(paths + ['/en/abc', '//', '/en?x'])}" for _ in range(200)]
     check(spark, urls, rules)
-    check(spark, urls, rules, block_bytes=200)      # several broadcast tries
+    check(spark, urls, rules, block_bytes=8000)     # several broadcast tries
+
+
+def test_a_block_is_as_large_as_counted():
+    import tracemalloc
+    from slotwise.llm.urls import build_trie, rule_blocks
+    rules = [("block", f"h{i % 900}.d{i}.example{i % 7}.com", f"/a{i % 50}/b{i}/") for i in range(20_000)]
+    block = next(rule_blocks(rules, 4 << 20))
+    tracemalloc.start()
+    trie = build_trie(block)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert trie and len(block) > 1000 and held < 4 << 20
 
 
 def test_no_rules_and_extra_columns(spark):
