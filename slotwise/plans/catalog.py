@@ -418,6 +418,30 @@ def json_round_trip(spark, base):
     return read_records(spark, path, schema, rec_type="daily_sum").drop("dt")
 
 
+@query("text_lines")
+def text_lines(spark, base):
+    """Texts written as lines and read back: the word counts of all lines."""
+    from slotwise.operators.tokens import word_counts
+    from slotwise.session import scratch_path
+    from slotwise.sources.tables import read_lines, read_table
+    path = scratch_path(spark, "lines")
+    read_table(spark, "documents", base).select(F.regexp_replace("text", "[\r\n]+", " ").alias("value")).write.text(path)
+    lines = read_lines(spark, path)
+    return word_counts(lines, lines.columns[0])
+
+
+@query("json_max_files")
+def json_max_files(spark, base):
+    """K2: the number of files of an output, capped."""
+    from slotwise.session import scratch_path
+    from slotwise.sinks.files import write_records
+    daily = out.daily_sum(_enriched(spark, base), as_string=False).repartition(8)
+    path = scratch_path(spark, "capped-records")
+    write_records(daily, path, "daily_sum", dt=START, im=fixtures.INTERVAL, max_files=3)
+    rows = spark.read.json(f"{path}/rec_type=daily_sum").select("*", F.col("_metadata.file_path").alias("file"))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("file").alias("files"))
+
+
 @query("report_round_trip")
 def report_round_trip(spark, base):
     from slotwise.plans.profile_job import profile_table, read_profile_report

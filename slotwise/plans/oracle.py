@@ -453,3 +453,6 @@ ORACLE["dedup_across_runs"] = ORACLE["dedup_first"]
 ORACLE["value_frequency_bounded"] = """SELECT CAST(l_partkey AS VARCHAR) AS value, count(*) AS cnt,
   CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) AS INTEGER) AS rank, true AS certain
 FROM lineitem GROUP BY l_partkey ORDER BY rank LIMIT 20"""
+ORACLE["text_lines"] = """SELECT word, count(*) AS cnt FROM (
+  SELECT unnest(string_split(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), ' ')) AS word FROM documents WHERE text IS NOT NULL) w GROUP BY word"""
+ORACLE["json_max_files"] = f"SELECT count(*) AS rows, 3 AS files FROM ({ORACLE['daily_sum']}) d"
