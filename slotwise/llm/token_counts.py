@@ -4,9 +4,11 @@ Texts are cut into pre-tokens; byte-pair merges never cross a pre-token, so a
 text's token count is the sum over its pre-tokens. Tier one is a compact table
 (pre-token -> number of tokens) of the corpus' frequent pre-tokens, broadcast;
 tier two is each worker's cache, filled by encoding what the table misses with
-the tokenizer library, one call for a group of texts. Pre-tokens are never shuffled: one pass counts them in
-the tasks, and each task sends its most frequent ones only (a bounded summary),
-from which the table is made. The table affects speed, never the result.
+the tokenizer library, one call for a group of texts. Pre-tokens are never shuffled:
+the tasks count those of a sample of ``SAMPLE_TEXTS`` texts (a parameter) and send
+their most frequent ones, ``SENT`` together at most, to the driver, which adds them up.
+The table affects speed, never the result; what it lacks is in the worker's cache after
+its first use.
 
 Pre-tokens are cut by the tokenizer's pattern for texts whose characters all lie
 below U+0250, where the pattern's classes are the same in every Unicode version;
@@ -28,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm import bytewords as bw
-from slotwise.llm.graph import cut, most_frequent, small_batches
+from slotwise.llm.graph import small_batches
 
 TABLE_SIZE = 1 << 17        # pre-tokens in the broadcast table
-TASK_SUMMARY = 1 << 14      # pre-tokens that one task reports
+SAMPLE_TEXTS = 1 << 14      # texts, about, that the table is made from
+SENT = 1 << 19              # pre-tokens that all tasks together report
 COUNTER_SIZE = 1 << 18      # entries at which a task's counter drops its rare half
 CACHE_SIZE = 1 << 20        # entries of a worker's cache
 TABLE_BYTES = 64            # longest pre-token in the table
@@ -98,10 +101,17 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 def frequent_pretokens(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
-                       size: int = TABLE_SIZE) -> dict[str, int]:
-    """The broadcast table. Every task counts all of its pre-tokens (in bounded
-    memory: an overfull counter drops its rare half) and reports its
-    ``TASK_SUMMARY`` most frequent; the driver gets ``size`` rows at most."""
+                       size: int = TABLE_SIZE, sample_texts: int = SAMPLE_TEXTS) -> dict[str, int]:
+    """The broadcast table, from a sample of the texts. Every task counts the
+    pre-tokens of its sampled texts (in bounded memory: an overfull counter drops its
+    rare half) and reports its share of ``SENT`` at most."""
+    total = docs.count()
+    if not total:
+        return {}
+    texts = docs.select(docs[text_col])
+    texts = texts.sample(sample_texts / total, seed=7) if sample_texts < total else texts
+    most = max(1, SENT // max(1, texts.rdd.getNumPartitions()))
+
     @bw.tidy
     def run(batches):
         enc = encoder(path, pattern)
@@ -112,23 +122,24 @@ def frequent_pretokens(docs: DataFrame, path: str, pattern: str, text_col: str =
                     counts.update(enc.pretokens(text))
                     if len(counts) > COUNTER_SIZE:
                         counts = Counter(dict(counts.most_common(COUNTER_SIZE // 2)))
-        top = [(w, n) for w, n in counts.most_common(TASK_SUMMARY) if n > 1 and len(w) <= TABLE_BYTES]
-        lengths = enc.lengths([w for w, _ in top])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64()),
-             pa.array(lengths, pa.int32())], names=["pretoken", "n", "tokens"])
+        top = [(w, n) for w, n in counts.most_common(most) if len(w) <= TABLE_BYTES]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
+                                         names=["pretoken", "n"])
 
-    counts = (docs.select(docs[text_col]).mapInArrow(run, "pretoken string, n long, tokens int")
-              .groupBy("pretoken").agg(F.sum("n").alias("n"), F.max("tokens").alias("tokens")))
-    return {r.pretoken: r.tokens for r in most_frequent(cut(counts), size).collect()}
+    found: Counter = Counter()
+    for b in texts.mapInArrow(run, "pretoken string, n long").toArrow().to_batches():       # SENT rows at most
+        for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            found[w] += n
+    words = [w for w, n in found.most_common(size)]
+    return dict(zip(words, encoder(path, pattern).lengths(words)))
 
 
 def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512, id_col: str = "doc_id",
-                 text_col: str = "text", table_size: int = TABLE_SIZE) -> DataFrame:
+                 text_col: str = "text", table_size: int = TABLE_SIZE, sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
     """One row per input row: id, ``n_bytes``, ``n_tokens``, ``over_limit``."""
     src = small_batches(docs).select(docs[id_col].alias(id_col), docs[text_col].alias("_text"))
     table = src.sparkSession.sparkContext.broadcast(
-        frequent_pretokens(src, path, pattern, "_text", table_size) if table_size else {})
+        frequent_pretokens(src, path, pattern, "_text", table_size, sample_texts) if table_size else {})
     id_type = src.schema[0].dataType.simpleString()
 
     @bw.tidy
