@@ -34,7 +34,7 @@ from slotwise.llm.graph import small_batches
 
 WINDOW = 10
 SHINGLE = 3
-BLOCK_BYTES = 16 << 20      # benchmark text per broadcast index
+BLOCK_BYTES = 4 << 20       # benchmark text per broadcast index, which takes about thirty times that
 
 
 @dataclass
@@ -44,26 +44,49 @@ class Index:
 
     words: np.ndarray           # windows x WINDOW word hashes, zero-padded
     length: np.ndarray          # words per window
-    items: list[list[str]]      # ids of the items that hold the window
+    ids: list[str]              # item ids, sorted
+    held: np.ndarray            # items (places in ids) per window, one list after the other
+    head: np.ndarray            # where each window's list starts, and the end
     shingles: dict[int, np.ndarray]                     # length -> sorted distinct hashes
     prefix: dict[int, tuple[np.ndarray, ...]]           # length -> (hashes, list starts, window, place)
 
 
 def build_index(items: list[tuple[str, str]], window: int, shingle: int) -> Index:
-    """The windows of (id, text) pairs, without prefixes."""
-    found: dict[tuple, set[str]] = {}
+    """The windows of (id, text) pairs, without prefixes. Arrays throughout: a
+    window is a row of word hashes and its length, equal rows are one."""
+    ids = sorted({i for i, _ in items})
+    place = {i: k for k, i in enumerate(ids)}
     texts = [t.encode() for _, t in items]
+    grids, owners = [np.zeros((0, window + 1), np.uint64)], [np.empty(0, np.int32)]
     for lo, hi in bw.chunk_ranges(texts):
         c = bw.parse(texts[lo:hi], bw.ALNUM, lower=True)
-        for k in range(hi - lo):
-            words = c.word[c.first[k]:c.first[k + 1]].tolist()
-            for i in range(max(1, len(words) - window + 1) if words else 0):
-                found.setdefault(tuple(words[i:i + window]), set()).add(items[lo + k][0])
-    grid = np.zeros((len(found), window), np.uint64)
-    length = np.zeros(len(found), np.int64)
-    for i, w in enumerate(found):
-        grid[i, :len(w)] = w
-        length[i] = len(w)
+        own = np.array([place[i] for i, _ in items[lo:hi]], np.int32)
+        words, doc = np.diff(c.first), c.doc
+        for size in range(1, window + 1):
+            if size < window:
+                t = np.flatnonzero(words == size)
+                at = c.first[t]
+            else:
+                at = np.flatnonzero(doc[:max(len(doc) - window + 1, 0)] == doc[window - 1:])
+                t = doc[at]
+            grid = np.zeros((len(at), window + 1), np.uint64)
+            for j in range(size):
+                grid[:, j] = c.word[at + j]
+            grid[:, window] = size
+            grids.append(grid)
+            owners.append(own[t])
+    grid, owner = np.concatenate(grids), np.concatenate(owners)
+    del grids, owners
+    order = np.lexsort((owner, *grid.T))
+    grid, owner = grid[order], owner[order]
+    new = np.ones(len(grid), bool)
+    new[1:] = (grid[1:] != grid[:-1]).any(axis=1)
+    again = np.zeros(len(grid), bool)
+    again[1:] = ~new[1:] & (owner[1:] == owner[:-1])            # a window that an item holds twice
+    number = (np.cumsum(new) - 1)[~again]
+    held, grid = owner[~again], grid[new]
+    head = np.searchsorted(number, np.arange(len(grid) + 1))
+    length, grid = grid[:, window].astype(np.int64), np.ascontiguousarray(grid[:, :window])
     parts: dict[int, list[np.ndarray]] = {}
     for size in range(1, window + 1):
         rows = np.flatnonzero(length == size)
@@ -72,7 +95,7 @@ def build_index(items: list[tuple[str, str]], window: int, shingle: int) -> Inde
         for place in range(size - s + 1):
             parts.setdefault(s, []).append(bw.gram_hash(flat, np.arange(len(rows)) * window + place, s))
     shingles = {s: np.unique(np.concatenate(p)) for s, p in parts.items() if sum(map(len, p))}
-    return Index(grid, length, [sorted(x) for x in found.values()], shingles, {})
+    return Index(grid, length, ids, held, head, shingles, {})
 
 
 def choose_prefixes(ix: Index, counts: dict[int, np.ndarray], shingle: int) -> None:
@@ -188,7 +211,7 @@ def _join(index):
                 for mine in np.split(order, np.flatnonzero(np.diff(doc[order])) + 1) if len(order) else ():
                     d = doc[mine[0]]
                     i, base = lo + d, int(c.first[d])
-                    got = {x for k in np.unique(w[mine]) for x in ix.items[k]}
+                    got = {ix.ids[x] for k in np.unique(w[mine]) for x in ix.held[ix.head[k]:ix.head[k + 1]]}
                     items[i] = sorted(got.union(items[i]))
                     runs = [(int(s) - base, int(s + n) - base) for s, n in zip(start[mine], ix.length[w[mine]])]
                     spans[i] = _merge(runs + list(zip(spans[i][0::2], spans[i][1::2])))

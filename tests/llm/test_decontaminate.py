@@ -1,3 +1,4 @@
+import numpy as np
 import random
 
 import pytest
@@ -67,3 +68,20 @@ def test_odd_rows(spark):
     assert keep_clean(df, bench).count() == df.count() - 2
     assert contamination(df, bench.limit(0)).where("n_hit > 0").count() == 0
     assert contamination(df.limit(0), bench).count() == 0 and keep_clean(df, bench.limit(0)).count() == df.count()
+
+
+def test_a_block_fits_the_driver():
+    """Memory of an index, by the byte of benchmark text."""
+    import random
+    import tracemalloc
+    from slotwise.llm import decontaminate as dc
+    rng = random.Random(1)
+    items = [(f"i{k}", " ".join(f"w{rng.randint(0, 50_000)}" for _ in range(150))) for k in range(1500)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    ix = dc.build_index(items, dc.WINDOW, dc.SHINGLE)
+    dc.choose_prefixes(ix, {s: np.zeros(len(t), np.int64) for s, t in ix.shingles.items()}, dc.SHINGLE)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(ix.words) > 200_000
+    assert held / size * dc.BLOCK_BYTES < 250 << 20 and peak / size * dc.BLOCK_BYTES < 500 << 20
