@@ -70,18 +70,18 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
 
 def test_registered():
     names = E.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
     assert set(E.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op1_ngram_jaccard_join", "op2_url_filter", "op8_decontamination"])
+@pytest.mark.parametrize("name", ["op1_ngram_jaccard_join", "op2_url_filter", "op8_decontamination", "op11_hard_negatives", "op13_minhash_dedup"])
 def test_sql(spark, name):
     import duckdb
     from scripts.check_oracle import digest
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = E.queries()[name](spark, SF_SMALL)
     rel = con.sql(E.oracle_sql()[name])
