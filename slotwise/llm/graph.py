@@ -4,6 +4,7 @@ table as DataFrame joins."""
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,12 @@ def cut(df: DataFrame) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Between two passes: shuffle and checkpoint files of frames that are no
     longer used go when the driver collects its garbage, which a driver with little
-    to do puts off until disks are full."""
-    gc.collect()
-    spark._jvm.System.gc()
+    to do puts off until disks are full. Python's references end in the background,
+    so a second round finds what the first has let go."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def small_batches(df: DataFrame) -> DataFrame:

@@ -52,6 +52,7 @@ ROW_BYTES = 96              # what a broadcast row takes beside its values
 PASSAGE_WORDS = 50          # passages are longer than this
 CODE_BYTES = 3
 CODE_GRAM = 8               # words of an anchor's gram
+SIFT_BITS = 26              # bits (as a power of two) of the map of repeated grams, 8 MB at any size
 
 
 def window_runs(c: bw.Chunk, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -103,7 +104,41 @@ def _leftmost_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.where(after[:n] <= before[end], after_at[:n], before_at[end])
 
 
-def _runs(length: int, gram: int):
+def _grams(length: int, gram: int):
+    """(g, n): the anchors' grams of a chunk; n is 2 where one stands there twice."""
+    @bw.tidy
+    def run(batches):
+        for b in batches:
+            texts = bw.blobs(b.column(0))
+            for lo, hi in bw.chunk_ranges(texts):
+                part = [t for t in texts[lo:hi] if len(t) >= length]
+                if part:
+                    g, n = np.unique(window_runs(bw.parse(part, bw.SPACED, lower=False), length, gram)[4], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(np.minimum(n, 2), pa.int64())], names=["g", "n"])
+    return run
+
+
+def repeated_grams(texts: DataFrame, length: int, gram: int) -> np.ndarray:
+    """A bit per anchor gram that occurs twice or more, as bytes. Of fixed size: where
+    there are more grams than bits, fewer runs are sifted out."""
+    twice = (small_batches(texts).mapInArrow(_grams(length, gram), "g long, n long")
+             .groupBy("g").agg(F.sum("n").alias("n")).where("n > 1"))
+    bit = F.col("g").bitwiseAND(F.lit((1 << SIFT_BITS) - 1)) + 1
+    maps = twice.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).toArrow()       # 2 ** (SIFT_BITS - 15) rows of 4 KB
+    out = np.zeros(((1 << SIFT_BITS) >> 15, 4096), np.uint8)
+    for k, b in zip(maps.column("bucket").to_pylist(), maps.column("bits").to_pylist()):
+        out[k - 1] = np.frombuffer(b, np.uint8)
+    return out.reshape(-1)
+
+
+def _sifted(g: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = (g & np.uint64((1 << SIFT_BITS) - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _runs(length: int, gram: int, known=None):
+    """``known``: broadcast bits of the repeated grams; other runs are left out."""
     @bw.tidy
     def run(batches):
         for b in batches:
@@ -114,6 +149,9 @@ def _runs(length: int, gram: int):
                     continue
                 c = bw.parse(part, bw.SPACED, lower=False)
                 text, start, windows, place, g, whole = window_runs(c, length, gram)
+                if known is not None:
+                    some = _sifted(g, known.value)
+                    text, start, windows, place, g, whole = (v[some] for v in (text, start, windows, place, g, whole))
                 digest = pa.array([hashlib.md5(t).digest() for t in part], pa.binary())
                 at = start - c.doc_start[text]
                 key = bw.mix(g ^ bw.mix(whole))
@@ -223,11 +261,14 @@ def small(df: DataFrame, row_bytes: str) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
-def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, block_runs: int = BLOCK_RUNS) -> DataFrame:
+def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, block_runs: int = BLOCK_RUNS,
+                    sift: bool = False) -> DataFrame:
     """(text_id, ranges): per distinct text (md5) with repeated bytes, their
     merged byte ranges as start, end, start, end ... ``texts`` has a column
-    ``text``."""
-    rows = cut(small_batches(texts).mapInArrow(_runs(length, gram), _RUN_ROW))
+    ``text``. ``sift`` finds the repeated anchors first, in a pass of its own, and
+    keeps runs of these only: less disk for more work."""
+    known = texts.sparkSession.sparkContext.broadcast(repeated_grams(texts, length, gram)) if sift else None
+    rows = cut(small_batches(texts).mapInArrow(_runs(length, gram, known), _RUN_ROW))
     near = rows.where("n = 0").select("text_id", F.col("start").alias("a"), F.col("windows").alias("z"))
     kinds = cut(rows.where("n > 0").groupBy("g", "whole").agg(
         F.sum("n").alias("n"), F.min(F.struct("text_id", "start", "windows", "off")).alias("one")))
@@ -314,7 +355,7 @@ def passage_counts(texts: DataFrame, passage_words: int = PASSAGE_WORDS, block_r
     words inside passages of more than ``passage_words`` words that repeat."""
     codes = small_batches(texts).mapInArrow(bw.tidy(_codes), "text binary")
     gram = min(CODE_GRAM, passage_words // 2 + 1)
-    found = repeated_ranges(codes, CODE_BYTES * (passage_words + 1), CODE_BYTES * gram, block_runs)
+    found = repeated_ranges(codes, CODE_BYTES * (passage_words + 1), CODE_BYTES * gram, block_runs, sift=True)
     # ranges come as start, end, ...; words that lie in them as a whole count
     words = F.expr(f"""aggregate(transform(sequence(0, size(ranges) - 2, 2),
         k -> (ranges[k + 1] div {CODE_BYTES}) - ((ranges[k] + {CODE_BYTES - 1}) div {CODE_BYTES})),

@@ -138,3 +138,11 @@ def test_passages_of_the_corpus(spark):
     got = sd.remove_repeats(df).select("doc_id", "n_passage_words").collect()
     want = brute_passages([(r.doc_id, r.text) for r in df.collect()], sd.PASSAGE_WORDS)
     assert sorted((tuple(r) for r in got), key=repr) == want and any(n for _, n in want)
+
+
+def test_sifting_changes_no_range(spark):
+    df = documents(spark, SF_SMALL).select("text").where("text is not null")
+    got = [sorted((bytes(r.text_id), r.ranges) for r in sd.repeated_ranges(df, 200, 32, sift=s).collect()) for s in (False, True)]
+    assert got[0] == got[1] and len(got[0]) > 20
+    bits = sd.repeated_grams(df, 200, 32)
+    assert len(bits) == (1 << sd.SIFT_BITS) // 8 and 0 < np.unpackbits(bits).sum() < 200_000
