@@ -47,7 +47,7 @@ LENGTH = 400
 GRAM = 64
 BLOCK_RUNS = 1024           # runs of a block; a task holds two blocks
 FLUSH_BYTES = 8 << 20       # run bytes that a task gathers before it sorts them
-BROADCAST_BYTES = 8 << 20   # counted bytes up to which a per-text table is broadcast
+BROADCAST_BYTES = 32 << 20  # counted bytes up to which a per-text table is broadcast
 ROW_BYTES = 96              # what a broadcast row takes beside its values
 PASSAGE_WORDS = 50          # passages are longer than this
 CODE_BYTES = 3
@@ -377,17 +377,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     @bw.tidy
     def coded(batches):
         for b in batches:
-            texts = bw.blobs(b.column(1))
+            texts = bw.blobs(b.column(0))
             for lo, hi in bw.chunk_ranges(texts):
-                ids = [hashlib.md5(x).digest() for x in word_codes(texts[lo:hi])]
-                yield pa.RecordBatch.from_arrays([*(x.slice(lo, hi - lo) for x in b.columns), pa.array(ids, pa.binary())],
-                                                 names=["id", "text", "own_codes"])
-
+                part = texts[lo:hi]
+                both = [(hashlib.md5(t).digest(), hashlib.md5(x).digest()) for t, x in zip(part, word_codes(part))]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*both)], names=["of_text", "own_codes"])
+
+    # one table per text, so that the texts themselves are joined once
+    counted = (src.select("text").mapInArrow(coded, "of_text binary, own_codes binary")
+               .join(small(passages, "24"), F.col("own_codes") == F.col("codes_id"))
+               .groupBy("of_text").agg(F.max("n_passage_words").alias("n_passage_words")))
+    marks = cut(found.join(counted, F.col("found_id") == F.col("of_text"), "full")
+                .select(F.coalesce("found_id", "of_text").alias("marked_id"), "ranges", "n_passage_words"))
     kind = src.schema[0].dataType.simpleString()
-    both = (src.mapInArrow(coded, f"id {kind}, text string, own_codes binary")
-            .withColumn("text_id", F.unhex(F.md5("text")))
-            .join(small(found, "20 + 4 * size(ranges)"), F.col("text_id") == F.col("found_id"), "left")
-            .join(small(passages, "24"), F.col("own_codes") == F.col("codes_id"), "left")
+    both = (src.withColumn("text_id", F.unhex(F.md5("text")))
+            .join(small(marks, "28 + 4 * greatest(coalesce(size(ranges), 0), 0)"), F.col("text_id") == F.col("marked_id"), "left")
             .select("id", "text", "ranges", F.coalesce("n_passage_words", F.lit(0)).alias("n_passage_words")))
 
     @bw.tidy
