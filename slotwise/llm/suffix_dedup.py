@@ -104,24 +104,29 @@ def _leftmost_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.where(after[:n] <= before[end], after_at[:n], before_at[end])
 
 
-def _grams(length: int, gram: int):
+def _view(texts: list[bytes], words: bool) -> list[bytes]:
+    """The bytes that are searched: the texts', or their word codes."""
+    return word_codes(texts) if words else texts
+
+
+def _grams(length: int, gram: int, words: bool):
     """(g, n): the anchors' grams of a chunk; n is 2 where one stands there twice."""
     @bw.tidy
     def run(batches):
         for b in batches:
             texts = bw.blobs(b.column(0))
             for lo, hi in bw.chunk_ranges(texts):
-                part = [t for t in texts[lo:hi] if len(t) >= length]
+                part = [t for t in _view(texts[lo:hi], words) if len(t) >= length]
                 if part:
                     g, n = np.unique(window_runs(bw.parse(part, bw.SPACED, lower=False), length, gram)[4], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(np.minimum(n, 2), pa.int64())], names=["g", "n"])
     return run
 
 
-def repeated_grams(texts: DataFrame, length: int, gram: int) -> np.ndarray:
+def repeated_grams(texts: DataFrame, length: int, gram: int, words: bool = False) -> np.ndarray:
     """A bit per anchor gram that occurs twice or more, as bytes. Of fixed size: where
     there are more grams than bits, fewer runs are sifted out."""
-    twice = (small_batches(texts).mapInArrow(_grams(length, gram), "g long, n long")
+    twice = (small_batches(texts).mapInArrow(_grams(length, gram, words), "g long, n long")
              .groupBy("g").agg(F.sum("n").alias("n")).where("n > 1"))
     bit = F.col("g").bitwiseAND(F.lit((1 << SIFT_BITS) - 1)) + 1
     maps = twice.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
@@ -137,17 +142,18 @@ def _sifted(g: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _runs(length: int, gram: int, known=None):
+def _runs(length: int, gram: int, known=None, words: bool = False):
     """``known``: broadcast bits of the repeated grams; other runs are left out."""
     @bw.tidy
     def run(batches):
         for b in batches:
             texts = bw.blobs(b.column(0))
             for lo, hi in bw.chunk_ranges(texts):
-                part = [t for t in texts[lo:hi] if len(t) >= length]
-                if not part:
+                long = [(t, x) for t, x in zip(texts[lo:hi], _view(texts[lo:hi], words)) if len(x) >= length]
+                if not long:
                     continue
-                c = bw.parse(part, bw.SPACED, lower=False)
+                part = [t for t, _ in long]
+                c = bw.parse([x for _, x in long], bw.SPACED, lower=False)
                 text, start, windows, place, g, whole = window_runs(c, length, gram)
                 if known is not None:
                     some = _sifted(g, known.value)
@@ -262,13 +268,14 @@ def small(df: DataFrame, row_bytes: str) -> DataFrame:
 
 
 def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, block_runs: int = BLOCK_RUNS,
-                    sift: bool = False) -> DataFrame:
+                    sift: bool = False, words: bool = False) -> DataFrame:
     """(text_id, ranges): per distinct text (md5) with repeated bytes, their
     merged byte ranges as start, end, start, end ... ``texts`` has a column
     ``text``. ``sift`` finds the repeated anchors first, in a pass of its own, and
-    keeps runs of these only: less disk for more work."""
-    known = texts.sparkSession.sparkContext.broadcast(repeated_grams(texts, length, gram)) if sift else None
-    rows = cut(small_batches(texts).mapInArrow(_runs(length, gram, known), _RUN_ROW))
+    keeps runs of these only: less disk for more work. ``words`` searches the texts'
+    word codes instead of their bytes; lengths and ranges are in bytes of codes then."""
+    known = texts.sparkSession.sparkContext.broadcast(repeated_grams(texts, length, gram, words)) if sift else None
+    rows = cut(small_batches(texts).mapInArrow(_runs(length, gram, known, words), _RUN_ROW))
     near = rows.where("n = 0").select("text_id", F.col("start").alias("a"), F.col("windows").alias("z"))
     kinds = cut(rows.where("n > 0").groupBy("g", "whole").agg(
         F.sum("n").alias("n"), F.min(F.struct("text_id", "start", "windows", "off")).alias("one")))
@@ -281,9 +288,9 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
                .select("g", (F.col("n") == 1).alias("single"), "one.*", F.ceil(F.col("kinds") / block_runs).alias("blocks")))
     wanted = cut(sent.groupBy(F.col("text_id").alias("wanted")).agg(
         F.collect_list(F.struct("g", "single", "start", "windows", "off", "blocks")).alias("runs")))
-    source = texts.select(F.unhex(F.md5("text")).alias("text_id"), "text").where(F.octet_length("text") >= length)
+    source = texts.select(F.unhex(F.md5("text")).alias("text_id"), "text").where(F.octet_length("text") >= (2 * (length // CODE_BYTES) - 1 if words else length))
     fetched = each_once(source, wanted).join(small(wanted, "16 + 32 * size(runs)"), F.col("text_id") == F.col("wanted"))
-    fetched = fetched.mapInArrow(_fetch(length), "g long, single boolean, blocks long, text_id binary, start int, off int, data binary")
+    fetched = fetched.mapInArrow(_fetch(length, words), "g long, single boolean, blocks long, text_id binary, start int, off int, data binary")
     block = F.pmod(F.xxhash64("text_id", "start"), F.col("blocks"))
     tasks = (fetched.withColumn("block", block)
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -307,12 +314,13 @@ def each_once(source: DataFrame, wanted: DataFrame) -> DataFrame:
     return alone.union(first)
 
 
-def _fetch(length: int):
+def _fetch(length: int, words: bool):
     """The bytes of the wanted runs."""
     @bw.tidy
     def run(batches):
         for b in batches:
             text_id, texts = b.column(0).to_pylist(), bw.blobs(b.column(1))
+            texts = [x for lo, hi in bw.chunk_ranges(texts) for x in _view(texts[lo:hi], words)]
             out = [(r["g"], r["single"], r["blocks"], t, r["start"], r["off"], x[r["start"]:r["start"] + r["windows"] - 1 + length])
                    for t, x, runs in zip(text_id, texts, b.column(3).to_pylist()) for r in runs]
             cols = list(zip(*out)) if out else [()] * 7
@@ -336,14 +344,6 @@ def _merge_ranges(batches):
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=["text_id", "ranges"])
 
 
-def _codes(batches):
-    """Each text's word codes, one after the other."""
-    for b in batches:
-        texts = bw.blobs(b.column(0))
-        for lo, hi in bw.chunk_ranges(texts):
-            yield pa.RecordBatch.from_arrays([pa.array(word_codes(texts[lo:hi]), pa.binary())], names=["text"])
-
-
 def word_codes(texts: list[bytes]) -> list[bytes]:
     c = bw.parse(texts, bw.SPACED, lower=False)
     code = c.word.view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES]
@@ -351,16 +351,15 @@ def word_codes(texts: list[bytes]) -> list[bytes]:
 
 
 def passage_counts(texts: DataFrame, passage_words: int = PASSAGE_WORDS, block_runs: int = BLOCK_RUNS) -> DataFrame:
-    """(codes_id, n_passage_words): per distinct sequence of word codes (md5) the
-    words inside passages of more than ``passage_words`` words that repeat."""
-    codes = small_batches(texts).mapInArrow(bw.tidy(_codes), "text binary")
+    """(passage_id, n_passage_words): per distinct text (md5) the words inside
+    passages of more than ``passage_words`` words that repeat."""
     gram = min(CODE_GRAM, passage_words // 2 + 1)
-    found = repeated_ranges(codes, CODE_BYTES * (passage_words + 1), CODE_BYTES * gram, block_runs, sift=True)
+    found = repeated_ranges(texts, CODE_BYTES * (passage_words + 1), CODE_BYTES * gram, block_runs, sift=True, words=True)
     # ranges come as start, end, ...; words that lie in them as a whole count
     words = F.expr(f"""aggregate(transform(sequence(0, size(ranges) - 2, 2),
         k -> (ranges[k + 1] div {CODE_BYTES}) - ((ranges[k] + {CODE_BYTES - 1}) div {CODE_BYTES})),
         0L, (n, w) -> n + if(w > {passage_words}, w, 0L))""")
-    return found.where(F.size("ranges") > 0).select(F.col("text_id").alias("codes_id"), words.alias("n_passage_words"))
+    return found.where(F.size("ranges") > 0).select(F.col("text_id").alias("passage_id"), words.alias("n_passage_words"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block_runs: int = BLOCK_RUNS,
@@ -374,21 +373,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bloc
     passages = cut(passage_counts(src.select("text"), passage_words, block_runs))
     release(docs.sparkSession)
 
-    @bw.tidy
-    def coded(batches):
-        for b in batches:
-            texts = bw.blobs(b.column(0))
-            for lo, hi in bw.chunk_ranges(texts):
-                part = texts[lo:hi]
-                both = [(hashlib.md5(t).digest(), hashlib.md5(x).digest()) for t, x in zip(part, word_codes(part))]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*both)], names=["of_text", "own_codes"])
-
     # one table per text, so that the texts themselves are joined once
-    counted = (src.select("text").mapInArrow(coded, "of_text binary, own_codes binary")
-               .join(small(passages, "24"), F.col("own_codes") == F.col("codes_id"))
-               .groupBy("of_text").agg(F.max("n_passage_words").alias("n_passage_words")))
-    marks = cut(found.join(counted, F.col("found_id") == F.col("of_text"), "full")
-                .select(F.coalesce("found_id", "of_text").alias("marked_id"), "ranges", "n_passage_words"))
+    marks = cut(found.join(passages, F.col("found_id") == F.col("passage_id"), "full")
+                .select(F.coalesce("found_id", "passage_id").alias("marked_id"), "ranges", "n_passage_words"))
     kind = src.schema[0].dataType.simpleString()
     both = (src.withColumn("text_id", F.unhex(F.md5("text")))
             .join(small(marks, "28 + 4 * greatest(coalesce(size(ranges), 0), 0)"), F.col("text_id") == F.col("marked_id"), "left")
