@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import re
@@ -48,6 +49,19 @@ def test_corpus(spark):
     assert spans(df) == {r.doc_id: brute(r.text) for r in df.collect()}
 
 
+def test_query_counts_each_kind(spark, tmp_dir):
+    from slotwise.llm.queries import QUERIES
+    texts = ["", None, "a@b.co", "x@y.z then a@b.co, 1.2.3.4", "+1 (988) 555-2485", "4041894974608795 1.1.1.1 2.2.2.2 a@b.co",
+             "1.1.1.1 and +1 (988) 555-2485 and +1 (988) 555-2486"]
+    spark.createDataFrame(list(enumerate(texts)), DOC).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op9_pii"](spark, tmp_dir).collect()}
+    assert sorted(got) == list(range(len(texts)))
+    for i, text in enumerate(texts):
+        kinds = [s.split(":")[0] for s in brute(text).split(",")]
+        assert [got[i][f"n_{k}"] for k in BASE] == [kinds.count(k) for k in BASE]
+        assert got[i].base_sha256 == hashlib.sha256(brute(text).encode()).hexdigest()
+
+
 def corpus(spark):
     """A nickname that gives one address away, and near copies around another."""
     rng = random.Random(7)
