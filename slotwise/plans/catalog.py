@@ -389,7 +389,7 @@ def _stream_documents(spark, base):
     from slotwise.plans.stream_job import run_files
     from slotwise.sources.tables import read_table
     schema = read_table(spark, "documents", base).schema
-    return run_files(spark, base, fmt="parquet", schema=schema, value_col="text", glob="documents.parquet")
+    return run_files(spark, f"{base.rstrip('/')}/documents.parquet", fmt="parquet", schema=schema, value_col="text")
 
 
 @query("stream_batch_words")

@@ -8,6 +8,8 @@ the same frame shape for offline runs and tests.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,7 +39,13 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "text", schema: Struc
                 value_col: str | None = None, glob: str | None = None,
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Files arriving in ``path`` as a stream of text values. For ``parquet`` /
-    ``json`` sources give the schema and the column holding the text."""
+    ``json`` sources give the schema and the column holding the text. Where ``path``
+    is one file, the stream is of that file alone (Spark streams folders, so its
+    folder is listed for its name)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(where) and fs.getFileStatus(where).isFile():
+        path, glob = where.getParent().toString(), re.sub(r"([\\*?\[\]{}])", r"\\\1", where.getName())
     reader = spark.readStream.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)

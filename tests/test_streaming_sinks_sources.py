@@ -41,6 +41,20 @@ def test_per_batch_counts_not_running(spark, tmp_dir):
     assert totals3.count() == 4 and counts3.where("word = 'd'").count() == 1
 
 
+def test_stream_queries_over_a_file_or_a_folder_of_files(spark, tmp_dir):
+    import shutil
+    from slotwise.plans.catalog import QUERIES
+    rows = spark.createDataFrame([(1, "a b a"), (2, "b"), (3, None), (4, "c a")], "doc_id long, text string")
+    rows.repartition(3, "doc_id").write.parquet(f"{tmp_dir}/many/documents.parquet")
+    rows.coalesce(1).write.parquet(f"{tmp_dir}/one/pages.parquet")                  # a neighbour that is not read
+    part = next(n for n in os.listdir(f"{tmp_dir}/one/pages.parquet") if n.endswith(".parquet"))
+    shutil.copy(f"{tmp_dir}/one/pages.parquet/{part}", f"{tmp_dir}/one/documents.parquet")
+    for base in ("many", "one"):
+        words = QUERIES["stream_batch_words"](spark, f"{tmp_dir}/{base}").collect()
+        assert sorted(map(tuple, words)) == [("a", 3, 0), ("b", 2, 0), ("c", 1, 0)]
+        assert [tuple(r) for r in QUERIES["stream_batch_total"](spark, f"{tmp_dir}/{base}").collect()] == [(6, 0)]
+
+
 def test_kafka_option_mapping():
     o = kafka_options("b1:9092,b2:9092", "meter", max_offsets_per_trigger=1000)
     assert o == {"kafka.bootstrap.servers": "b1:9092,b2:9092", "subscribe": "meter",
