@@ -18,6 +18,11 @@ one just before it, and facts in between, so both kinds of range, and facts on a
 bound, are exact. A key with more than ``rows_per_split`` facts is dealt over
 several salts by a hash of the row, and its segments are repeated per salt.
 
+Sorts run in partitions of a number that follows from the measured rows and bytes
+(``ROWS_PER_TASK``, ``BYTES_PER_TASK``), so a task's memory does not grow with the
+tables. Partitions merged by their shuffled bytes could hold far more: these rows
+compress to a twentieth.
+
 Ranges with a null key or bound, and empty ones, match nothing. Facts with a null
 key or position match nothing and stay in a left join.
 """
@@ -31,15 +36,24 @@ from slotwise.operators.joins import ROWS_PER_SPLIT, measured, small_enough
 from slotwise.operators.layout import hot_keys
 
 _BEFORE, _AT, _AFTER = 0, 1, 2
+ROWS_PER_TASK, BYTES_PER_TASK = 200_000, 32 << 20
+
+
+def partitions(*sizes: tuple[int, int]) -> int:
+    """Partitions for frames of these (rows, bytes)."""
+    rows, size = (sum(s[i] or 0 for s in sizes) for i in (0, 1))
+    return max(1, -(-rows // ROWS_PER_TASK), -(-size // BYTES_PER_TASK))
 
 
 def _key(keys) -> "F.Column":
     return F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
 
 
-def segments(ranges: DataFrame, keys, start: str, end: str, closed: bool = False) -> DataFrame:
+def segments(ranges: DataFrame, keys, start: str, end: str, closed: bool = False, parts: int | None = None) -> DataFrame:
     """(_key, _from, _to, _held): disjoint segments of each key's ranges, from a
-    position (inclusive) to one (exclusive), with the covering ranges' rows."""
+    position (inclusive) to one (exclusive), with the covering ranges' rows.
+    ``parts``: partitions of the sorts (the session's number if not given)."""
+    dealt = [] if parts is None else [parts]
     side = F.lit(_AFTER if closed else _BEFORE)
     kinds = {f.name: f.dataType for f in ranges.schema.fields}
     some = F.lit(True)
@@ -50,6 +64,7 @@ def segments(ranges: DataFrame, keys, start: str, end: str, closed: bool = False
                       F.struct(*[F.col(f"`{c}`") for c in ranges.columns]).alias("_row"),
                       (some & F.col(f"`{start}`").isNotNull() & F.col(f"`{end}`").isNotNull()).alias("_ok"))
     r = r.where(F.col("_ok") & (F.col("_a") < F.col("_z"))).drop("_ok")
+    r = r.repartition(*dealt, "_key")
     # runs of ranges that overlap each other
     order = Window.partitionBy("_key").orderBy("_a", "_z")
     reach = F.max("_z").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -58,9 +73,8 @@ def segments(ranges: DataFrame, keys, start: str, end: str, closed: bool = False
     alone = F.count(F.lit(1)).over(Window.partitionBy("_key", "_run")) == 1
     r = r.withColumn("_alone", alone)
     single = r.where("_alone").select("_key", F.col("_a").alias("_from"), F.col("_z").alias("_to"), F.array("_row").alias("_held"))
-    many = r.where("NOT _alone")
-    bounds = many.select("_key", "_run", "_a").union(many.select("_key", "_run", "_z")).distinct()
-    bounds = bounds.select(F.col("_key").alias("_bkey"), F.col("_run").alias("_brun"), F.col("_a").alias("_from"))
+    many = r.where("NOT _alone").repartition(*dealt, "_key", "_run")
+    bounds = many.select(F.col("_key").alias("_bkey"), F.col("_run").alias("_brun"), F.explode(F.array("_a", "_z")).alias("_from")).distinct()
     bounds = bounds.withColumn("_to", F.lead("_from").over(Window.partitionBy("_bkey", "_brun").orderBy("_from"))).where("_to IS NOT NULL")
     cover = bounds.join(many, (F.col("_bkey") == F.col("_key")) & (F.col("_brun") == F.col("_run"))
                         & (F.col("_a") <= F.col("_from")) & (F.col("_z") > F.col("_from")))
@@ -75,26 +89,27 @@ def interval_join(facts: DataFrame, ranges: DataFrame, on, at: str, start: str,
 
     ``on``: pairs (fact column, range column). ``at`` is compared with ``start``
     and ``end`` in the type of ``start``; ``closed`` includes the end. The names of
-    facts and ranges must differ. Counting the keys is a job that runs when this
+    facts and ranges must differ. Counting keys, rows and bytes takes jobs that run when this
     function is called."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     clash = {c.lower() for c in facts.columns} & {c.lower() for c in ranges.columns}
     if clash:
         raise ValueError(f"columns in both facts and ranges: {sorted(clash)}")
-    seg = segments(ranges, [r for _, r in on], start, end, closed)
     kinds = {f.name: f.dataType for f in ranges.schema.fields}
     key = F.struct(*[F.col(f"`{f}`").cast(kinds[r]).alias(f"k{i}") for i, (f, r) in enumerate(on)])
     f = facts.select(key.alias("_key"), F.struct(F.col(f"`{at}`").cast(kinds[start]).alias("v"), F.lit(_AT).alias("s")).alias("_from"),
                      F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("_fact"))
     hot = hot_keys(f, "_key", rows_per_split).persist()
-    side = F.broadcast(hot) if small_enough(measured({"hot": hot})["hot"]) else hot
+    sizes = measured({"hot": hot, "facts": facts, "ranges": ranges})
+    side = F.broadcast(hot) if small_enough(sizes["hot"]) else hot
+    seg = segments(ranges, [r for _, r in on], start, end, closed, partitions(sizes["ranges"]))
     salt = F.when(F.col("_splits").isNull(), 0).otherwise(F.pmod(F.xxhash64("_fact"), F.col("_splits"))).cast("int")
     f = f.join(side, F.col("_key") == F.col("_hot"), "left").select("_key", "_from", salt.alias("_salt"), "_fact")
     seg = seg.join(side, F.col("_key") == F.col("_hot"), "left").select(
         "_key", "_from", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)).alias("_salt"),
         F.struct("_to", "_held").alias("_seg"))
-    both = f.unionByName(seg, allowMissingColumns=True)
+    both = f.unionByName(seg, allowMissingColumns=True).repartition(partitions(sizes["facts"], sizes["ranges"], sizes["ranges"]), "_key", "_salt")
     order = Window.partitionBy("_key", "_salt").orderBy(F.asc_nulls_first("_from")).rowsBetween(Window.unboundedPreceding, 0)
     carried = both.withColumn("_last", F.last("_seg", ignorenulls=True).over(order)).where("_fact IS NOT NULL")
     inside = F.when(F.col("_from.v").isNotNull() & (F.col("_from") < F.col("_last._to")), F.col("_last._held"))

@@ -99,3 +99,16 @@ def test_rows_before_the_filter_are_linear(spark):
     made = [x for x in plan.splitlines() if "Join" in x and "at" in x and ("lo" in x or "_from" in x) and "_bkey" not in x and "_hot" not in x]
     assert not made, made                                                       # no join compares positions of facts and ranges
     assert got.count() == 2800
+
+
+def test_sorts_of_the_interval_join_grow_in_number_not_in_size(spark, monkeypatch):
+    from slotwise.operators import interval_join as ij
+    monkeypatch.setattr(ij, "ROWS_PER_TASK", 100, raising=False)
+    facts = spark.range(900).select((F.col("id") % 90).alias("k"), F.col("id").alias("at"))
+    ranges = spark.range(300).select((F.col("id") % 90).alias("rk"), F.col("id").alias("lo"), (F.col("id") + 120).alias("hi"))
+    out = ij.interval_join(facts, ranges, [("k", "rk")], "at", "lo", "hi", how="left")
+    assert out.rdd.getNumPartitions() >= 15                         # 900 facts, 300 ranges and their segments
+    expected = [(f % 90, f, r) for f in range(900)
+                for r in [r for r in range(300) if r % 90 == f % 90 and r <= f < r + 120] or [None]]
+    got = [tuple(r) for r in out.select("k", "at", "lo").collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
