@@ -23,6 +23,8 @@ HOUR_SLOTS = tuple(f"{h:02d}00" for h in range(24))
 HOURS = tuple(f"{h:02d}" for h in range(24))
 # Largest number of distinct slot keys a day can have ('HHMM').
 MAX_SLOTS = 24 * 60
+# Slots up to which an aggregation keeps one field per slot for each key.
+MAX_BUFFERED = 96
 
 READING_KEYS = ("sa", "sp", "im", "uom", "pc", "pfd", "rd", "si", "rsc")
 HOURLY_KEYS = ("sa", "sp", "uom", "rd", "im")
@@ -119,7 +121,8 @@ def slot_pivot(df: DataFrame, keys, slot_col: str, value: Column | str, slots,
     place the value), both with map-side partial aggregation. Text values are
     aggregated per (key, slot) cell and the at most ``len(slots)`` cells of a
     key are gathered into a map, read out per slot (Catalyst's own text pivot
-    keeps one text buffer per slot in a sort-based aggregation).
+    keeps one text buffer per slot in a sort-based aggregation). So are numeric
+    values with more than ``MAX_BUFFERED`` slots.
 
     ``codes``: the closed set of values a text column can hold. The pivot
     then aggregates each value's rank in text order (same max / min) and
@@ -146,22 +149,35 @@ def slot_pivot(df: DataFrame, keys, slot_col: str, value: Column | str, slots,
     end = [] if tag is None else [f"'{tag}' AS rec_type"]
     if not slots:
         return _grouped(narrow, keys).agg(F.max("_slot")).selectExpr(*exprs, *end)     # no slot seen: keys only
-    if codes is None and isinstance(narrow.schema["_v"].dataType, T.StringType):
+    wide_list = len(slots) > MAX_BUFFERED
+    kind = narrow.schema["_v"].dataType
+    dictionary_sql = None if codes is None else "array(" + ", ".join("'" + c.replace("'", "''") + "'" for c in ordered) + ")"
+    if wide_list or (codes is None and isinstance(kind, T.StringType)):
         # Text values: one aggregate per (key, slot) cell, then the cells of a
         # key gathered into a map (at most one entry per slot, so bounded)
         # and read out per slot. Each row updates one buffer instead of one
-        # per slot.
+        # per slot. Long lists too: a buffer of one field per slot for each key
+        # would take memory for slots that the key does not have.
         cells = narrow.groupBy(*keys, *account, "_slot").agg(agg("_v").alias("_v"))
+        if wide_list:
+            # few bytes here become many per key below: not to be merged by their bytes
+            cells = cells.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, *account)
         cell = F.when(F.col("_slot").isNotNull(), F.struct("_slot", "_v"))      # collect_list leaves NULLs out
         wide = _grouped(cells, keys).agg(F.map_from_entries(F.collect_list(cell)).alias("_m"))
-        exprs += [_filled(f"_m['{x}']", text_fill) + f" AS `{n}`" for x, n in zip(slots, names)]
+        for x, n in zip(slots, names):
+            if codes is not None:
+                one = _filled(f"get({dictionary_sql}, _m['{x}'] - 1)", text_fill)
+            elif isinstance(kind, T.NumericType):
+                one = _filled(f"_m['{x}']", None if fill is None else str(fill))
+            else:
+                one = _filled(f"_m['{x}']", text_fill if isinstance(kind, T.StringType) else None)
+            exprs.append(f"{one} AS `{n}`")
         return wide.selectExpr(*exprs, *end)
     wide = _grouped(narrow, keys).pivot("_slot", slots).agg(agg("_v"))
     # One projection for renaming, decoding / filling and the tag (a single
     # analysis of the wide plan instead of one per step).
     if codes is not None:
         # rank -> code (0-based lookup; an empty cell stays NULL)
-        dictionary_sql = "array(" + ", ".join("'" + c.replace("'", "''") + "'" for c in ordered) + ")"
         exprs += [_filled(f"get({dictionary_sql}, `{x}` - 1)", text_fill) + f" AS `{n}`" for x, n in zip(slots, names)]
     else:
         numeric = fill is not None and isinstance(wide.schema[str(slots[0])].dataType, T.NumericType)

@@ -210,3 +210,21 @@ def test_text_pivot_edges(spark):
     assert (rows["k"]["0000"], rows["k"]["0015"], rows["k"].rec_type) == ("9.5", None, "t")
     assert (rows["j"]["0000"], rows["j"]["0015"]) == (None, None)
     assert (rows["n"]["0000"], rows["n"]["0015"]) == (None, None)
+
+
+def test_long_slot_lists_keep_no_field_per_slot_in_the_aggregation(spark):
+    from slotwise.operators.outputs import slot_pivot
+    slots = [f"{h:02d}{m:02d}" for h in range(24) for m in range(60)]
+    rows = [(f"k{i % 7}", slots[i * 37 % 1440] if i % 5 else None, ("ACTUAL", "ESTIMATED")[i % 3 % 2], float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, slot string, st string, v double")
+    for value, codes, empty in (("st", ("ACTUAL", "ESTIMATED"), None), ("v", None, 0.0), ("st", None, None)):
+        out = slot_pivot(df, ["k"], "slot", value, slots, prefix="s", codes=codes)
+        plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "pivotfirst" not in plan
+        expected = {}
+        for k, slot, st, v in rows:
+            cells = expected.setdefault(k, {})
+            if slot:
+                cells[slot] = max(cells[slot], {"st": st, "v": v}[value]) if slot in cells else {"st": st, "v": v}[value]
+        got = {r.k: r for r in out.collect()}
+        assert {k: [r[f"s{s}"] for s in slots] for k, r in got.items()} == {k: [c.get(s, empty) for s in slots] for k, c in expected.items()}
