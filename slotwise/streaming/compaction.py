@@ -21,8 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
+from slotwise.operators.joins import measured
 from slotwise.sinks import published
 
+FILE_BYTES = 64 << 20       # of rows in memory
+
 
 def batch_ids(spark: SparkSession, path: str) -> list[int]:
     """Ids of the batch folders under ``path``."""
@@ -61,14 +64,19 @@ def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return spark.read.schema(full).parquet(where).unionByName(rows) if where else rows
 
 
-def compact(spark: SparkSession, path: str, schema: StructType, through: int, files: int = 1) -> int:
+def compact(spark: SparkSession, path: str, schema: StructType, through: int, files: int | None = None) -> int:
     """Fold the batches up to ``through`` into the store; the number of folders
-    folded. The rows are not changed; they are clustered by batch."""
+    folded. The rows are not changed; they are clustered by batch. Each file is
+    sorted by one task; without ``files`` there is one per ``FILE_BYTES`` of the
+    rows' measured size."""
     done = folded_through(spark, path)
     fold = [b for b in batch_ids(spark, path) if done < b <= through]
     if fold:
         rows = read_batches(spark, path, schema).where(F.col("batch_id") <= max(fold))
 
+        if files is None:
+            files = max(1, -(-(measured({"rows": rows})["rows"][1] or 0) // FILE_BYTES))
+
         def write(folder: str) -> None:
             tie = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])          # a large batch can be cut
             rows.repartitionByRange(files, "batch_id", tie).sortWithinPartitions("batch_id").write.parquet(folder)

@@ -144,3 +144,17 @@ def test_most_new_keys_skip_the_join(spark, tmp_dir):
     got = store.unseen(fresh, "k", "2")
     assert got.count() == 4000
     assert store.unseen(spark.range(1500, 2500).selectExpr("id AS k"), "k", "2").agg(F.min("k"), F.count("k")).first()[:] == (2000, 500)
+
+
+def test_compaction_sorts_in_tasks_of_bounded_size(spark, tmp_dir, monkeypatch):
+    from slotwise.sinks import published
+    from slotwise.streaming import compaction
+    monkeypatch.setattr(compaction, "FILE_BYTES", 4096, raising=False)
+    rows = spark.range(600).selectExpr("concat('w', id) AS word", "id AS cnt")
+    for b in range(3):
+        rows.where(f"cnt % 3 = {b}").write.parquet(f"{tmp_dir}/batch_id={b}")
+    assert compaction.compact(spark, tmp_dir, rows.schema, 2) == 3
+    store = spark.read.parquet(published.folder(spark, f"{tmp_dir}/compacted"))
+    assert len(store.inputFiles()) > 5
+    got = compaction.read_batches(spark, tmp_dir, rows.schema).collect()
+    assert sorted(map(tuple, got)) == sorted((f"w{i}", i, i % 3) for i in range(600))
