@@ -20,11 +20,20 @@ most lists with), and lists whose members are one component by then are done.
 What is left goes two ways:
 
 * lists of up to ``SHORT_LIST`` members: all pairs in different components that
-  reach l occurrences are probed;
+  reach l occurrences and pass the screen are probed;
 * longer lists (near copies, mostly): documents that share one form a group. A
-  group is split into blocks of bounded size, each pair of blocks is one task
-  that runs the search with the blocks' own inverted lists, and only links leave
-  it. Pairs are never rows here, and a hot group is many tasks.
+  group is split into blocks of bounded size that are ranges of set sizes, each
+  pair of blocks with sizes similar enough is one task that runs the search with
+  the blocks' own inverted lists, and only links leave it. Pairs are never rows
+  here, and a hot group is many tasks.
+
+The screen is exact: a set's grams are counted in buckets by hash, about 8 grams each,
+one byte a count. The sum of the smaller counts of two sets is an upper bound of
+their overlap, at about a 64th of the bytes.
+
+Pairs, of documents or of blocks, can grow faster than the input. What they send
+through shuffles is measured first and goes in rounds that each send about as much as the
+sets (or lists) themselves hold; shuffle files go between rounds and phases.
 
 The broadcast is a table of the most frequent grams, at most ``FREQUENT`` of
 them; it only orders the lists. Which grams are frequent is found in the tasks
@@ -37,13 +46,15 @@ the link graph. Rows with a null doc_id take no part and have a null component.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotwise.llm import bytewords as bw
-from slotwise.llm.graph import components, cut, most_frequent, small_batches
+from slotwise.llm.graph import components, cut, most_frequent, release, small_batches
 
 GRAM = 4
 PERCENT = 85
@@ -53,6 +64,10 @@ TASK_GRAMS = 1 << 20        # grams that a task counts at once
 SHORT_LIST = 256            # members up to which a list's pairs become rows
 BLOCK_GRAMS = 1 << 19       # grams of a block; a task holds two blocks
 BROADCAST_IDS = 1 << 19     # documents to probe up to which their ids are broadcast
+ROUND_GRAMS = 1 << 27       # grams that a round sends at least, if there are so many
+ROUND_PAIRS = 16            # pairs that a round makes for each entry of the short lists
+SIZE_BINS = 32              # bins of set sizes to a doubling
+BUCKET_GRAMS = 8            # grams to a bucket of the screen, on average
 
 
 def gram_sets(c: bw.Chunk, n: int, lengths: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,6 +91,20 @@ def gram_sets(c: bw.Chunk, n: int, lengths: tuple[np.ndarray, np.ndarray]) -> tu
     return doc[new], h[new]
 
 
+def bucket_counts(doc: np.ndarray, h: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Per text: counts of its grams by leading bits of their hash, one byte each.
+    If a count does not fit, all of the text's are 255, so that sums of smaller
+    counts stay upper bounds."""
+    bits = np.ceil(np.log2(np.maximum(size / BUCKET_GRAMS, 8))).astype(np.int64)
+    start = np.concatenate(([0], np.cumsum(1 << bits)))
+    at = start[doc] + (h >> (64 - bits[doc]).astype(np.uint64)).astype(np.int64)
+    count = np.bincount(at, minlength=start[-1])
+    over = np.searchsorted(start, np.flatnonzero(count > 255), side="right") - 1
+    for k in np.unique(over):
+        count[start[k]:start[k + 1]] = 255
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(start.astype(np.int32)), pa.py_buffer(count.astype(np.uint8))])
+
+
 NO_LENGTHS = (np.empty(0, np.uint64), np.empty(0, np.int64))
 
 
@@ -110,7 +139,8 @@ def frequent_grams(texts: DataFrame, n: int, size: int = FREQUENT) -> tuple[np.n
 
 
 def _short_lists(lengths, n: int, percent: int, occurrences: int):
-    """Per document: set size, fingerprints of the set, grams of its short lists."""
+    """Per document: set size, fingerprints of the set, grams of its short lists,
+    counts for the screen."""
     @bw.tidy
     def run(batches):
         for b in batches:
@@ -128,8 +158,8 @@ def _short_lists(lengths, n: int, percent: int, occurrences: int):
                 offsets = np.concatenate(([0], np.cumsum(short))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array(size, pa.int64()), *prints,
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[keep].view(np.int64)))],
-                    names=["id", "size", "f1", "f2", "short"])
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[keep].view(np.int64))), bucket_counts(doc, h, size)],
+                    names=["id", "size", "f1", "f2", "short", "counts"])
     return run
 
 
@@ -162,18 +192,68 @@ def _probe(percent: int):
     return run
 
 
+def _screen(percent: int):
+    """Keeps the pairs whose overlap can suffice by their bucket counts."""
+    @bw.tidy
+    def run(batches):
+        for b in batches:
+            ok = []
+            for sx, sy, x, y in zip(*(b.column(c).to_pylist() for c in range(2, 6))):
+                x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (x, y))
+                least = min(len(x), len(y))
+                both = int(np.minimum(x.reshape(least, -1).sum(axis=1), y.reshape(least, -1).sum(axis=1)).sum())
+                ok.append(100 * both >= percent * (sx + sy - both))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    return run
+
+
+def screened(pairs: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that ``counts`` (id, size, counts) do not rule out."""
+    both = pairs.join(counts.toDF("a", "sx", "x"), "a").join(counts.toDF("b", "sy", "y"), "b")
+    return both.select("a", "b", "sx", "sy", "x", "y").mapInArrow(_screen(percent), "a long, b long")
+
+
 def sets_of(ids: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """(id, grams) of the wanted documents (column ``need``)."""
-    return texts.join(_sized(cut(ids)), texts.id == F.col("need"), "left_semi").mapInArrow(_sets(n), "id long, grams binary")
+    return texts.join(_sized(ids), texts.id == F.col("need"), "left_semi").mapInArrow(_sets(n), "id long, grams binary")
+
 
+def rounds(sent: int | None, held: int | None, least: int) -> int:
+    """Rounds of at most about ``held`` or ``least`` each for ``sent``."""
+    return max(1, -(-(sent or 0) // max(held or 0, least)))
 
-def probe(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+
+def in_rounds(spark, parts) -> DataFrame:
+    """The union of ``parts``, made one after the other; a part's shuffle files
+    go when it is written."""
+    done = []
+    for part in parts:
+        if done:
+            release(spark)
+        done.append(cut(part))
+        del part
+    return functools.reduce(DataFrame.union, done)
+
+
+def probe(pairs: DataFrame, texts: DataFrame, n: int, percent: int, round_grams: int = ROUND_GRAMS) -> DataFrame:
     """The pairs (a, b) that link. Only texts of documents in a pair are read
     into sets; each pair brings its two sets together."""
     pairs = cut(pairs)
-    sets = cut(sets_of(pairs.select(F.col("a").alias("need")).union(pairs.select("b")).distinct(), texts, n))
-    left = pairs.join(sets.toDF("a", "x"), "a")
-    return left.join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_probe(percent), "a long, b long")
+    need = cut(pairs.select(F.col("a").alias("need")).union(pairs.select("b")).distinct())
+    sets = cut(sets_of(need, texts, n))
+    if need.count() > BROADCAST_IDS:        # all texts went through a shuffle
+        release(texts.sparkSession)
+    sizes = sets.select(F.col("id").alias("a"), (F.octet_length("grams") / 8).cast("long").alias("grams"))
+    held = sizes.agg(F.sum("grams")).first()[0]
+    sent = pairs.join(sizes, "a").agg(F.sum("grams")).first()[0]
+    n_rounds = rounds(sent, held, round_grams)
+
+    def part(k):
+        own = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(n_rounds)) == k)
+        left = own.join(sets.toDF("a", "x"), "a")
+        return left.join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_probe(percent), "a long, b long")
+
+    return in_rounds(texts.sparkSession, map(part, range(n_rounds)))
 
 
 def _similar_size(a: str, b: str, percent: int):
@@ -198,34 +278,72 @@ def labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
     return got.select("g", "id", "size", F.coalesce("found", "id").alias("comp"))
 
 
-def open_pairs(lists: DataFrame, percent: int, occurrences: int) -> DataFrame:
-    """All pairs on short lists that are in different components and occur
-    together often enough."""
+def open_pairs(lists: DataFrame, counts: DataFrame, percent: int, occurrences: int, round_pairs: int = ROUND_PAIRS) -> DataFrame:
+    """All pairs on short lists (with their ``members``) that are in different
+    components, occur together often enough and pass the screen. A round makes the pairs of a part
+    of the documents with all others."""
+    entries, pairs = lists.agg(F.count(F.lit(1)), F.sum((F.col("members") - 1) / 2)).first()
+    n_rounds = rounds(int(pairs or 0), entries * round_pairs, 1)
     x = lists.select("g", F.col("id").alias("a"), F.col("size").alias("sa"), F.col("comp").alias("ca"))
     y = lists.select("g", F.col("id").alias("b"), F.col("size").alias("sb"), F.col("comp").alias("cb"))
-    both = x.join(y, "g").where("a < b and ca <> cb").where(_similar_size("sa", "sb", percent))
     need = F.least(F.lit(occurrences), F.ceil(F.least("sa", "sb") * percent / 100))
-    counted = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.first(need).alias("need"))
-    return counted.where("n >= need").select("a", "b")
+
+    def part(k):
+        own = x.where(F.pmod(F.xxhash64("a"), F.lit(n_rounds)) == k)
+        both = own.join(y, "g").where("a < b and ca <> cb").where(_similar_size("sa", "sb", percent))
+        counted = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.first(need).alias("need"))
+        return screened(counted.where("n >= need").select("a", "b"), counts, percent)
+
+    return in_rounds(lists.sparkSession, map(part, range(n_rounds)))
+
+
+def in_blocks(member: DataFrame, block_grams: int) -> DataFrame:
+    """``member`` with a ``block``: ranges of set sizes of about ``block_grams``
+    each, inside a group. Sizes that fill several blocks are dealt by hash."""
+    sized = member.withColumn("bin", F.floor(F.log2("size") * SIZE_BINS))
+    bins = sized.groupBy(F.col("group").alias("g"), F.col("bin").alias("b")).agg(F.sum("size").alias("fill"))
+    up_to = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bins = cut(bins.withColumn("end", F.sum("fill").over(up_to)))       # a few hundred rows a group at most
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)
+    return (sized.join(_sized(bins, 4), (F.col("group") == F.col("g")) & (F.col("bin") == F.col("b")))
+            .withColumn("block", F.floor((F.col("end") - F.col("fill") * (1 - place)) / block_grams))
+            .select("group", "block", "id", "size", "comp"))
+
+
+def block_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """(group, i, j, sent): pairs of blocks, also of one with itself, that hold
+    documents of similar size; ``sent`` are their grams."""
+    blocks = cut(placed.groupBy("group", "block").agg(F.sum("size").alias("grams"), F.min("size").alias("lo"), F.max("size").alias("hi")))
+    x = blocks.toDF("group", "i", "gi", "lo_i", "hi_i")
+    y = blocks.toDF("group", "j", "gj", "lo_j", "hi_j")
+    near = f"i <= j and 100 * hi_i >= {percent} * lo_j and 100 * hi_j >= {percent} * lo_i"
+    return cut(x.join(y, "group").where(near).select("group", "i", "j", F.expr("if(i = j, gi, gi + gj)").alias("sent")))
 
 
 def group_links(lists: DataFrame, texts: DataFrame, n: int, percent: int, occurrences: int,
-                block_grams: int = BLOCK_GRAMS) -> DataFrame:
+                block_grams: int = BLOCK_GRAMS, round_grams: int = ROUND_GRAMS) -> DataFrame:
     """Links between different components on long lists, by blocks."""
     stars = lists.join(lists.groupBy(F.col("g").alias("sg")).agg(F.min("id").alias("star")), F.col("g") == F.col("sg"))
     group = components(stars.select(F.col("star").alias("a"), F.col("id").alias("b")).distinct())
     docs = lists.select("id", "size", "comp").distinct()
     member = docs.join(group, F.col("id") == F.col("node")).select("id", "size", "comp", F.col("component").alias("group"))
-    member = cut(member)
-    blocks = member.groupBy(F.col("group").alias("bg")).agg(F.ceil(F.sum("size") / block_grams).alias("blocks"))
-    placed = (member.join(blocks, F.col("group") == F.col("bg"))
-              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-              .select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "comp"))
-    sets = sets_of(member.select(F.col("id").alias("need")).distinct(), texts, n)
-    tasks = placed.join(sets.withColumnRenamed("id", "sid"), F.col("id") == F.col("sid"))
-    tasks = tasks.select("group", "i", "j", "block", "id", "comp", "grams")
-    return tasks.groupBy("group", "i", "j").applyInArrow(_divide_skip(percent, occurrences), "a long, b long")
+    placed = cut(in_blocks(cut(member), block_grams))
+    pairs = block_pairs(placed, percent)
+    held = placed.agg(F.sum("size")).first()[0]
+    sent = pairs.agg(F.sum("sent")).first()[0]
+    n_rounds = rounds(sent, held, round_grams)
+    sets = sets_of(cut(placed.select(F.col("id").alias("need"))), texts, n)
+    sets = cut(placed.join(sets.withColumnRenamed("id", "sid"), F.col("id") == F.col("sid")).select("group", "block", "id", "comp", "grams"))
+    if n_rounds > 1 or placed.count() > BROADCAST_IDS:
+        release(texts.sparkSession)
+
+    def part(k):
+        own = pairs.where(F.pmod(F.xxhash64("group", "i", "j"), F.lit(n_rounds)) == k).select("group", "i", "j")
+        sides = own.withColumn("block", F.col("i")).union(own.where("i < j").withColumn("block", F.col("j")))
+        tasks = sets.join(_sized(sides, 4), ["group", "block"]).select("group", "i", "j", "block", "id", "comp", "grams")
+        return tasks.groupBy("group", "i", "j").applyInArrow(_divide_skip(percent, occurrences), "a long, b long")
+
+    return in_rounds(texts.sparkSession, map(part, range(n_rounds)))
 
 
 def _divide_skip(percent: int, occurrences: int):
@@ -285,36 +403,49 @@ def search(sets, comp, block, inside: bool, percent: int, occurrences: int) -> t
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, n: int = GRAM, id_col: str = "doc_id",
                        text_col: str = "text", occurrences: int = OCCURRENCES, short_list: int = SHORT_LIST,
-                       block_grams: int = BLOCK_GRAMS) -> DataFrame:
+                       block_grams: int = BLOCK_GRAMS, round_grams: int = ROUND_GRAMS, round_pairs: int = ROUND_PAIRS) -> DataFrame:
     """One row per input row: id, ``n_shingles`` (set size), ``component_id``
     (smallest id that links reach, itself included). Ids are integers."""
     texts = small_batches(docs).select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    lengths = texts.sparkSession.sparkContext.broadcast(frequent_grams(texts.select("text"), n))
+    spark = texts.sparkSession
+    lengths = spark.sparkContext.broadcast(frequent_grams(texts.select("text"), n))
     rows = cut(texts.mapInArrow(_short_lists(lengths, n, percent, occurrences),
-                                "id long, size long, f1 long, f2 long, short array<long>"))
+                                "id long, size long, f1 long, f2 long, short array<long>, counts binary"))
     key = ["size", "f1", "f2"]
-    classes = (rows.where("size > 0 and id is not null").groupBy(*key)
-               .agg(F.min("id").alias("rep"), F.first("short").alias("short")))
+    classes = cut(rows.where("size > 0 and id is not null").groupBy(*key)
+                  .agg(F.min("id").alias("rep"), F.first("short").alias("short"), F.first("counts").alias("counts")))
+    counts = cut(classes.select("rep", "size", "counts"))
+    # written first, so that both sides of the join are plain shuffles and Spark can split a class of many copies
+    reps = cut(classes.select(*[F.col(k).alias(f"c_{k}") for k in key], "rep"))
+    rep = cut(rows.select("id", *key).join(reps, [F.col(k) == F.col(f"c_{k}") for k in key], "left").select("id", "size", "rep"))
+    del rows, reps
     postings = classes.select(F.explode("short").alias("g"), F.col("rep").alias("id"), "size")
     shared = postings.groupBy(F.col("g").alias("sg")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sg")
     lists = cut(postings.join(shared, F.col("g") == F.col("sg"), "left_semi"))
+    del classes, postings, shared
+    release(spark)
 
-    # written first, so that both sides of the join are plain shuffles and Spark can split a class of many copies
-    reps = cut(rows.where("size > 0 and id is not null").groupBy(*key).agg(F.min("id").alias("rep")))
-    rep = cut(rows.select("id", *key).join(reps.select(*[F.col(k).alias(f"c_{k}") for k in key], "rep"),
-                                           [F.col(k) == F.col(f"c_{k}") for k in key], "left").select("id", "size", "rep"))
     # a doc_id with several texts joins their classes
     several = rep.groupBy(F.col("id").alias("sid")).agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
     links = rep.join(several, F.col("id") == F.col("sid")).select("a", F.col("rep").alias("b"))
 
-    links = cut(links.union(probe(centre_pairs(lists, 0, percent), texts, n, percent)))
+    near_centre = screened(centre_pairs(lists, 0, percent), counts, percent)
+    links = cut(links.union(probe(near_centre, texts, n, percent, round_grams)))
+    del near_centre
+    release(spark)
     current = labelled(lists, links)
     mixed = (current.groupBy(F.col("g").alias("mg"))
              .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi"))
     current = cut(current.join(mixed.select("mg", "members"), F.col("g") == F.col("mg")).drop("mg"))
-    by_pairs = probe(open_pairs(current.where(F.col("members") <= short_list), percent, occurrences), texts, n, percent)
-    by_groups = group_links(current.where(F.col("members") > short_list), texts, n, percent, occurrences, block_grams)
-    comp = components(cut(links.union(by_pairs).union(by_groups)))
+    del lists, mixed
+    by_pairs = open_pairs(current.where(F.col("members") <= short_list), counts, percent, occurrences, round_pairs)
+    by_pairs = probe(by_pairs, texts, n, percent, round_grams)
+    release(spark)
+    by_groups = group_links(current.where(F.col("members") > short_list), texts, n, percent, occurrences, block_grams, round_grams)
+    del current
+    links = cut(links.union(by_pairs).union(by_groups))
+    del by_pairs, by_groups, counts
+    comp = components(links)
     out = rep.join(comp, F.col("rep") == F.col("node"), "left")
     return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"),
                       F.coalesce("component", "rep", "id").alias("component_id"))
@@ -366,6 +497,6 @@ def unused(columns):
     return fresh
 
 
-def _sized(ids: DataFrame) -> DataFrame:
+def _sized(ids: DataFrame, columns: int = 1) -> DataFrame:
     """A table of ids, marked for broadcast if its count is within the bound."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return F.broadcast(ids) if ids.count() * columns <= BROADCAST_IDS else ids

@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from slotwise.llm import ngram_join as nj
@@ -61,6 +62,29 @@ def test_near_copies(spark, kw):
     assert run(spark.createDataFrame(rows, DOC).repartition(4), **kw) == brute(rows)
 
 
+@pytest.mark.parametrize("kw", [{"round_pairs": 1}, {"short_list": 1, "block_grams": 60, "round_grams": 1, "round_pairs": 1}])
+def test_rounds_find_the_same(spark, monkeypatch, kw):
+    sent = []
+    in_rounds = nj.in_rounds
+    monkeypatch.setattr(nj, "in_rounds", lambda spark, parts: in_rounds(spark, sent.append(list(parts)) or sent[-1]))
+    rows = near_copies(2)
+    assert run(spark.createDataFrame(rows, DOC).repartition(4), **kw) == brute(rows)
+    assert max(map(len, sent)) > 1
+
+
+def test_blocks_of_other_sizes_do_not_meet(spark):
+    """What a group's blocks send grows with the documents of similar size, not with all pairs of blocks."""
+    member = spark.createDataFrame([(0, i, 20 + i, i) for i in range(2000)], "group long, id long, size long, comp long")
+    placed = nj.in_blocks(member, 20_000).cache()
+    held = sum(r.size for r in placed.collect())
+    pairs = nj.block_pairs(placed, 85).collect()
+    blocks = {r.block for r in placed.collect()}
+    assert len(blocks) > 90 and sum(r.sent for r in pairs) < 0.4 * len(blocks) * held
+    met = {(r.i, r.j) for r in pairs}
+    at = {r.size: r.block for r in placed.collect()}
+    assert all(tuple(sorted((at[x], at[y]))) in met for x in range(20, 2020, 7) for y in range(x, 2020) if 100 * x >= 85 * y)
+
+
 def test_corpus(spark):
     df = documents(spark, SF_SMALL)
     rows = [(r.doc_id, r.text) for r in df.collect()]
@@ -97,6 +121,24 @@ def test_texts_under_one_id_are_kept_apart(spark):
         [(1, a), (2, b), (-7, c + " tail"), (3, None), (3, ""), (None, a), (None, a)], key=repr)
 
 
+def test_bucket_counts_bound_the_overlap():
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 1 << 63, 900).astype(np.uint64) << np.uint64(1))
+    sets = [base[:500], base[20:520], base[:470], base[400:], base[:3], base[1:2], base[:0], np.arange(2000, dtype=np.uint64)]
+    sets += [np.concatenate((base[:100], sets[-1]))]
+    size = np.array([len(x) for x in sets])
+    counts = nj.bucket_counts(np.repeat(np.arange(len(sets)), size), np.concatenate(sets), size).to_pylist()
+    bound = {}
+    for p, q in [(p, q) for p in range(len(sets)) for q in range(len(sets))]:
+        row = pa.RecordBatch.from_pydict({"a": [p], "b": [q], "sx": [len(sets[p])], "sy": [len(sets[q])], "x": [counts[p]], "y": [counts[q]]})
+        both = len(np.intersect1d(sets[p], sets[q]))
+        for percent in (20, 50, 85, 95):
+            kept = sum(x.num_rows for x in nj._screen(percent)([row]))
+            assert kept or 100 * both < percent * (len(sets[p]) + len(sets[q]) - both)
+            bound[p, q, percent] = kept
+    assert bound[0, 1, 85] and bound[0, 2, 85] and not bound[0, 3, 85] and not bound[1, 3, 50]
+
+
 def test_search_between_blocks():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 1 << 60, 60).astype(np.uint64)
